@@ -11,7 +11,10 @@ from . import oracle_sql as O
 from .registry import register
 
 SEED = 1234
-HKEY = F.col("hkey")
+
+
+def _hkey():
+    return F.col("hkey")
 
 
 @register("class_filter", f"WITH {O.LBL} SELECT hkey, label FROM lbl WHERE label = 1")
@@ -54,7 +57,7 @@ r AS (SELECT sum(label) / count(*) AS ratio FROM lbl)
 SELECT hkey, label FROM lbl, r WHERE label = 1 OR {unit_hash_sql('hkey', SEED)} < r.ratio""")
 def undersample_hash(spark, sf_dir):
     """All positives plus negatives kept with probability P/(P+N), by key hash."""
-    return S.undersample(X.lbl(spark, sf_dir).select("hkey", "label"), HKEY, "label", seed=SEED)
+    return S.undersample(X.lbl(spark, sf_dir).select("hkey", "label"), _hkey(), "label", seed=SEED)
 
 
 @register("split_hash", f"""WITH {O.LBL}
@@ -62,7 +65,7 @@ SELECT hkey, label, CASE WHEN {unit_hash_sql('hkey', SEED)} < 0.7 THEN 0 ELSE 1
 def split_hash(spark, sf_dir):
     """70/30 split by key hash, as a split number per row (a partition of the input)."""
     df = X.lbl(spark, sf_dir).select("hkey", "label")
-    return df.withColumn("split", S.split_column(HKEY, [0.7, 0.3], SEED).cast("int"))
+    return df.withColumn("split", S.split_column(_hkey(), [0.7, 0.3], SEED).cast("int"))
 
 
 @register("undersample_mllib")
