@@ -97,3 +97,19 @@ def doc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("lang") == F.lit("en"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("is_en"),
         F.col("quality").alias("label"),
     )
+
+
+def running_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``running``: running sum of (hourly mean of all events − 50), a random walk."""
+    from ..operators.metrics import running_totals
+
+    ev = table(spark, sf_dir, "events")
+    hourly = ev.groupBy(hour_floor("ts").alias("ts")).agg((F.avg("value") - 50.0).alias("step"))
+    keyed = hourly.withColumn("ts_key", F.unix_micros(F.col("ts").cast("timestamp")).cast("double"))
+    out = running_totals(keyed, "ts_key", ["step"])
+    return out.select(F.lit("running").alias("series"), "ts", F.col("cum_step").alias("y"))
+
+
+def ts_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All modelled series: hourly mean per event type, plus the random walk."""
+    return hourly_series(spark, sf_dir).unionByName(running_series(spark, sf_dir))

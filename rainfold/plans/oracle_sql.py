@@ -73,3 +73,16 @@ ANCHOR = "(SELECT max(date_trunc('hour', ts)) FROM events)"
 REQUESTS = """requests AS (
   SELECT user_id AS request_id, CAST(user_id % 6 AS INTEGER) AS n FROM (SELECT DISTINCT user_id FROM events)
 )"""
+
+TS_SERIES = f"""{HOURLY},
+steps AS (SELECT date_trunc('hour', ts) AS ts, avg(value) - 50.0 AS step FROM events GROUP BY 1),
+running AS (SELECT 'running' AS series, ts, sum(step) OVER (ORDER BY ts) AS y FROM steps),
+ts_series AS (SELECT series, ts, y FROM hourly UNION ALL SELECT series, ts, y FROM running),
+ts_idx AS (
+  SELECT series, ts, CAST(row_number() OVER (PARTITION BY series ORDER BY ts) AS BIGINT) AS idx, y FROM ts_series
+),
+ts_lag AS (
+  SELECT series, idx, y,
+         lag(y, 1) OVER w AS l1, lag(y, 2) OVER w AS l2, lag(y, 3) OVER w AS l3
+  FROM ts_idx WINDOW w AS (PARTITION BY series ORDER BY idx)
+)"""
