@@ -76,7 +76,8 @@ def auc_scores(df: DataFrame, score: str = "score", label: str = "label", n_buck
     return cum.agg(
         F.sum(F.col("pos") * (below + F.col("neg") / 2.0)).alias("_num"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-    ).select((F.col("_num") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), "n_pos", "n_neg")
+    ).select(F.try_divide(F.col("_num"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("auc"),
+             "n_pos", "n_neg")
 
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", n_buckets: int = N_BUCKETS) -> DataFrame:
@@ -85,9 +86,9 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label", n_buck
     cum = running_totals(sc, "score", ["pos", "neg"], n_buckets)
     totals = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     p_all, n_all = totals.select("P").scalar(), totals.select("N").scalar()
-    tp = p_all - (F.col("cum_pos") - F.col("pos"))
-    fp = n_all - (F.col("cum_neg") - F.col("neg"))
+    tp = (p_all - (F.col("cum_pos") - F.col("pos"))).cast("double")
+    fp = (n_all - (F.col("cum_neg") - F.col("neg"))).cast("double")
     return cum.select(
         F.col("score").alias("threshold"), tp.cast("long").alias("tp"), fp.cast("long").alias("fp"),
-        (tp / p_all).alias("tpr"), (fp / n_all).alias("fpr"),
-        (tp / (tp + fp)).alias("precision"), (tp / p_all).alias("recall"))
+        F.try_divide(tp, p_all).alias("tpr"), F.try_divide(fp, n_all).alias("fpr"),
+        F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, p_all).alias("recall"))

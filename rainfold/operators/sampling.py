@@ -28,7 +28,7 @@ def class_ratio(df: DataFrame, label: str = "label", positive=1) -> DataFrame:
         F.count(F.lit(1)).alias("n_total"),
         F.sum(is_pos).alias("n_pos"),
         F.sum(1 - is_pos).alias("n_neg"),
-    ).withColumn("ratio", F.col("n_pos").cast("double") / F.col("n_total"))
+    ).withColumn("ratio", F.try_divide(F.col("n_pos").cast("double"), F.col("n_total")))
 
 
 def ratio_value(df: DataFrame, label: str = "label", positive=1, ratio: str = "of_total") -> Column:
@@ -42,7 +42,7 @@ def ratio_value(df: DataFrame, label: str = "label", positive=1, ratio: str = "o
     if ratio == "of_total":
         expr = F.col("ratio")
     elif ratio == "equal":
-        expr = F.least(F.lit(1.0), F.col("n_pos").cast("double") / F.col("n_neg"))
+        expr = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.col("n_pos").cast("double"), F.col("n_neg")), F.lit(1.0)))
     else:
         raise ValueError(f"unknown ratio {ratio!r}")
     return r.select(expr).scalar()

@@ -30,17 +30,21 @@ def fecha(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-M-d H:m")
 
 
+def hour_offsets(n: Column) -> Column:
+    """``[0, 1, …, n-1]`` as bigints; empty for n ≤ 0 (``sequence`` would count down)."""
+    return F.when(n > 0, F.sequence(F.lit(0).cast("long"), (n - 1).cast("long"))).otherwise(
+        F.array().cast("array<bigint>"))
+
+
 def horizon(requests: DataFrame, anchor: Column, n_col: str = "n") -> DataFrame:
     """One row per request and hour ``h`` in 0..n-1, with its time and text.
 
     ``sequence(0, n-1)`` would count down for n = 0, so such requests get an
     empty array instead.
     """
-    hours = F.when(F.col(n_col) > 0, F.sequence(F.lit(0), F.col(n_col) - 1)).otherwise(
-        F.array().cast("array<int>"))
-    out = requests.select("*", F.explode(hours).alias("h"))
-    ts = anchor + F.make_dt_interval(F.lit(0), F.col("h"))
-    return out.select("*", ts.alias("ts"), fecha(ts).alias("Fecha")).withColumn("h", F.col("h").cast("long"))
+    out = requests.select("*", F.explode(hour_offsets(F.col(n_col))).alias("h"))
+    ts = anchor + F.make_dt_interval(F.lit(0), F.col("h").cast("int"))
+    return out.select("*", ts.alias("ts"), fecha(ts).alias("Fecha"))
 
 
 def relabel_payload(requests: DataFrame, entries: DataFrame, anchor: Column) -> DataFrame:
@@ -57,3 +61,40 @@ def relabel_payload(requests: DataFrame, entries: DataFrame, anchor: Column) ->
     return hours.join(ent, "h", "inner").select(
         "request_id", "h", "Fecha",
         F.col("temp").alias("Temperatura"), F.col("humidity").alias("Humedad"))
+
+
+def forecast_records(fc: DataFrame, anchor: Column, temp: str = "TEMP", hum: str = "HUM",
+                     key: str = "series") -> DataFrame:
+    """Pivot two series' forecasts into records ``(h, Fecha, Temperatura, Humedad)``.
+
+    Forecast step ``h`` (1-based) is labelled ``anchor + (h-1)`` hours, as the
+    reference labels its i-th value with now + i hours.  The pivot groups by
+    the step, so it is a small aggregate over ``series × horizon`` rows.
+    """
+    h0 = (F.col("h") - 1).cast("long")
+    out = fc.groupBy(h0.alias("h")).agg(
+        F.max(F.when(F.col(key) == F.lit(temp), F.col("yhat"))).alias("Temperatura"),
+        F.max(F.when(F.col(key) == F.lit(hum), F.col("yhat"))).alias("Humedad"))
+    ts = anchor + F.make_dt_interval(F.lit(0), F.col("h").cast("int"))
+    return out.select("h", fecha(ts).alias("Fecha"), "Temperatura", "Humedad")
+
+
+def answer_requests(requests: DataFrame, records: DataFrame) -> DataFrame:
+    """``(request_id, h, Fecha, Temperatura, Humedad)`` for h < n of each request."""
+    wanted = requests.select("request_id", F.explode(hour_offsets(F.col("n"))).alias("h"))
+    return wanted.join(checked_broadcast(records), "h", "inner").select(
+        "request_id", "h", "Fecha", "Temperatura", "Humedad")
+
+
+def as_json(requests: DataFrame, records: DataFrame) -> DataFrame:
+    """``(request_id, n, payload)``: each request's records as a JSON array.
+
+    Records are gathered per request (at most n per group), ordered by hour,
+    and serialised with ``to_json``; a request with n = 0 gets ``[]``.
+    """
+    wanted = requests.select("request_id", "n", F.explode_outer(hour_offsets(F.col("n"))).alias("h"))
+    joined = wanted.join(checked_broadcast(records), "h", "left")
+    rec = F.when(F.col("Fecha").isNotNull(), F.struct(
+        "h", F.struct("Fecha", "Temperatura", "Humedad").alias("r")))
+    grouped = joined.groupBy("request_id", "n").agg(F.sort_array(F.collect_list(rec)).alias("rs"))
+    return grouped.select("request_id", "n", F.to_json(F.transform("rs", lambda x: x["r"])).alias("payload"))

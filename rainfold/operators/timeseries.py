@@ -65,9 +65,9 @@ def _diff(d: int, k: int, y: str = "y") -> Column:
 
 
 def _t_stat(n: Column, sxx: Column, sxy: Column, syy: Column) -> Column:
-    beta = sxy / sxx
-    sse = syy - sxy * sxy / sxx
-    return beta / F.sqrt(sse / (n - 2) / sxx)
+    beta = F.try_divide(sxy, sxx)
+    sse = syy - sxy * beta
+    return F.try_divide(beta, F.sqrt(F.try_divide(F.try_divide(sse, (n - 2).cast("double")), sxx)))
 
 
 def adf_stats(lagged: DataFrame, key: str = "series", max_d: int = MAX_D) -> DataFrame:
@@ -84,7 +84,7 @@ def adf_stats(lagged: DataFrame, key: str = "series", max_d: int = MAX_D) -> Dat
     sums = lagged.groupBy(key).agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(d).alias("d"), F.col(f"n{d}").alias("n"),
-                 (F.col(f"sxy{d}") / F.col(f"sxx{d}")).alias("beta"),
+                 F.try_divide(F.col(f"sxy{d}"), F.col(f"sxx{d}")).alias("beta"),
                  _t_stat(F.col(f"n{d}"), F.col(f"sxx{d}"), F.col(f"sxy{d}"), F.col(f"syy{d}")).alias("t_stat"))
         for d in range(max_d + 1)]))
     return sums.select(key, rows.alias("r")).select(key, "r.*")
@@ -108,7 +108,7 @@ def ar1_fit(lagged: DataFrame, key: str = "series") -> DataFrame:
     sxx, sxy, syy = F.regr_sxx(y, x), F.regr_sxy(y, x), F.regr_syy(y, x)
     return lagged.groupBy(key).agg(
         n.alias("n"), F.regr_slope(y, x).alias("phi"), F.regr_intercept(y, x).alias("c"),
-        ((syy - sxy * sxy / sxx) / (n - 2)).alias("sigma2"),
+        F.try_divide(syy - sxy * F.try_divide(sxy, sxx), (n - 2).cast("double")).alias("sigma2"),
         F.max_by("y", "idx").alias("y_last"),
     )
 
