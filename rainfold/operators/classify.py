@@ -83,16 +83,17 @@ def build_estimator(spec: Spec, n_features: int):
 def fit(spec: Spec, balanced: DataFrame, train: DataFrame, feature_cols: Sequence[str], label: str) -> PipelineModel:
     """Fit the spec's pipeline.  As in the reference, the label and feature
     indexers are fitted on the whole (balanced) data, the classifier on ``train``."""
-    assembler = FE.VectorAssembler(inputCols=list(feature_cols), outputCol="features")
+    pre = [] if "features" in train.columns else [
+        FE.VectorAssembler(inputCols=list(feature_cols), outputCol="features")]
     if spec.algo == "mlp":
-        return Pipeline(stages=[assembler, build_estimator(spec, len(feature_cols))]).fit(
+        return Pipeline(stages=[*pre, build_estimator(spec, len(feature_cols))]).fit(
             train.withColumn("label_d", F.col(label).cast("double")))
-    assembled = assembler.transform(balanced)
+    assembled = pre[0].transform(balanced) if pre else balanced
     label_idx = FE.string_indexer(label, "indexedLabel", spec.label_order).fit(assembled)
     feat_idx = FE.vector_indexer("features", "indexedFeatures", 2).fit(assembled)
     est = build_estimator(spec, len(feature_cols))
     unindex = FE.index_to_string(label_idx.labels, "prediction", "predictedLabel")
-    stages = [assembler, label_idx, feat_idx, est, unindex]
+    stages = [*pre, label_idx, feat_idx, est, unindex]
     return Pipeline(stages=stages).fit(train)
 
 
@@ -101,7 +102,7 @@ def positive_score(model: PipelineModel, spec: Spec, scored: DataFrame, positive
     prob = vector_to_array(F.col("probability"))
     if spec.algo == "mlp":
         return prob[1]
-    labels = model.stages[1].labels
+    labels = next(st for st in model.stages if hasattr(st, "labels") and hasattr(st, "getStringOrderType")).labels
     return prob[labels.index(positive)] if positive in labels else F.lit(0.0)
 
 
@@ -112,9 +113,38 @@ def score(model: PipelineModel, spec: Spec, test: DataFrame, label: str) -> Data
     return scored.withColumn("score", positive_score(model, spec, scored)).withColumn("pred", pred)
 
 
+def cache_spread(df: DataFrame) -> DataFrame:
+    """Cache a training set with at least one partition per core.
+
+    MLlib's parallelism is the input's partition count; a small input that AQE
+    coalesced into a few partitions is spread once (round robin) after
+    caching.  Large inputs already have more partitions and are left alone.
+    """
+    cached = df.cache()
+    cached.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cached.rdd.getNumPartitions() >= cores:
+        return cached
+    spread = cached.repartition(cores).cache()
+    spread.count()
+    cached.unpersist()
+    return spread
+
+
+def prepare_input(df: DataFrame, feature_cols: Sequence[str], label: str, key: str) -> DataFrame:
+    """Compact, cached ``(key, features, label)`` table spread over the cores;
+    experiments hash, split and balance it without re-reading the source."""
+    return cache_spread(FE.assemble(df, feature_cols, "features").select(key, "features", label))
+
+
 def run_experiment(df: DataFrame, spec: Spec, feature_cols: Sequence[str], label: str = "label",
-                   key: str = "id", weights: Sequence[float] = (0.7, 0.3)) -> dict:
-    """One experiment → one result record (metrics computed from one cached scoring)."""
+                   key: str = "id", weights: Sequence[float] = (0.7, 0.3), prepared: bool = False) -> dict:
+    """One experiment → one result record (metrics computed from one cached scoring).
+
+    ``prepared``: ``df`` already is ``prepare_input``'s output (the grid
+    prepares once for all its experiments)."""
+    data = df if prepared else prepare_input(df, feature_cols, label, key)
+    df = data
     balanced = balance(df, spec, key, label)
     if spec.balance_scope == "train" and spec.balance != "none":
         base = balance(df, Spec(spec.algo, "none", seed=spec.seed), key, label)
@@ -131,6 +161,8 @@ def run_experiment(df: DataFrame, spec: Spec, feature_cols: Sequence[str], label
     n_train = train.count()
     scored.unpersist()
     train.unpersist()
+    if not prepared:
+        data.unpersist()
     return {
         "algo": spec.algo, "balance": spec.balance, "balance_scope": spec.balance_scope,
         "num_trees": spec.num_trees if spec.algo == "forest" else None,
@@ -150,8 +182,8 @@ RESULT_SCHEMA = (
 def run_grid(spark: SparkSession, df: DataFrame, specs: Sequence[Spec], feature_cols: Sequence[str],
              label: str = "label", key: str = "id") -> DataFrame:
     """Results of several experiments side by side, as one DataFrame."""
-    base = df.cache()
-    rows = [run_experiment(base, s, feature_cols, label, key) for s in specs]
+    base = prepare_input(df, feature_cols, label, key)
+    rows = [run_experiment(base, s, feature_cols, label, key, prepared=True) for s in specs]
     base.unpersist()
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 

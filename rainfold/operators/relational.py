@@ -119,12 +119,10 @@ def shifted_lags(df: DataFrame, key: str | None, idx: str, col: str, lags: Seque
     """
     keys = [key] if key else []
     shifts = sorted(set([0, *lags]))
-    moved = df.select(
-        *keys,
-        F.explode(F.array(*[F.struct(F.lit(k).alias("k"), (F.col(idx) + k).alias("pos")) for k in shifts])).alias("_s"),
-        F.col(col).alias("_v"),
-    ).select(*keys, F.col("_s.k").alias("_k"), F.col("_s.pos").alias(idx), "_v")
-    aggs = [F.max(F.when(F.col("_k") == 0, F.lit(True))).alias("_present"),
-            F.max(F.when(F.col("_k") == 0, F.col("_v"))).alias(col)]
-    aggs += [F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(f"{prefix}{k}") for k in shifts if k != 0]
-    return moved.groupBy(*keys, idx).agg(*aggs).filter(F.col("_present")).drop("_present")
+    pairs = ", ".join(f"named_struct('k', {k}, 'pos', `{idx}` + {k})" for k in shifts)
+    moved = df.selectExpr(*[f"`{c}`" for c in keys], f"explode(array({pairs})) AS _s", f"`{col}` AS _v") \
+        .selectExpr(*[f"`{c}`" for c in keys], "_s.k AS _k", f"_s.pos AS `{idx}`", "_v")
+    aggs = [F.expr("max(CASE WHEN _k = 0 THEN true END) AS _present"),
+            F.expr(f"max(CASE WHEN _k = 0 THEN _v END) AS `{col}`")]
+    aggs += [F.expr(f"max(CASE WHEN _k = {k} THEN _v END) AS `{prefix}{k}`") for k in shifts if k != 0]
+    return moved.groupBy(*keys, idx).agg(*aggs).filter("_present").drop("_present")

@@ -18,11 +18,17 @@ BROADCAST_ROWS = 1_000_000
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the row count is proven ≤ ``max_rows``.
 
-    The check reads at most ``max_rows + 1`` rows, so a large input costs a
-    bounded scan and simply stays a shuffle-join side.
+    The side is cached while it is counted, so the join reuses those rows
+    instead of recomputing the side's plan.  The count reads at most
+    ``max_rows + 1`` rows; a larger side is released and stays an ordinary
+    shuffle-join side (AQE may still convert it by its measured size).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    kept = df.cache()
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def fecha(ts: Column) -> Column:

@@ -29,9 +29,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_base
+from ..session import materialize as materialize_table
+from ..session import ship_package
 from .relational import shifted_lags
-from .serving import checked_broadcast
 
 # 5 % critical value of the Dickey–Fuller t-test with constant
 # and no trend (asymptotic), and the default search bounds of the order search.
@@ -51,19 +51,27 @@ def lag_table(df: DataFrame, key: str = "series", idx: str = "idx", y: str = "y"
     return shifted_lags(df.select(key, idx, y), key, idx, y, list(range(1, max_lag + 1)), prefix="l")
 
 
-def _diff(d: int, k: int, y: str = "y") -> Column:
-    """z_{t-k} for differencing order d, from columns y (k = 0) and l<j>."""
+def _diff_sql(d: int, k: int, y: str = "y") -> str:
+    """SQL text of z_{t-k} for differencing order d, from columns y (k = 0) and l<j>.
+
+    Expressions are built as SQL text: one JVM call per expression instead of
+    one per operator keeps plan construction fast with many lag columns.
+    """
     def v(j):
-        return F.col(y) if j == 0 else F.col(f"l{j}")
+        return y if j == 0 else f"l{j}"
     if d == 0:
         return v(k)
     if d == 1:
-        return v(k) - v(k + 1)
+        return f"({v(k)} - {v(k + 1)})"
     if d == 2:
-        return v(k) - 2.0 * v(k + 1) + v(k + 2)
+        return f"({v(k)} - 2.0 * {v(k + 1)} + {v(k + 2)})"
     raise ValueError("d must be 0, 1 or 2")
 
 
+def _diff(d: int, k: int, y: str = "y") -> Column:
+    return F.expr(_diff_sql(d, k, y))
+
+
 def _t_stat(n: Column, sxx: Column, sxy: Column, syy: Column) -> Column:
     beta = F.try_divide(sxy, sxx)
     sse = syy - sxy * beta
@@ -128,12 +136,13 @@ def ar1_as_model(fit: DataFrame, key: str = "series") -> DataFrame:
 # --------------------------------------------------------------------------
 
 def _gram_aggs(names: list[str]) -> list[Column]:
-    out = [F.count(F.lit(1)).alias("n")]
+    """``count`` and ``sum(a * b)`` for every pair of regressors (SQL text)."""
+    out = [F.expr("count(1) AS n")]
     for i, a in enumerate(names):
         for b in names[i:]:
-            ca = F.lit(1.0) if a == "one" else F.col(a)
-            cb = F.lit(1.0) if b == "one" else F.col(b)
-            out.append(F.sum(ca * cb).alias(f"g__{a}__{b}"))
+            ca = "1.0" if a == "one" else a
+            cb = "1.0" if b == "one" else b
+            out.append(F.expr(f"sum({ca} * {cb}) AS g__{a}__{b}"))
     return out
 
 
@@ -207,50 +216,55 @@ GRID_SCHEMA = ("series string, p int, q int, n long, const double, ar array<doub
                "sigma2 double, aic double, ok boolean")
 
 
-def prepare(series_idx: DataFrame, d_table: DataFrame, m: int = LONG_AR, max_p: int = MAX_P, max_q: int = MAX_Q,
-            materialize: bool = True) -> DataFrame:
+def prepare(series_idx: DataFrame, d_table: DataFrame | None = None, m: int = LONG_AR, max_p: int = MAX_P,
+            max_q: int = MAX_Q, materialize: bool = True) -> DataFrame:
     """Lag table of the centred differenced series with stage-1 residual columns.
 
     Columns: series, idx, d, mu, y, l1, z0..z<m+max(p,q)> (centred Δ^d y at
     lags), e0..e<max(p,q)> (long-AR residuals at lags).  With ``materialize``
-    the lag table is checkpointed into the shared checkpoint folder, cutting
-    the lineage before the two fitting stages reuse it.
+    the lag table is written as Parquet into the shared checkpoint folder, cutting
+    the lineage before the unit-root test and both fitting stages reuse it.
+    Without a ``d_table`` the differencing order comes from the unit-root
+    test on that same lag table.
     """
     k = max(max_p, max_q)
     n_lags = m + k + MAX_D
+    ship_package(series_idx.sparkSession)
     lag = lag_table(series_idx, "series", "idx", "y", n_lags)
-    dd = checked_broadcast(d_table.select("series", "d"))
-    t = lag.join(dd, "series", "inner")
-
-    def z(kk: int) -> Column:
-        return F.when(F.col("d") == 0, _diff(0, kk)).when(F.col("d") == 1, _diff(1, kk)).otherwise(_diff(2, kk))
-
-    t = t.select("series", "idx", "d", "y", "l1", *[z(kk).alias(f"zr{kk}") for kk in range(m + k + 1)])
     if materialize:
-        checkpoint_base(series_idx.sparkSession)
-        t = t.checkpoint(eager=True)
-    mu = t.groupBy("series").agg(F.avg("zr0").alias("mu"))
-    t = t.join(checked_broadcast(mu), "series", "inner").select(
-        "series", "idx", "d", "mu", "y", "l1", *[(F.col(f"zr{kk}") - F.col("mu")).alias(f"z{kk}")
-                                                   for kk in range(m + k + 1)])
+        lag = materialize_table(lag, "lags")
+    if d_table is None:
+        d_table = select_d(adf_stats(lag, "series"), "series")
+    # Per-series tables (d, mean, stage-1 coefficients) come out of a shuffle
+    # aggregate; AQE measures them and broadcasts only below its size
+    # threshold, keeping a sort-merge join otherwise: no extra counting job.
+    t = lag.join(d_table.select("series", "d"), "series", "inner")
+
+    def z(kk: int) -> str:
+        return (f"CASE d WHEN 0 THEN {_diff_sql(0, kk)} WHEN 1 THEN {_diff_sql(1, kk)} "
+                f"ELSE {_diff_sql(2, kk)} END AS zr{kk}")
+
+    t = t.selectExpr("series", "idx", "d", "y", "l1", *[z(kk) for kk in range(m + k + 1)])
+    mu = t.groupBy("series").agg(F.expr("avg(zr0) AS mu"))
+    t = t.join(mu, "series", "inner").selectExpr(
+        "series", "idx", "d", "mu", "y", "l1", *[f"zr{kk} - mu AS z{kk}" for kk in range(m + k + 1)])
     # stage 1: long AR(m) on the centred series
     names1 = ["one", *[f"z{kk}" for kk in range(1, m + 1)], "z0"]
-    full1 = F.col(f"z{m}").isNotNull()
-    g1 = t.filter(full1).groupBy("series").agg(*_gram_aggs(names1))
+    g1 = t.filter(f"z{m} IS NOT NULL").groupBy("series").agg(*_gram_aggs(names1))
     a = g1.mapInPandas(_stage1_solver(names1), "series string, a array<double>")
-    t = t.join(checked_broadcast(a), "series", "inner")
-    for j in range(k + 1):
-        pred = F.element_at("a", 1) + sum(
-            (F.element_at("a", kk + 1) * F.col(f"z{j + kk}") for kk in range(1, m + 1)), F.lit(0.0))
-        t = t.withColumn(f"e{j}", F.col(f"z{j}") - pred)
-    return t.drop("a")
+    t = t.join(a, "series", "inner")
+    resid = [f"z{j} - a[0] - (" + " + ".join(f"a[{kk}] * z{j + kk}" for kk in range(1, m + 1)) + f") AS e{j}"
+             for j in range(k + 1)]
+    keep = ["series", "idx", "d", "mu", "y", "l1", *[f"z{kk}" for kk in range(m + k + 1)]]
+    return t.selectExpr(*keep, *resid)
 
 
 def fit_grid(prepared: DataFrame, max_p: int = MAX_P, max_q: int = MAX_Q) -> DataFrame:
     """All (p, q) candidates per series from one stage-2 Gram aggregate."""
+    ship_package(prepared.sparkSession)
     names2 = ["one", *[f"z{i}" for i in range(1, max_p + 1)], *[f"e{j}" for j in range(1, max_q + 1)], "z0"]
-    full2 = F.col(f"e{max_q}").isNotNull() & F.col(f"z{max_p}").isNotNull()
-    g2 = prepared.filter(full2).groupBy("series").agg(*_gram_aggs(names2))
+    g2 = prepared.filter(f"e{max_q} IS NOT NULL AND z{max_p} IS NOT NULL").groupBy("series").agg(
+        *_gram_aggs(names2))
     return g2.mapInPandas(_stage2_solver(names2, max_p, max_q), GRID_SCHEMA)
 
 

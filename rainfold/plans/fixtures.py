@@ -113,3 +113,20 @@ def running_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ts_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All modelled series: hourly mean per event type, plus the random walk."""
     return hourly_series(spark, sf_dir).unionByName(running_series(spark, sf_dir))
+
+
+def lbl_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ part with label ``l_extendedprice·(1 − l_discount) > 30000``
+    (the workload of the baseline's orientation timings)."""
+    li = table(spark, sf_dir, "lineitem")
+    pa = table(spark, sf_dir, "part")
+    j = li.join(pa, li.l_partkey == pa.p_partkey, "inner")
+    return j.select(
+        key_text(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]).alias("hkey"),
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        F.col("p_size").cast("double").alias("p_size"), "p_retailprice",
+        ((F.col("l_extendedprice") * (1 - F.col("l_discount"))) > 30000).cast("int").alias("label"),
+    )
+
+
+PRICE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice"]

@@ -91,9 +91,8 @@ def forecast_ar1(spark, sf_dir):
 
 
 def arima_prepared(spark, sf_dir):
-    idx = indexed(spark, sf_dir)
-    d = T.select_d(T.adf_stats(T.lag_table(idx, "series", "idx", "y", 3), "series"), "series")
-    return T.prepare(idx, d)
+    """Lag table (checkpointed), d by unit-root test, stage-1 residuals."""
+    return T.prepare(indexed(spark, sf_dir))
 
 
 @register("arima_grid")

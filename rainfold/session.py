@@ -70,3 +70,54 @@ def local_path(uri: str) -> str:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("RAINFOLD_SF_DIR", default)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rainfold`` importable in Python workers (``addPyFile``).
+
+    Pandas functions are pickled by reference to this package, so executors
+    need it.  The package is zipped once per application, written below the
+    shared scratch folder (through the Arrow file system of that URI) and
+    registered with ``addPyFile``, which also serves it to remote executors.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import io
+    import zipfile
+
+    from pyarrow import fs as pafs
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.join("rainfold", os.path.relpath(full, root)))
+    target = scratch_path(spark, "pyfiles")
+    filesystem, path = pafs.FileSystem.from_uri(target if "://" in target else "file://" + local_path(target))
+    filesystem.create_dir(path, recursive=True)
+    with filesystem.open_output_stream(f"{path}/rainfold.zip") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(f"{target}/rainfold.zip")
+    _SHIPPED.add(app)
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as Parquet below the shared checkpoint folder
+    and read it back.
+
+    One job writes the rows; later stages read files that survive executor
+    loss, and reads prune columns like any Parquet scan.  (A reliable RDD
+    checkpoint of an unpersisted plan computes it twice.)
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import ship_package
+
 LINES_SCHEMA = "path string, member string, line long, value string"
 BATCH_LINES = 65536
 
@@ -45,6 +47,7 @@ def _unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every text line of every member of every archive under ``path``."""
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
     return files.mapInPandas(_unzip_lines, LINES_SCHEMA)
 
@@ -89,6 +92,7 @@ def write_zip_csv(df: DataFrame, path: str) -> None:
     Each task compresses the parts it reads, writing through the Arrow file
     system of the destination URI; nothing passes through the driver.
     """
+    ship_package(df.sparkSession)
     parts = f"{path.rstrip('/')}/_parts"
     df.write.mode("errorifexists").option("header", True).csv(parts)
     files = (spark_of(df).read.format("binaryFile").option("pathGlobFilter", "*.csv").load(parts)
