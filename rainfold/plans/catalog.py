@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_io, q_learning, q_sampling, q_serving, q_timeseries, q_weather  # noqa: F401
+from . import q_io, q_learning, q_sampling, q_serving, q_streaming, q_timeseries, q_weather  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
