@@ -235,24 +235,30 @@ def prepare(series_idx: DataFrame, d_table: DataFrame | None = None, m: int = LO
         lag = materialize_table(lag, "lags")
     if d_table is None:
         d_table = select_d(adf_stats(lag, "series"), "series")
-    # Per-series tables (d, mean, stage-1 coefficients) come out of a shuffle
-    # aggregate; AQE measures them and broadcasts only below its size
+    # Per-series tables (d, mean, stage-1 coefficients) come out of shuffle
+    # aggregates; AQE measures them and broadcasts only below its size
     # threshold, keeping a sort-merge join otherwise: no extra counting job.
-    t = lag.join(d_table.select("series", "d"), "series", "inner")
+    # They are gathered into one small parameter table, written once, so the
+    # later consumers (order grid, forecast start) scan the lag table once each.
 
-    def z(kk: int) -> str:
+    def z(kk: int, centre: str = "") -> str:
         return (f"CASE d WHEN 0 THEN {_diff_sql(0, kk)} WHEN 1 THEN {_diff_sql(1, kk)} "
-                f"ELSE {_diff_sql(2, kk)} END AS zr{kk}")
+                f"ELSE {_diff_sql(2, kk)} END{centre} AS z{kk}")
 
-    t = t.selectExpr("series", "idx", "d", "y", "l1", *[z(kk) for kk in range(m + k + 1)])
-    mu = t.groupBy("series").agg(F.expr("avg(zr0) AS mu"))
-    t = t.join(mu, "series", "inner").selectExpr(
-        "series", "idx", "d", "mu", "y", "l1", *[f"zr{kk} - mu AS z{kk}" for kk in range(m + k + 1)])
+    zr = lag.join(d_table.select("series", "d"), "series", "inner").selectExpr(
+        "series", "d", *[z(kk) for kk in range(m + 1)])
+    mu = zr.groupBy("series", "d").agg(F.expr("avg(z0) AS mu"))
+    centred = zr.join(mu.drop("d"), "series", "inner").selectExpr(
+        "series", *[f"z{kk} - mu AS z{kk}" for kk in range(m + 1)])
     # stage 1: long AR(m) on the centred series
     names1 = ["one", *[f"z{kk}" for kk in range(1, m + 1)], "z0"]
-    g1 = t.filter(f"z{m} IS NOT NULL").groupBy("series").agg(*_gram_aggs(names1))
+    g1 = centred.filter(f"z{m} IS NOT NULL").groupBy("series").agg(*_gram_aggs(names1))
     a = g1.mapInPandas(_stage1_solver(names1), "series string, a array<double>")
-    t = t.join(a, "series", "inner")
+    params = mu.join(a, "series", "inner")
+    if materialize:
+        params = materialize_table(params, "arma-params")
+    t = lag.join(params, "series", "inner").selectExpr(
+        "series", "idx", "d", "mu", "a", "y", "l1", *[z(kk, " - mu") for kk in range(m + k + 1)])
     resid = [f"z{j} - a[0] - (" + " + ".join(f"a[{kk}] * z{j + kk}" for kk in range(1, m + 1)) + f") AS e{j}"
              for j in range(k + 1)]
     keep = ["series", "idx", "d", "mu", "y", "l1", *[f"z{kk}" for kk in range(m + k + 1)]]
