@@ -155,8 +155,8 @@ def run_experiment(df: DataFrame, spec: Spec, feature_cols: Sequence[str], label
     train = train.cache()
     model = fit(spec, balanced, train, feature_cols, label)
     scored = score(model, spec, test, label).select("pred", "score", F.col(label).alias("_y")).cache()
-    acc = M.accuracy(scored, "pred", "_y").first()
-    hard = M.auc_hard(scored, "pred", "_y").first()
+    acc = M.accuracy_and_auc_hard(scored, "pred", "_y").first()
+    hard = acc
     auc = M.auc_scores(scored, "score", "_y").first()
     n_train = train.count()
     scored.unpersist()

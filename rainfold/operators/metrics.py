@@ -25,6 +25,18 @@ def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label"
         "accuracy", (1.0 - F.col("accuracy")).alias("test_error"), "n")
 
 
+def accuracy_and_auc_hard(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
+    """Accuracy, test error and hard-label AUC in one aggregate (one pass)."""
+    p = F.col(prediction).cast("double")
+    y = F.col(label).cast("double")
+    hit = (p == y).cast("double")
+    return df.agg(
+        F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"),
+        F.avg(F.when(y == 1.0, p)).alias("tpr"), F.avg(F.when(y == 0.0, 1.0 - p)).alias("tnr"),
+    ).select("accuracy", (1.0 - F.col("accuracy")).alias("test_error"), "n",
+             ((F.col("tpr") + F.col("tnr")) / 2.0).alias("auc_hard"))
+
+
 def auc_hard(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """AUC of 0/1 predictions: the ROC has one inner point, so AUC = (TPR + TNR) / 2."""
     p = F.col(prediction).cast("double")
@@ -71,7 +83,8 @@ def auc_scores(df: DataFrame, score: str = "score", label: str = "label", n_buck
 
     AUC = Σ_s pos_s · (negatives below s + neg_s / 2) / (P · N).
     """
-    cum = running_totals(score_counts(df, score, label), "score", ["neg"], n_buckets)
+    sc = score_counts(df, score, label).cache()  # read by the quantile pass and the totals
+    cum = running_totals(sc, "score", ["neg"], n_buckets)
     below = F.col("cum_neg") - F.col("neg")
     return cum.agg(
         F.sum(F.col("pos") * (below + F.col("neg") / 2.0)).alias("_num"),
@@ -82,7 +95,7 @@ def auc_scores(df: DataFrame, score: str = "score", label: str = "label", n_buck
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", n_buckets: int = N_BUCKETS) -> DataFrame:
     """One row per distinct threshold t: counts and rates of ``score >= t``."""
-    sc = score_counts(df, score, label)
+    sc = score_counts(df, score, label).cache()  # read by the quantile pass, totals and offsets
     cum = running_totals(sc, "score", ["pos", "neg"], n_buckets)
     totals = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     p_all, n_all = totals.select("P").scalar(), totals.select("N").scalar()

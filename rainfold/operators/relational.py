@@ -75,8 +75,13 @@ def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str
 
 
 def hour_floor(ts: str | Column) -> Column:
-    """Truncate a wall-clock timestamp to the hour, keeping ``timestamp_ntz``."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """Truncate a wall-clock timestamp to the hour, keeping ``timestamp_ntz``.
+
+    Built from the wall-clock fields, so the session time zone (and its
+    daylight-saving gaps) cannot move an hour.
+    """
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
 
 
 def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: str = "idx",

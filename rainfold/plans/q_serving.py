@@ -85,3 +85,14 @@ FROM requests q""")
 def forecast_json(spark, sf_dir):
     """One JSON array of records per request (``[]`` for n = 0)."""
     return V.as_json(X.requests(spark, sf_dir), finish(records(spark, sf_dir)))
+
+
+@register("arima_forecast_records")
+def arima_forecast_records(spark, sf_dir):
+    """End to end: weather join → complete rows → ARIMA order search per series
+    (TEMP, HUM) → 24 forecast records with Fecha, Temperatura, Humedad."""
+    idx = series_indexed(spark, sf_dir).withColumnRenamed("DATE", "ts")
+    prep = T.prepare(idx.select("series", "idx", "y"))
+    models = T.arima_models(prep, T.select_order(T.fit_grid(prep)))
+    fc = T.forecast(models, HORIZON)
+    return V.forecast_records(fc, X.latest_hour(spark, sf_dir), "TEMP", "HUM")
