@@ -112,22 +112,25 @@ def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: s
 
 
 def shifted_lags(df: DataFrame, key: str | None, idx: str, col: str, lags: Sequence[int],
-                 prefix: str = "lag") -> DataFrame:
-    """Columns ``{prefix}{k}`` = value ``k`` positions earlier, by key shifting.
-
-    Each row is emitted once per wanted lag with its position moved forward by
-    ``k``; grouping on ``(key, position)`` brings the values back together.
-    This is the same as ``lag(col, k) over (partition by key order by idx)``
-    but the shuffle is on ``(key, position)``, so one very long series is
-    spread over every task instead of landing in one.  Rows keep only the
-    positions that exist in the input (lags before the start are null).
+                 prefix: str = "lag", block_rows: int = 100_000) -> DataFrame:
+    """Columns ``{prefix}{k}`` = value ``k`` positions earlier (``idx`` dense 1..N per key).
+
+    Equal to ``lag(col, k) over (partition by key order by idx)``, but a long
+    series is cut into blocks of ``block_rows`` positions.  The last
+    ``max(lags)`` rows of each block are copied into the next block as context,
+    so one window per ``(key, block)`` sees every value it needs.  The data is
+    shuffled once (plus a ``max(lags) / block_rows`` share of context rows),
+    and a series holding a third of all rows is still spread over many tasks.
     """
     keys = [key] if key else []
-    shifts = sorted(set([0, *lags]))
-    pairs = ", ".join(f"named_struct('k', {k}, 'pos', `{idx}` + {k})" for k in shifts)
-    moved = df.selectExpr(*[f"`{c}`" for c in keys], f"explode(array({pairs})) AS _s", f"`{col}` AS _v") \
-        .selectExpr(*[f"`{c}`" for c in keys], "_s.k AS _k", f"_s.pos AS `{idx}`", "_v")
-    aggs = [F.expr("max(CASE WHEN _k = 0 THEN true END) AS _present"),
-            F.expr(f"max(CASE WHEN _k = 0 THEN _v END) AS `{col}`")]
-    aggs += [F.expr(f"max(CASE WHEN _k = {k} THEN _v END) AS `{prefix}{k}`") for k in shifts if k != 0]
-    return moved.groupBy(*keys, idx).agg(*aggs).filter("_present").drop("_present")
+    kmax = max(lags)
+    if kmax >= block_rows:
+        raise ValueError("block_rows must exceed the largest lag")
+    blk = f"CAST((`{idx}` - 1) DIV {block_rows} AS BIGINT)"
+    own = df.selectExpr(*[f"`{c}`" for c in keys], f"`{idx}`", f"`{col}`", f"{blk} AS _blk", "false AS _ctx")
+    ctx = own.filter(f"(`{idx}` - 1) % {block_rows} >= {block_rows - kmax}").selectExpr(
+        *[f"`{c}`" for c in keys], f"`{idx}`", f"`{col}`", "_blk + 1 AS _blk", "true AS _ctx")
+    w = Window.partitionBy(*keys, "_blk").orderBy(idx)
+    both = own.unionByName(ctx)
+    out = both.select(*keys, idx, col, "_ctx", *[F.lag(col, k).over(w).alias(f"{prefix}{k}") for k in lags])
+    return out.filter(~F.col("_ctx")).drop("_ctx")

@@ -53,3 +53,12 @@ def test_first_n_is_ordered_limit(spark):
 def test_drop_any_null_joint(spark):
     df = spark.createDataFrame([(1, None, 2.0), (2, 1.0, 2.0), (3, 1.0, None)], "t int, h double, x double")
     assert [r["t"] for r in R.drop_any_null(df).collect()] == [2]
+
+
+def test_shifted_lags_across_blocks(spark):
+    df = R.position_index(_series(spark, 300), "ts", key="series")
+    got = R.shifted_lags(df.select("series", "idx", "y"), "series", "idx", "y", [1, 3, 7], block_rows=16)
+    w = Window.partitionBy("series").orderBy("idx")
+    want = df.select("series", "idx", "y", *[F.lag("y", k).over(w).alias(f"lag{k}") for k in (1, 3, 7)])
+    cols = ["series", "idx", "y", "lag1", "lag3", "lag7"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
