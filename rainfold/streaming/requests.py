@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.serving import hour_offsets
+from ..operators.serving import checked_broadcast, hour_offsets
 
 REQUEST_SCHEMA = "request_id long, n int"
 
@@ -27,11 +27,11 @@ def request_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
 def answers(requests: DataFrame, records: DataFrame) -> DataFrame:
     """``(request_id, h, Fecha, Temperatura, Humedad)`` for h < n of each request.
 
-    ``records`` is static and small (one row per forecast hour), so the
-    planner broadcasts it to every micro-batch.
+    ``records`` is static (one row per forecast hour); after a bounded row
+    count it is broadcast to every micro-batch.
     """
     hours = requests.select("request_id", F.explode(hour_offsets(F.col("n"))).alias("h"))
-    return hours.join(F.broadcast(records), "h", "inner").select(
+    return hours.join(checked_broadcast(records), "h", "inner").select(
         "request_id", "h", "Fecha", "Temperatura", "Humedad")
 
 
