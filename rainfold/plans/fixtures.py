@@ -26,8 +26,21 @@ LBL_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "PSSM_central_-1_
 DOC_FEATURES = ["n_chars", "n_spaces", "n_lines", "n_commas", "n_dots", "is_en"]
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table as a lazy DataFrame.
+
+    Opening a Parquet source runs a small schema-discovery job; the plan is
+    kept per application and path so pipelines that read a table several
+    times open it once (the data itself is not cached).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _wide(events: DataFrame, value: Column) -> DataFrame:
