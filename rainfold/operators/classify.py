@@ -10,7 +10,7 @@ distributed MLlib job.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -41,7 +41,6 @@ class Spec:
     max_iter: int = 100
     block_size: int = 128
     label_order: str = "alphabetAsc"  # keeps label 1 at index 1, so scores mean P(label = 1)
-    extra: dict = field(default_factory=dict)
 
 
 def reference_grid() -> list[Spec]:
@@ -188,10 +187,26 @@ RESULT_SCHEMA = (
 
 
 def run_grid(spark: SparkSession, df: DataFrame, specs: Sequence[Spec], feature_cols: Sequence[str],
-             label: str = "label", key: str = "id") -> DataFrame:
-    """Results of several experiments side by side, as one DataFrame."""
+             label: str = "label", key: str = "id", concurrent: int = 4) -> DataFrame:
+    """Results of several experiments side by side, as one DataFrame.
+
+    The input is prepared once.  Experiments are independent, so up to
+    ``concurrent`` of them submit their Spark jobs at the same time from
+    driver threads; the scheduler interleaves their tasks, which keeps cores
+    busy when single experiments are small.  Rows keep the order of ``specs``.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
     base = prepare_input(df, feature_cols, label, key)
-    rows = [run_experiment(base, s, feature_cols, label, key, prepared=True) for s in specs]
+
+    @inheritable_thread_target
+    def one(spec: Spec) -> dict:
+        return run_experiment(base, spec, feature_cols, label, key, prepared=True)
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
+        rows = list(pool.map(one, specs))
     base.unpersist()
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
@@ -213,6 +228,3 @@ def model_summary(model) -> dict:
 SUMMARY_SCHEMA = ("model string, depth int, num_nodes int, num_trees int, num_features int, num_classes int, "
                   "importances array<double>")
 
-
-def spec_dict(spec: Spec) -> dict:
-    return asdict(spec)

@@ -68,9 +68,6 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("RAINFOLD_SF_DIR", default)
-
 
 _SHIPPED: set[str] = set()
 
