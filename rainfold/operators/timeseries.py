@@ -98,6 +98,59 @@ def adf_stats(lagged: DataFrame, key: str = "series", max_d: int = MAX_D) -> Dat
     return sums.select(key, rows.alias("r")).select(key, "r.*")
 
 
+def _adf_solver(k: int):
+    names = ["one", "x", *[f"g{j}" for j in range(1, k + 1)], "dz"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for _, row in pdf.iterrows():
+                g = _gram_matrix(row, names)
+                n = float(row["n"])
+                xtx, xty = g[:-1, :-1], g[:-1, -1]
+                try:
+                    inv = np.linalg.inv(xtx)
+                except np.linalg.LinAlgError:
+                    out.append((row["series"], int(row["d"]), int(n), None, None))
+                    continue
+                b = inv @ xty
+                rss = float(g[-1, -1] - b @ xty)
+                dof = n - len(b)
+                if dof <= 0 or rss <= 0:
+                    out.append((row["series"], int(row["d"]), int(n), float(b[1]), None))
+                    continue
+                se = math.sqrt(rss / dof * inv[1, 1])
+                out.append((row["series"], int(row["d"]), int(n), float(b[1]), float(b[1] / se)))
+            yield pd.DataFrame(out, columns=["series", "d", "n", "beta", "t_stat"])
+    return run
+
+
+def adf_stats_augmented(lagged: DataFrame, lags: int, key: str = "series", max_d: int = MAX_D) -> DataFrame:
+    """Augmented Dickey–Fuller: Δz_t = α + β z_{t-1} + Σ_{j≤lags} γ_j Δz_{t-j}.
+
+    ``lagged`` needs y lags up to ``max_d + lags + 1``.  One Gram aggregate per
+    (series, d) and a small solve per group give β and its t-statistic.
+    """
+    need = max_d + lags + 1
+    if f"l{need}" not in lagged.columns:
+        raise ValueError(f"lag table needs y lags up to {need} for d ≤ {max_d} and {lags} lagged differences")
+    ship_package(lagged.sparkSession)
+    per_d = []
+    for d in range(max_d + 1):
+        dz = [f"({_diff_sql(d, j)} - {_diff_sql(d, j + 1)})" for j in range(lags + 1)]
+        per_d.append(lagged.selectExpr(
+            f"`{key}` AS series", f"{d} AS d", f"{_diff_sql(d, 1)} AS x",
+            *[f"{dz[j]} AS g{j}" for j in range(1, lags + 1)], f"{dz[0]} AS dz"))
+    rows = per_d[0]
+    for extra in per_d[1:]:
+        rows = rows.unionByName(extra)
+    names = ["one", "x", *[f"g{j}" for j in range(1, lags + 1)], "dz"]
+    full = " AND ".join(f"{c} IS NOT NULL" for c in names[1:])
+    gram = rows.filter(full).groupBy("series", "d").agg(*_gram_aggs(names))
+    out = gram.mapInPandas(_adf_solver(lags), "series string, d int, n long, beta double, t_stat double")
+    return out.withColumnRenamed("series", key) if key != "series" else out
+
+
 def select_d(adf: DataFrame, key: str = "series", critical: float = ADF_CRITICAL_5PCT,
              max_d: int = MAX_D) -> DataFrame:
     """Smallest d whose differenced series rejects a unit root; ``max_d`` if none."""
@@ -217,7 +270,7 @@ GRID_SCHEMA = ("series string, p int, q int, n long, const double, ar array<doub
 
 
 def prepare(series_idx: DataFrame, d_table: DataFrame | None = None, m: int = LONG_AR, max_p: int = MAX_P,
-            max_q: int = MAX_Q, materialize: bool = True) -> DataFrame:
+            max_q: int = MAX_Q, materialize: bool = True, adf_lags: int = 0) -> DataFrame:
     """Lag table of the centred differenced series with stage-1 residual columns.
 
     Columns: series, idx, d, mu, y, l1, z0..z<m+max(p,q)> (centred Δ^d y at
@@ -228,13 +281,14 @@ def prepare(series_idx: DataFrame, d_table: DataFrame | None = None, m: int = LO
     test on that same lag table.
     """
     k = max(max_p, max_q)
-    n_lags = m + k + MAX_D
+    n_lags = max(m + k + MAX_D, MAX_D + adf_lags + 1)
     ship_package(series_idx.sparkSession)
     lag = lag_table(series_idx, "series", "idx", "y", n_lags)
     if materialize:
         lag = materialize_table(lag, "lags")
     if d_table is None:
-        d_table = select_d(adf_stats(lag, "series"), "series")
+        adf = adf_stats(lag, "series") if adf_lags == 0 else adf_stats_augmented(lag, adf_lags, "series")
+        d_table = select_d(adf, "series")
     # Per-series tables (d, mean, stage-1 coefficients) come out of shuffle
     # aggregates; AQE measures them and broadcasts only below its size
     # threshold, keeping a sort-merge join otherwise: no extra counting job.

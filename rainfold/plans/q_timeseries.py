@@ -37,6 +37,12 @@ def _adf_sql(d: int) -> str:
 FROM ts_lag GROUP BY series"""
 
 
+@register("adf_augmented")
+def adf_augmented(spark, sf_dir):
+    """Augmented Dickey–Fuller (two lagged differences) at d = 0, 1, 2 per series."""
+    return T.adf_stats_augmented(lagged(spark, sf_dir, 5), 2, "series")
+
+
 ADF_SQL = f"""{O.TS_SERIES},
 adf AS ({' UNION ALL '.join(_adf_sql(d) for d in range(3))})"""
 

@@ -124,3 +124,14 @@ def test_interval_contains_point(spark, synthetic):
     assert all(r["lo"] < r["yhat"] < r["hi"] for r in fc)
     walk = sorted((r["h"], r["se"]) for r in fc if r["series"] == "walk")
     assert walk[-1][1] > walk[0][1] * 1.5  # integrated: variance grows with h
+
+
+def test_augmented_adf_with_no_lags_equals_plain(spark, synthetic):
+    df, _, _ = synthetic
+    lag = T.lag_table(df, max_lag=5)
+    plain = {(r["series"], r["d"]): r["t_stat"] for r in T.adf_stats(lag).collect()}
+    aug0 = {(r["series"], r["d"]): r["t_stat"] for r in T.adf_stats_augmented(lag, 0).collect()}
+    assert plain.keys() == aug0.keys()
+    assert all(abs(plain[k] - aug0[k]) < 1e-6 for k in plain)
+    aug2 = {r["series"]: r["d"] for r in T.select_d(T.adf_stats_augmented(lag, 2)).collect()}
+    assert aug2["walk"] == 1 and aug2["ar1"] == 0
