@@ -85,7 +85,7 @@ def hour_floor(ts: str | Column) -> Column:
 
 
 def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: str = "idx",
-                   bucket_seconds: int = 3600) -> DataFrame:
+                   bucket_seconds: int = 3600, method: str = "bucket", partitions: int | None = None) -> DataFrame:
     """Dense 1-based position of each row within its key, ordered by a timestamp.
 
     A single window over a whole series would send that series to one task.
@@ -96,7 +96,15 @@ def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: s
     result equals ``row_number() over (partition by key order by order_col)``
     when the order column has no ties (ties are broken by the remaining
     columns' hash-free natural order inside one bucket).
+
+    ``method="range"`` handles raw rows whose buckets may be hot: rows are
+    range-partitioned on (key, order, row hash), so one key or one hour is
+    spread over many partitions by sampled bounds; per-(partition, key)
+    counts become offsets, and each piece numbers its own rows.  It writes
+    the partitioned rows once (see ``_position_index_range``).
     """
+    if method == "range":
+        return _position_index_range(df, order_col, key, idx, partitions)
     keys = [key] if key else []
     ts_sec = F.unix_micros(F.col(order_col).cast("timestamp")) / F.lit(1_000_000)
     b = df.withColumn("_bucket", F.floor(ts_sec / F.lit(bucket_seconds)).cast("long"))
@@ -111,6 +119,36 @@ def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: s
     )
 
 
+def _position_index_range(df: DataFrame, order_col: str, key: str | None, idx: str,
+                          partitions: int | None) -> DataFrame:
+    """Range-partitioned position index (see ``position_index``).
+
+    Each row gets its range-partition id once: the partitioned rows are
+    written with ``_pid`` below the shared checkpoint folder, and both the
+    per-partition counts and the numbering read that table.  (Two separately
+    planned range shuffles could sample different bounds, and column pruning
+    keeps Spark from reusing one exchange for both.)  Fully identical rows
+    share one partition, since they cannot be ordered apart.
+    """
+    from ..session import materialize
+
+    spark = df.sparkSession
+    keys = [key] if key else []
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tb = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ranged = materialize(df.withColumn("_tb", tb).repartitionByRange(n, *keys, order_col, "_tb")
+                         .withColumn("_pid", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    w_off = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", *keys, F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
+    w_local = Window.partitionBy("_pid", *keys).orderBy(order_col, "_tb")
+    return (
+        ranged.join(offsets, ["_pid", *keys], "inner")
+        .withColumn(idx, (F.col("_off") + F.row_number().over(w_local)).cast("long"))
+        .drop("_pid", "_tb", "_off")
+    )
+
+
 def shifted_lags(df: DataFrame, key: str | None, idx: str, col: str, lags: Sequence[int],
                  prefix: str = "lag", block_rows: int = 100_000) -> DataFrame:
     """Columns ``{prefix}{k}`` = value ``k`` positions earlier (``idx`` dense 1..N per key).

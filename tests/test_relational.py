@@ -62,3 +62,14 @@ def test_shifted_lags_across_blocks(spark):
     want = df.select("series", "idx", "y", *[F.lag("y", k).over(w).alias(f"lag{k}") for k in (1, 3, 7)])
     cols = ["series", "idx", "y", "lag1", "lag3", "lag7"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_position_index_range_with_hot_bucket(spark):
+    base = dt.datetime(2024, 1, 1)
+    # one key holds most rows, all inside a single hour bucket
+    rows = [("hot", base + dt.timedelta(microseconds=37 * i), float(i % 11)) for i in range(3000)]
+    rows += [(k, base + dt.timedelta(minutes=i), 1.0) for k in ("a", "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, y double")
+    got = R.position_index(df, "ts", key="series", method="range", partitions=16)
+    want = df.withColumn("idx", F.row_number().over(Window.partitionBy("series").orderBy("ts")).cast("long"))
+    assert sorted(got.select("series", "ts", "idx").collect()) == sorted(want.select("series", "ts", "idx").collect())
