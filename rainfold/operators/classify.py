@@ -51,6 +51,11 @@ def reference_grid() -> list[Spec]:
     return specs
 
 
+def undersample_seed(seed: int) -> int:
+    """Seed of the undersampling hash, distinct from the split's ``seed``."""
+    return seed + 7919
+
+
 def balance(df: DataFrame, spec: Spec, key: str, label: str) -> DataFrame:
     """Apply the spec's rebalancing; oversampled copies get distinct split keys."""
     if spec.balance == "none":
@@ -59,7 +64,9 @@ def balance(df: DataFrame, spec: Spec, key: str, label: str) -> DataFrame:
         over = S.oversample(df, label, k=2, copy_col="_copy")
         return over.withColumn("_skey", key_text([key, "_copy"])).drop("_copy")
     if spec.balance == "under":
-        kept = S.undersample(df, F.col(key).cast("string"), label, seed=spec.seed)
+        # A seed apart from the split's: with one hash for both, every kept
+        # negative (hash < P/(P+N)) would fall on the same side of the split.
+        kept = S.undersample(df, F.col(key).cast("string"), label, seed=undersample_seed(spec.seed))
         return kept.withColumn("_skey", F.col(key).cast("string"))
     raise ValueError(spec.balance)
 

@@ -32,3 +32,14 @@ def test_categorical_detection_agrees_with_vector_indexer(spark):
     ours = {r["feature"] for r in FE.categorical_columns(df, X.DOC_FEATURES, 2).collect() if r["categorical"]}
     vi = FE.vector_indexer("features", "ix", 2).fit(FE.assemble(df, X.DOC_FEATURES))
     assert {X.DOC_FEATURES[i] for i in vi.categoryMaps} == ours
+
+
+def test_undersample_and_split_are_independent(spark):
+    # ratio P/(P+N) = 0.25 < 0.7: if both used one hash, no negative could reach the test part
+    rows = [(i, float(i % 7), float(i % 5), float(i % 3), float(i % 11), float(i % 13), float(i % 2), int(i % 4 == 0))
+            for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double, e double, f double, label int")
+    r = C.run_experiment(df, C.Spec("tree", "under"), list("abcdef"), "label", "id")
+    assert r["auc_scores"] is not None and r["n_test"] > 0
+    pos_test = 1200 // 4 * 0.3
+    assert r["n_test"] > pos_test * 1.2  # the test part holds negatives too
