@@ -135,3 +135,15 @@ def forecast_n(spark, sf_dir):
 def forecast_interval(spark, sf_dir):
     """Forecasts with 95 % intervals (ψ-weights, integrated for d ≥ 1)."""
     return T.forecast(selected_models(spark, sf_dir), HORIZON, 0.95)
+
+
+@register("arima_model_roundtrip")
+def arima_model_roundtrip(spark, sf_dir):
+    """Store the selected models, load them back and forecast 24 steps from the
+    stored copy (as the reference's service loads its saved models per call)."""
+    from ..session import scratch_path
+    from ..sources import models as MS
+
+    path = scratch_path(spark, "arima-models")
+    MS.save_forecast_models(selected_models(spark, sf_dir), path)
+    return T.forecast(MS.load_forecast_models(spark, path), HORIZON)

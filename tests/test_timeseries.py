@@ -135,3 +135,17 @@ def test_augmented_adf_with_no_lags_equals_plain(spark, synthetic):
     assert all(abs(plain[k] - aug0[k]) < 1e-6 for k in plain)
     aug2 = {r["series"]: r["d"] for r in T.select_d(T.adf_stats_augmented(lag, 2)).collect()}
     assert aug2["walk"] == 1 and aug2["ar1"] == 0
+
+
+def test_model_table_roundtrip(spark, synthetic):
+    from rainfold.session import scratch_path
+    from rainfold.sources import models as MS
+
+    _, prep, _ = synthetic
+    models = T.arima_models(prep, T.select_order(T.fit_grid(prep))).cache()
+    path = scratch_path(spark, "t-models")
+    MS.save_forecast_models(models, path)
+    a = sorted((r["series"], r["h"], round(r["yhat"], 9)) for r in T.forecast(models, 4).collect())
+    b = sorted((r["series"], r["h"], round(r["yhat"], 9)) for r in
+               T.forecast(MS.load_forecast_models(spark, path), 4).collect())
+    assert a == b and len(a) == 20
