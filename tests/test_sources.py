@@ -39,3 +39,23 @@ def test_json_payload_flatten(spark):
     flat = jsondocs.flatten_payload(jsondocs.read_payloads(spark, path))
     got = sorted((r["doc"], r["pos"], r["temp"], r["humidity"]) for r in flat.collect())
     assert got == [("d1", 0, 1.0, 2.0), ("d1", 1, None, 3.0), ("d2", 0, 4.0, 5.0)]
+
+
+def test_zip_with_several_members_and_header_per_member(spark):
+    import io
+    import os
+    import zipfile
+
+    from rainfold.session import local_path
+
+    path = local_path(scratch_path(spark, "t-zip-multi"))
+    os.makedirs(path)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("a.csv", "t,v\n1,1.5\n2,\n")
+        zf.writestr("b.csv", "t,v\n3,3.5\n")
+        zf.writestr("dir/", "")
+    with open(os.path.join(path, "x.zip"), "wb") as fh:
+        fh.write(buf.getvalue())
+    got = sorted(tuple(r) for r in zipcsv.read_zip_csv(spark, path, "t int, v double").collect())
+    assert got == [(1, 1.5), (2, None), (3, 3.5)]
