@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 
 def select_positions(df: DataFrame, positions: Sequence[int]) -> DataFrame:
@@ -84,6 +85,18 @@ def hour_floor(ts: str | Column) -> Column:
     return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
 
 
+def order_seconds(df: DataFrame, col: str) -> Column:
+    """Seconds since the epoch as an ordering key, free of the session time zone
+    for wall-clock (``timestamp_ntz``) columns: their fields are read as UTC."""
+    if isinstance(df.schema[col].dataType, TimestampNTZType):
+        c = F.col(col)
+        utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                               F.second(c).cast("decimal(16,6)") + F.unix_micros(c.cast("timestamp")) % 1_000_000 / 1e6,
+                               F.lit("UTC"))
+        return F.unix_micros(utc) / F.lit(1_000_000)
+    return F.unix_micros(F.col(col).cast("timestamp")) / F.lit(1_000_000)
+
+
 def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: str = "idx",
                    bucket_seconds: int = 3600, method: str = "bucket", partitions: int | None = None) -> DataFrame:
     """Dense 1-based position of each row within its key, ordered by a timestamp.
@@ -106,7 +119,7 @@ def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: s
     if method == "range":
         return _position_index_range(df, order_col, key, idx, partitions)
     keys = [key] if key else []
-    ts_sec = F.unix_micros(F.col(order_col).cast("timestamp")) / F.lit(1_000_000)
+    ts_sec = order_seconds(df, order_col)
     b = df.withColumn("_bucket", F.floor(ts_sec / F.lit(bucket_seconds)).cast("long"))
     counts = b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import key_text
-from ..operators.relational import hour_floor
+from ..operators.relational import hour_floor, order_seconds
 
 # The wide table's columns in position order, and the feature
 # names of the classification table (one renamed feature keeps a dashed name
@@ -118,7 +118,7 @@ def running_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ev = table(spark, sf_dir, "events")
     hourly = ev.groupBy(hour_floor("ts").alias("ts")).agg((F.avg("value") - 50.0).alias("step"))
-    keyed = hourly.withColumn("ts_key", F.unix_micros(F.col("ts").cast("timestamp")).cast("double"))
+    keyed = hourly.withColumn("ts_key", order_seconds(hourly, "ts").cast("double"))
     out = running_totals(keyed, "ts_key", ["step"])
     return out.select(F.lit("running").alias("series"), "ts", F.col("cum_step").alias("y"))
 

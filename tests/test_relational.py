@@ -73,3 +73,17 @@ def test_position_index_range_with_hot_bucket(spark):
     got = R.position_index(df, "ts", key="series", method="range", partitions=16)
     want = df.withColumn("idx", F.row_number().over(Window.partitionBy("series").orderBy("ts")).cast("long"))
     assert sorted(got.select("series", "ts", "idx").collect()) == sorted(want.select("series", "ts", "idx").collect())
+
+
+def test_position_index_across_dst_gap(spark):
+    # wall-clock hours through the US spring-forward gap (02:00-03:00 does not exist locally)
+    base = dt.datetime(2024, 3, 10, 0, 0)
+    rows = [("s", base + dt.timedelta(minutes=30 * i), float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, y double")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = R.position_index(df, "ts", key="series", bucket_seconds=3600)
+        assert sorted((r["y"], r["idx"]) for r in got.collect()) == [(float(i), i + 1) for i in range(12)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
