@@ -3,8 +3,10 @@
 Accuracy and the hard-label AUC are conditional averages in one aggregate.
 The score AUC and ROC points need running totals over the score order; the
 scores are first reduced to distinct values with class counts (a partial
-aggregate), then running totals are computed per score bucket and stitched
-with bucket offsets, so no single task holds all scores.
+aggregate), written once (the quantile pass, the bucket totals and the
+running sums all read that small table instead of recomputing the scores),
+then running totals are computed per score bucket and stitched with bucket
+offsets, so no single task holds all scores.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 N_BUCKETS = 256
 
 
@@ -83,7 +87,7 @@ def auc_scores(df: DataFrame, score: str = "score", label: str = "label", n_buck
 
     AUC = Σ_s pos_s · (negatives below s + neg_s / 2) / (P · N).
     """
-    sc = score_counts(df, score, label)
+    sc = materialize(score_counts(df, score, label), "score-counts")
     cum = running_totals(sc, "score", ["neg"], n_buckets)
     below = F.col("cum_neg") - F.col("neg")
     return cum.agg(
@@ -95,10 +99,10 @@ def auc_scores(df: DataFrame, score: str = "score", label: str = "label", n_buck
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", n_buckets: int = N_BUCKETS) -> DataFrame:
     """One row per distinct threshold t: counts and rates of ``score >= t``."""
-    sc = score_counts(df, score, label)
+    sc = materialize(score_counts(df, score, label), "score-counts")
     cum = running_totals(sc, "score", ["pos", "neg"], n_buckets)
-    totals = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    p_all, n_all = totals.select("P").scalar(), totals.select("N").scalar()
+    totals = sc.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N")).alias("t")).select("t").scalar()
+    p_all, n_all = totals["P"], totals["N"]
     tp = (p_all - (F.col("cum_pos") - F.col("pos"))).cast("double")
     fp = (n_all - (F.col("cum_neg") - F.col("neg"))).cast("double")
     return cum.select(

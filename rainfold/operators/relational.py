@@ -178,10 +178,14 @@ def shifted_lags(df: DataFrame, key: str | None, idx: str, col: str, lags: Seque
     if kmax >= block_rows:
         raise ValueError("block_rows must exceed the largest lag")
     blk = f"CAST((`{idx}` - 1) DIV {block_rows} AS BIGINT)"
-    own = df.selectExpr(*[f"`{c}`" for c in keys], f"`{idx}`", f"`{col}`", f"{blk} AS _blk", "false AS _ctx")
-    ctx = own.filter(f"(`{idx}` - 1) % {block_rows} >= {block_rows - kmax}").selectExpr(
-        *[f"`{c}`" for c in keys], f"`{idx}`", f"`{col}`", "_blk + 1 AS _blk", "true AS _ctx")
+    # One pass: every row is emitted for its own block, and the last kmax rows
+    # of a block once more as context for the next block.
+    entries = (f"concat(array(named_struct('blk', {blk}, 'ctx', false)), "
+               f"CASE WHEN (`{idx}` - 1) % {block_rows} >= {block_rows - kmax} "
+               f"THEN array(named_struct('blk', {blk} + 1, 'ctx', true)) "
+               f"ELSE CAST(array() AS array<struct<blk: bigint, ctx: boolean>>) END)")
+    both = df.selectExpr(*[f"`{c}`" for c in keys], f"`{idx}`", f"`{col}`", f"explode({entries}) AS _e") \
+        .selectExpr(*[f"`{c}`" for c in keys], f"`{idx}`", f"`{col}`", "_e.blk AS _blk", "_e.ctx AS _ctx")
     w = Window.partitionBy(*keys, "_blk").orderBy(idx)
-    both = own.unionByName(ctx)
     out = both.select(*keys, idx, col, "_ctx", *[F.lag(col, k).over(w).alias(f"{prefix}{k}") for k in lags])
     return out.filter(~F.col("_ctx")).drop("_ctx")
