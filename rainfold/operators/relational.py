@@ -86,15 +86,17 @@ def hour_floor(ts: str | Column) -> Column:
 
 
 def order_seconds(df: DataFrame, col: str) -> Column:
-    """Seconds since the epoch as an ordering key, free of the session time zone
-    for wall-clock (``timestamp_ntz``) columns: their fields are read as UTC."""
+    """Whole seconds since the epoch as an ordering key.
+
+    For wall-clock (``timestamp_ntz``) columns the key is built from the date
+    and clock fields alone, so the session time zone and its daylight-saving
+    gaps cannot reorder or merge values; instants use ``unix_seconds``.
+    """
+    c = F.col(col)
     if isinstance(df.schema[col].dataType, TimestampNTZType):
-        c = F.col(col)
-        utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
-                               F.second(c).cast("decimal(16,6)") + F.unix_micros(c.cast("timestamp")) % 1_000_000 / 1e6,
-                               F.lit("UTC"))
-        return F.unix_micros(utc) / F.lit(1_000_000)
-    return F.unix_micros(F.col(col).cast("timestamp")) / F.lit(1_000_000)
+        days = F.unix_date(F.to_date(c)).cast("long")
+        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    return F.unix_seconds(c.cast("timestamp"))
 
 
 def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: str = "idx",
