@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import relational as R
+from ..session import materialize
 from . import fixtures as X
 from . import oracle_sql as O
 from .common import finish
@@ -30,7 +31,10 @@ def series_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.position_index(series_long(spark, sf_dir), "DATE", key="series", idx="idx")
+    """Positions of the two weather series; the long table (one row per series
+    and hour) is written once so both passes of the index read it, not the
+    raw events."""
+    return R.position_index(materialize(series_long(spark, sf_dir), "series-long"), "DATE", key="series", idx="idx")
 
 
 @register("project_positions", f"""WITH {O.WIDE_TEMP}
