@@ -87,3 +87,18 @@ def test_position_index_across_dst_gap(spark):
         assert sorted((r["y"], r["idx"]) for r in got.collect()) == [(float(i), i + 1) for i in range(12)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_order_seconds_wall_clock_and_instant(spark):
+    rows = [(dt.datetime(2024, 3, 10, h, 30),) for h in range(5)]  # through the US spring-forward gap
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        keys = [r["k"] for r in df.select(R.order_seconds(df, "ts").alias("k")).orderBy("ts").collect()]
+        assert keys == sorted(keys) and len(set(keys)) == 5 and all(b - a == 3600 for a, b in zip(keys, keys[1:]))
+        inst = df.select(F.col("ts").cast("timestamp").alias("t"))
+        got = inst.select(R.order_seconds(inst, "t").alias("k"), F.unix_seconds("t").alias("u")).collect()
+        assert all(r["k"] == r["u"] for r in got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
