@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing
-from .common import read
+from . import language, mixing, packing
+from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +28,16 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @query
 def op10_karmarkar_karp_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op3_sainte_lague_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+@query
+def op6_compression_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    out = held_out("doc_id", 4, 2)
+    found = language.identify(docs, language.learn(docs, ~out))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
