@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing
+from . import language, mixing, packing, quality_cnn, simhash
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,16 @@ def op6_compression_language_id(spark, sf_dir):
     out = held_out("doc_id", 4, 2)
     found = language.identify(docs, language.learn(docs, ~out))
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op9_byte_cnn_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality_cnn.learn(docs, read(spark, sf_dir, "labels"), ~held_out("_key", 3, 1))
+    return quality_cnn.classify(docs, model).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_simhash_multi_index(spark, sf_dir):
+    found = simhash.components(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
