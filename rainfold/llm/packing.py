@@ -21,6 +21,7 @@ import itertools
 import zlib
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +38,20 @@ CACHE_WORDS = 600_000
 PIECES = "doc_id {key}, piece long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+#: Words that the tokenizer's normalizer and pre-tokenizer treat simply: printable
+#: Latin letters, digits and punctuation.  Others are encoded one by one.
+SIMPLE = regex.compile(r"[!-~\u00a1-\u012f\u0131-\u024f]+")
+#: What the pre-tokenizer splits words into (part of the tokenizer's definition).
+RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+ENDS = frozenset(".,;:!?|%&$#*")
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never joins over it, so a text's ids
-    are those of its (ASCII space separated) words in turn; each is encoded once.
+    are those of its (ASCII space separated) words in turn.  Words, and the
+    runs of letters or signs that they consist of, are encoded once.
     """
 
     def __init__(self, path: str):
@@ -51,18 +61,53 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        ids = range(self.tokenizer.get_vocab_size())
+        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in ids])
         self.words: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn_runs(self, new: list[str]) -> None:
+        """Encode runs together; each ends with a word-end token."""
+        for at in range(0, len(new), 1000):
+            part = new[at:at + 1000]
+            ids = self.ids(" ".join(part))
+            edges = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()]
+            if len(edges) != len(part) + 1:
+                raise ValueError("the tokenizer doesn't end runs as expected")
+            raw = ids.tobytes()
+            for r, a, b in zip(part, edges, edges[1:], strict=False):
+                self.runs[r] = raw[4 * a:4 * b]
+
+    def learn(self, words: list[bytes]) -> None:
+        split = []
+        for w in words:
+            s = w.decode()
+            if b"<|" in w or not SIMPLE.fullmatch(s):
+                self.words[w] = self.ids(s).tobytes()
+                continue
+            s = s.lower()
+            if s.isalpha():
+                split.append((w, [s]))
+            elif s[-1] in ENDS and s[:-1].isalpha():
+                split.append((w, [s[:-1], s[-1]]))
+            else:
+                split.append((w, RUNS.findall(s)))
+        runs = self.runs
+        self.learn_runs([r for r in {r for _, part in split for r in part} if r not in runs])
+        for w, part in split:
+            self.words[w] = runs[part[0]] if len(part) == 1 else b"".join([runs[r] for r in part])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
+        if len(self.runs) > CACHE_WORDS:
+            self.runs.clear()
         known = self.words
-        missing = [w for w in {w for s in split for w in s} if w not in known]
-        for at in range(0, len(missing), 4096):
-            part = missing[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        self.learn([w for w in set().union(*split) if w not in known])
         return [b"".join([known[w] for w in s]) for s in split]
 
 
