@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing, quality_cnn, simhash
+from . import language, mixing, packing, quality_cnn, secrets, simhash, suffix_tree
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,14 @@ def op9_byte_cnn_quality(spark, sf_dir):
 def op4_simhash_multi_index(spark, sf_dir):
     found = simhash.components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
+
+
+@query
+def op2_secret_char_cnn(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.learn(docs))
+
+
+@query
+def op1_suffix_tree_scoring(spark, sf_dir):
+    return suffix_tree.score(read(spark, sf_dir, "documents"), ~held_out("doc_id", 7, 2))
