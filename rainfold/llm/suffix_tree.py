@@ -37,9 +37,9 @@ from .common import materialize, ship_package, slices, utf8
 DEPTH = 6
 #: Levels counted in the first pass, from 5-byte strings.
 SHALLOW = 4
-P_MIN = 5e-6
+P_MIN = 3e-6
 GAIN = 20.0
-DISCOUNT = 0.5
+DISCOUNT = 3.0
 BLOCK_BYTES = 16 << 20
 BATCH_BYTES = 4 << 20
 END = 10  # the end mark; no token has it
@@ -158,7 +158,7 @@ class Tree:
         self.unseen = 256 - len(seen)
         root = np.zeros(self.width)
         root[:len(seen)] = counts
-        root = (root + DISCOUNT * np.r_[np.ones(len(seen)), self.unseen]) / (total + DISCOUNT * 256)
+        root = (root + 0.5 * np.r_[np.ones(len(seen)), self.unseen]) / (total + 0.5 * 256)
         self.smallest = max(2.0, P_MIN * total)
         self.end = self.symbol[END]
         self.child: list[np.ndarray] = []
