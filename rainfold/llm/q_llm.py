@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing, quality_cnn, secrets, simhash, suffix_tree
+from . import language, mixing, packing, quality_cnn, quality_rules, secrets, simhash, suffix_tree
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op2_secret_char_cnn(spark, sf_dir):
 @query
 def op1_suffix_tree_scoring(spark, sf_dir):
     return suffix_tree.score(read(spark, sf_dir, "documents"), ~held_out("doc_id", 7, 2))
+
+
+@query
+def op5_adaptive_quality_rules(spark, sf_dir):
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
