@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing, quality_cnn, quality_rules, secrets, simhash, suffix_tree
+from . import language, mixing, packing, quality_cnn, quality_rules, secrets, simhash, suffix_dedup, suffix_tree
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op1_suffix_tree_scoring(spark, sf_dir):
 @query
 def op5_adaptive_quality_rules(spark, sf_dir):
     return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")

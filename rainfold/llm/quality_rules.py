@@ -34,7 +34,7 @@ ACCURACY = 1000
 #: Measures and the smallest spread that counts, per side (None: no fence there).
 MEASURES = {
     "symbol_share": (0.01, None),
-    "dup_line_share": (0.05, None),
+    "dup_line_share": (0.10, None),
     "repeat_share": (0.05, None),
     "upper_share": (0.05, None),
     "mean_word": (0.75, 0.75),
