@@ -83,7 +83,7 @@ def targets(sources: DataFrame, weights=WEIGHTS, ceiling: int = CEILING) -> Data
 def _taken(x: Column, block: int) -> Column:
     """Words the mix takes of a shard's first ``x`` words."""
     j = F.floor(x / block)
-    n, u, extra = F.col("n_blocks"), F.col("_turn"), F.col("quota") % F.col("n_blocks")
+    n, u, extra = F.col("n_blocks"), F.col("turn"), F.col("quota") % F.col("n_blocks")
     base, over = F.floor(F.col("quota") / n), F.greatest(u + extra - n, F.lit(0))
     full = base * j + F.greatest(F.least(j, u + extra) - u, F.lit(0)) + F.least(j, over)
     here = base + F.when(((j >= u) & (j < u + extra)) | (j < over), 1).otherwise(0)
@@ -95,13 +95,14 @@ def hash60(*parts: Column) -> Column:
 
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, ceiling: int = CEILING,
-        block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+        block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED, row: str | None = None) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, quota and
-    n_blocks of its shard, place (words before it in the shard), taken, and
-    text_hash, which with doc_id tells documents apart."""
+    n_blocks of its shard, turn (the first block taken once more), place (words
+    before it in the shard), taken, and the column ``row``, if one is named."""
+    carried = [row] if row else []
     counted = materialize(
         df.select(
-            F.col(key).alias("doc_id"), F.col(source).alias("source"),
+            *carried, F.col(key).alias("doc_id"), F.col(source).alias("source"),
             F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
         ), "mix")
@@ -128,14 +129,14 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
         .withColumn("_start", F.least(F.floor(F.col("source_quota") * F.col("shard_size") / F.greatest("source_size", F.lit(1)) + 0.5), "_limit"))
     )
     shards = sainte_lague(shards, ["source"], "shard_size", "_limit", "_start", "source_quota", ["shard"])
-    shards = shards.withColumn("_turn", hash60(F.lit(str(seed)), F.coalesce("source", F.lit("")), F.col("shard")) % F.greatest("n_blocks", F.lit(1)))
-    shards = shards.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "n_blocks", "quota", "_turn")
+    shards = shards.withColumn("turn", hash60(F.lit(str(seed)), F.coalesce("source", F.lit("")), F.col("shard")) % F.greatest("n_blocks", F.lit(1)))
+    shards = shards.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "n_blocks", "quota", "turn")
     laid = Window.partitionBy("source", "shard").orderBy("_place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = dealt.withColumn("place", F.coalesce(F.sum("size").over(laid), F.lit(0)))
     rows = rows.join(shards, rows["source"].eqNullSafe(shards["_source"]) & (rows["shard"] == shards["_shard"]))
     share = F.when(F.col("size") > 0, _taken(F.col("place") + F.col("size"), block) - _taken(F.col("place"), block)).otherwise(0)
     return rows.withColumn("taken", share.cast("long")).select(
-        "doc_id", "source", "size", "source_size", "target", "quota", "n_blocks", "_turn", "place", "taken", "text_hash")
+        "doc_id", "source", "size", "source_size", "target", "quota", "n_blocks", "turn", "place", "taken", *carried)
 
 
 def taken_ranges(place: int, size: int, quota: int, n_blocks: int, turn: int, block: int = BLOCK) -> list[tuple[int, int]]:
@@ -156,38 +157,36 @@ def taken_ranges(place: int, size: int, quota: int, n_blocks: int, turn: int, bl
 def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", n_chars: str = "n_chars", **settings) -> DataFrame:
     """The documents as the mix takes them, columns as before: ``text`` holds
     the taken words (with the white space between them), later times round
-    after a line break; documents of which nothing is taken go."""
+    after a line break; documents of which nothing is taken go, and where there
+    is a column ``n_chars`` it is counted anew."""
     block = settings.get("block", BLOCK)
     ship_package(df.sparkSession)
-    plan = mix(df, key, text, source, **settings).where(F.col("taken") > 0)
-    plan = plan.groupBy("doc_id", "text_hash", "source").agg(F.sort_array(F.collect_list(F.struct("place", "size", "quota", "n_blocks", "_turn", "taken"))).alias("_shares"))
-
+    numbered = materialize(df.select(F.struct(*df.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    doc = F.col("doc")
+    rows = numbered.select("row", doc[key].alias("doc_id"), doc[text].alias("text"), doc[source].alias("source"))
+    plan = mix(rows, row="row", **settings).where(F.col("taken") > 0)
+    plan = plan.select("row", F.struct("place", "size", "quota", "n_blocks", "turn").alias("share"))
     spans = re.compile(WORD)
 
-    @F.udf("array<string>")
-    def cut(body, shares):
-        """The texts taken of one document (of each of several equal rows)."""
-        out, words = [], None
-        for s in shares:
-            parts = []
-            for a, b in taken_ranges(s["place"], s["size"], s["quota"], s["n_blocks"], s["_turn"], block):
-                if (a, b) == (0, s["size"]):
-                    parts.append(body)
-                else:
-                    words = words or [m.span() for m in spans.finditer(body)]
-                    parts.append(body[words[a][0]:words[b - 1][1]])
-            out.append("\n".join(parts))
-        return out
-
-    keyed = df.withColumn("_hash", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    equal = keyed[key].eqNullSafe(plan["doc_id"]) & (keyed["_hash"] == plan["text_hash"]) & keyed[source].eqNullSafe(plan["source"])
-    # Rows equal in id, text and source share one list; the n-th of them takes the n-th share.
-    turn = F.row_number().over(Window.partitionBy(key, "_hash", source).orderBy(F.lit(1)))
-    shares = plan.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), F.col("source").alias("_source"), "_shares")
-    equal = keyed[key].eqNullSafe(F.col("_doc")) & (keyed["_hash"] == F.col("_text")) & keyed[source].eqNullSafe(F.col("_source"))
-    out = keyed.join(shares, equal).withColumn("_turn", turn).where(F.col("_turn") <= F.size("_shares"))
-    body = F.element_at(cut(F.col(text), F.slice("_shares", F.col("_turn"), 1)), 1)
-    out = out.withColumn(text, body)
+    @F.udf("string", useArrow=True)
+    def cut(body, share):
+        if body is None:
+            return None
+        words, parts = None, []
+        for a, b in taken_ranges(*share, block):
+            if b - a == share[1]:
+                parts.append(body)
+            else:
+                words = words or [m.span() for m in spans.finditer(body)]
+                parts.append(body[words[a][0]:words[b - 1][1]])
+        return "\n".join(parts)
+
+    # Documents that are taken once as they are don't go through Python.
+    once = (F.col("share.quota") == F.col("share.n_blocks"))
+    kept = numbered.join(plan, "row")
+    changed = {text: F.when(once, doc[text]).otherwise(F.col("cut"))}
     if n_chars in df.columns:
-        out = out.withColumn(n_chars, F.length(text).cast(df.schema[n_chars].dataType))
-    return out.select(*df.columns)
+        changed[n_chars] = F.when(once, doc[n_chars]).otherwise(F.length("cut").cast(df.schema[n_chars].dataType))
+    body = F.when(~once, doc[text])
+    return kept.withColumn("cut", cut(body, F.struct(*[F.col("share")[c] for c in ("place", "size", "quota", "n_blocks", "turn")]))).select(
+        *[changed[c].alias(c) if c in changed else doc[c].alias(c) for c in df.columns])

@@ -230,3 +230,20 @@ def classify(df: DataFrame, model, key: str = "doc_id", text: str = "text") -> D
     kind = rows.schema["doc_id"].dataType
     keys = to_arrow_type(kind)
     return rows.mapInArrow(run, f"doc_id {kind.simpleString()}, score double, predicted int")
+
+
+def keep_good(df: DataFrame, model, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose predicted label is 1, all columns as they are."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            col, good = b.column(b.schema.get_field_index(text)), []
+            for part in slices(((x.as_py() or "").encode() for x in col), lambda t: len(t) + CHUNK, 1 << 20):
+                score = model.score(part) if isinstance(model, Network) else np.full(len(part), model)
+                good += (score >= 0.5).tolist()
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, df.schema)

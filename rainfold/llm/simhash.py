@@ -128,11 +128,12 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", shingle:
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``df`` that stay: of each component the one with the smallest
     id (null ids last; of rows that share it, the first)."""
-    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("_row").alias("row"))
-    stay = components(numbered.withColumn("_rank", rank), "_rank", text, shingle)
-    stay = stay.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias("_row"))
-    return numbered.join(stay, "_row", "left_semi").select(*df.columns)
+    numbered = materialize(df.select(F.struct(*df.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    doc = F.col("doc")
+    rank = F.struct(doc[key].isNull().alias("none"), doc[key].alias("id"), F.col("row").alias("row"))
+    found = components(numbered.select(rank.alias("rank"), doc[text].alias("text")), "rank", "text", shingle)
+    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias("row"))
+    return numbered.join(stay, "row", "left_semi").select("doc.*")
 
 
 def fingerprint_text(fp: str = "fp") -> Column:
