@@ -10,9 +10,9 @@ blocks from a seeded place on (round the end) once more.  Neighbouring blocks
 keep documents whole, but for two in a shard.  All of it is arithmetic on
 running totals: no row per block is ever made.
 
-A quotient's rank is found near the divisor's rounding: a divisor method's
-seats differ from the rounded targets by at most half a seat a row, so only
-seats that far from the rounded target are ranked, about three a row.
+Only seats near the rounded targets are ranked, a few a row: the rounded
+targets miss the seats by at most half a seat a row and what the ceilings round
+up, and rows share in that by weight.
 
 Edge cases: a null text has size 0; a null source is a source of its own and
 comes last; null ids and repeated rows are mixed like any others (among rows
@@ -46,7 +46,9 @@ def sainte_lague(df: DataFrame, group: list[str], weight: str, cap: str, start:
     ``start`` is the row's rounded target (at most ``cap``).
     """
     whole = Window.partitionBy(*group)
-    reach = F.ceil(F.count(F.lit(1)).over(whole) / 2 * F.col(weight) / F.greatest(F.sum(weight).over(whole), F.lit(1e-300))) + 2
+    free = F.sum(F.when(F.col(start) < F.col(cap), F.col(weight)).otherwise(0)).over(whole)
+    off = F.abs(F.col(seats) - F.sum(start).over(whole)) + F.count(F.lit(1)).over(whole) / 2
+    reach = F.ceil(off * F.least(F.col(weight) / F.greatest(free, F.lit(1e-300)), F.lit(1.0))) + 2
     near = (
         df.withColumn("_lo", F.greatest(F.col(start) - reach, F.lit(0)))
         .withColumn("_hi", F.least(F.col(start) + reach, F.col(cap)))
@@ -112,7 +114,7 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     plan = targets(sources.withColumn("_seats", F.round(total / block).cast("long")), weights, ceiling)
     plan = sainte_lague(
         plan.withColumns({"_limit": ceiling * F.ceil(F.col("source_size") / block), "_all": F.lit(1)})
-        .withColumn("_start", F.least(F.floor(F.col("target") / block + 0.5), "_limit")),
+        .withColumn("_start", F.when(F.col("target") < ceiling * F.col("source_size"), F.least(F.floor(F.col("target") / block + 0.5), "_limit")).otherwise(F.col("_limit"))),
         ["_all"], "weight", "_limit", "_start", "_seats", ["source"],
     ).select("source", "source_size", "target", F.col("quota").alias("source_quota"),
              F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).alias("n_shards"))
