@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, mtree, packing, quality_cnn, quality_rules, secrets, simhash, suffix_dedup, suffix_tree
+from . import language, mixing, mtree, oracle, packing, quality_cnn, quality_rules, secrets, simhash, suffix_dedup, suffix_tree
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,10 @@ def op7_suffix_array_dedup(spark, sf_dir):
 @query
 def op8_mtree_top_k(spark, sf_dir):
     return mtree.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+ORACLE |= {
+    "op3_sainte_lague_mixing": oracle.mixing_sql(),
+    "op5_adaptive_quality_rules": oracle.rules_sql(),
+    "op8_mtree_top_k": oracle.top_k_sql(),
+}
