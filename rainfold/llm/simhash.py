@@ -100,14 +100,15 @@ def links(classes: DataFrame, hot: int = HOT) -> DataFrame:
     probes = half.select("fp", "seg", "val", F.explode(_longs(_masks(1))).alias("mask")).select(
         key(F.col("val").bitwiseXOR(F.col("mask"))).alias("key"), F.col("fp").alias("a"), (F.col("mask") != 0).cast("int").alias("e"))
     crowded = materialize(table.groupBy("key").count().where(F.col("count") > hot).select("key"), "hot-halves")
+    # Merge joins throughout: the probes are 33 times what the planner expects of them.
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
     if crowded.isEmpty():
-        return probes.join(table, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
-    pairs = probes.join(table.join(crowded, "key", "left_anti"), "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
+        return probes.hint("merge").join(table, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    pairs = probes.hint("merge").join(table.join(crowded, "key", "left_anti"), "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
     # The other half's points: those within 2 of a class whose half is the value, within 1 if it differs in a bit.
     other = F.when(F.col("key") % 2 == 0, F.col("a").bitwiseAND(F.lit(HALF))).otherwise(F.shiftrightunsigned("a", 32))
     ball = F.when(F.col("e") == 0, _longs(_masks(2))).otherwise(_longs(_masks(1)))
-    met = probes.join(crowded, "key").select("key", "a", "e", other.alias("rest"), F.explode(ball).alias("mask")).select(
+    met = probes.hint("merge").join(crowded, "key").select("key", "a", "e", other.alias("rest"), F.explode(ball).alias("mask")).select(
         "key", F.col("rest").bitwiseXOR(F.col("mask")).alias("z"), "a", (F.col("e") + F.bit_count("mask")).alias("t"))
     first = F.min(F.struct("t", "a")).over(Window.partitionBy("key", "z"))
     stars = met.withColumn("first", first).where((F.col("first.t") <= 1) & (F.col("first.a") != F.col("a"))).select("a", F.col("first.a").alias("b"))
