@@ -128,7 +128,9 @@ class Network:
         d = ((p - labels) * weight / len(labels)).astype(np.float32)
         g_out, g_ob = d @ feats, np.array([d.sum()])
         g_feat = d[:, None] * self.out
-        first = pool == top[doc]
+        first = np.zeros(pool.shape, bool)  # one winner a document: overlapping chunks can tie
+        for a, b in zip(starts, ends, strict=True):
+            first[a + pool[a:b].argmax(0), np.arange(FILTERS)] = True
         g_pool = g_feat[doc, :FILTERS] / counts[doc, None] + np.where(first, g_feat[doc, FILTERS:], 0)
         g_pool = np.where(pool > 0, g_pool, 0).astype(np.float32)
         # Only the windows that won their pool get a gradient.

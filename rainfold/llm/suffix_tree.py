@@ -8,11 +8,12 @@ and whose next-byte distribution diverges from their longest suffix's by
 smoothed with its suffix's (Witten-Bell); every byte is scored by the longest
 retained suffix of what stands before it.  A tree has at most 1 / P_MIN
 contexts a level, whatever the corpus: that bounds what is sent to the driver
-and broadcast.  Counts are over all training texts, level by level; a level
-counts only below contexts that are frequent themselves.
+and broadcast.  Counts are over all training texts: the first pass counts short
+strings, the later ones a level each, whose frequent contexts the level before
+has already counted (as a context and its next byte).
 
 ``base_score`` needs the training count of every token.  The corpus is written
-once in blocks of at most about ``BLOCK_BYTES``; each block asks for its
+once, compressed, in blocks of at most about ``BLOCK_BYTES``; each block asks for its
 distinct tokens' counts, the counts meet at the tokens, and each block gets its
 own small dictionary back.  No task needs the whole vocabulary.
 
@@ -24,6 +25,7 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 
@@ -35,13 +37,14 @@ from pyspark.sql import Window
 from .common import materialize, ship_package, slices, utf8
 
 DEPTH = 6
-#: Levels counted in the first pass, from 5-byte strings.
+#: Levels counted in the first pass, from strings of one byte more.
 SHALLOW = 4
 P_MIN = 3e-6
 GAIN = 20.0
 DISCOUNT = 3.0
 BLOCK_BYTES = 16 << 20
-BATCH_BYTES = 4 << 20
+#: Bytes of lines in a packet: what is compressed, and scored, at a time.
+PACKET_BYTES = 1 << 20
 END = 10  # the end mark; no token has it
 
 
@@ -51,304 +54,313 @@ def line(text: bytes) -> bytes:
     return b" ".join(words) + b" \n" if words else b"\n"
 
 
-def blocks(df: DataFrame, train: Column, key: str, text: str) -> DataFrame:
-    """(block, doc_id, train, line): the table as lines, dealt into blocks."""
+def packets(df: DataFrame, train: Column, key: str, text: str) -> DataFrame:
+    """(block, ids, train, packet): the table's lines, a packet a row, dealt
+    into blocks; ids and train are lists of the packet's lines."""
 
     def run(batches):
         import pyarrow as pa
+        import zstandard
         from pyspark import TaskContext
 
-        block, filled = TaskContext.get().partitionId() << 24, 0
+        block, filled, pack = TaskContext.get().partitionId() << 24, 0, zstandard.ZstdCompressor(level=3)
         for b in batches:
-            keys, train = b.column(0), b.column(2)
             rows = ((i, line(x.as_py() or b"")) for i, x in enumerate(b.column(1)))
-            for part in slices(rows, lambda r: len(r[1]), BATCH_BYTES):
+            for part in slices(rows, lambda r: len(r[1]), PACKET_BYTES):
                 size = sum(len(x) for _, x in part)
                 if filled and filled + size > BLOCK_BYTES:
                     block, filled = block + 1, 0
                 filled += size
                 at = pa.array([i for i, _ in part])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), keys.take(at), train.take(at), pa.array([x for _, x in part], pa.binary())],
-                    names=["block", "doc_id", "train", "line"])
+                one = pa.array([0, len(part)], pa.int32())
+                lists = [pa.ListArray.from_arrays(one, b.column(c).take(at)) for c in (0, 2)]
+                raw = pack.compress(b"".join(x for _, x in part))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *lists, pa.array([raw], pa.binary())], names=["block", "ids", "train", "packet"])
 
     ship_package(df.sparkSession)
     rows = df.select(F.col(key).alias("doc_id"), utf8(text).alias("text"), F.coalesce(train, F.lit(True)).alias("train"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return materialize(rows.mapInArrow(run, f"block long, doc_id {kind}, train boolean, line binary"), "lm-blocks")
+    return materialize(rows.mapInArrow(run, f"block long, ids array<{kind}>, train array<boolean>, packet binary"), "lm-packets")
+
+
+def opened(packet: bytes) -> list[bytes]:
+    """The packet's lines, without their end marks."""
+    import zstandard
 
+    return zstandard.ZstdDecompressor().decompress(packet).split(b"\n")[:-1]
 
-def streams(batches, at: int):
-    """Byte arrays of bounded size: an end mark, then lines."""
-    for b in batches:
-        for part in slices((x.as_py() for x in b.column(at)), len, BATCH_BYTES):
-            yield np.frombuffer(b"\n" + b"".join(part), np.uint8)
 
+def stream(lines: list[bytes]) -> np.ndarray:
+    """An end mark, then the lines with theirs, as bytes."""
+    return np.frombuffer(b"\n".join([b"", *lines, b""]), np.uint8)
 
-def short_strings(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def short_strings(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (SHALLOW context bytes, next byte) as numbers, with counts;
     bytes before a text's end mark are 0."""
-    n = len(stream) - 1
-    code = stream[1:].astype(np.uint64)
+    n = len(text) - 1
+    code = text[1:].astype(np.uint64)
     inside = np.ones(n, bool)
     for k in range(SHALLOW):  # the byte k + 1 places before the next one
         byte = np.zeros(n, np.uint64)
-        byte[k:] = stream[:max(n - k, 0)]
+        byte[k:] = text[:max(n - k, 0)]
         byte[~inside] = 0
         code |= byte << np.uint64(8 * (k + 1))
         inside &= byte != END
     return np.unique(code, return_counts=True)
 
 
-def count_tokens(lines: DataFrame) -> DataFrame:
-    """(block, kind, key, n): of each block its distinct tokens with their
-    training counts (kind 0), and the training texts' short strings (kind 1)."""
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One list of distinct numbers with counts from several sorted ones."""
+    codes, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(codes, kind="stable")  # merges the sorted runs
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[first], np.add.reduceat(n, first)
+
+
+def count_tokens(table: DataFrame) -> DataFrame:
+    """(block, key, code, n): each block's distinct tokens with their training
+    counts (code null), and the training texts' short strings (key null)."""
 
     def run(batches):
         import pyarrow as pa
 
-        def rows(block, words, strings):
-            out = [(block, 0, k, n) for k, n in words.items()]
-            if strings:
-                codes, at = np.unique(np.concatenate([c for c, _ in strings]), return_inverse=True)
-                sums = np.bincount(at, np.concatenate([n for _, n in strings])).astype(np.int64)
-                out += zip([block] * len(codes), [1] * len(codes), [c[:5] for c in map(bytes, codes.astype("<u8").view(np.uint8).reshape(-1, 8))], sums.tolist(), strict=True)
-            for a in range(0, len(out), 100_000):
-                cols = list(zip(*out[a:a + 100_000], strict=True))
-                kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["block", "kind", "key", "n"])
-
-        now, words, strings = None, Counter(), []
+        names = ["block", "key", "code", "n"]
+
+        def tokens(block, words):
+            for part in itertools.batched(words.items(), 50_000):
+                k = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * k, pa.int64()), pa.array([w for w, _ in part], pa.binary()), pa.nulls(k, pa.int64()), pa.array([n for _, n in part], pa.int64())], names=names)
+
+        def strings(found):
+            codes, n = merged(found)
+            for a in range(0, len(codes), 200_000):
+                part = codes[a:a + 200_000].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(n[a:a + 200_000].astype(np.int64))], names=names)
+
+        now, words, found = None, Counter(), []
         for b in batches:
-            for block in dict.fromkeys(b.column(0).to_pylist()):
-                part = b.filter(pa.compute.equal(b.column(0), block))
+            for block, train, packet in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
                 if block != now:
-                    if now is not None:
-                        yield from rows(now, words, strings)
-                    now, words, strings = block, Counter(), []
-                train = part.filter(part.column(1))
-                for x in train.column(2):
-                    body = x.as_py()
-                    words.update(body.split())
-                words[b"\n"] += train.num_rows
-                for x in part.filter(pa.compute.invert(part.column(1))).column(2):
-                    for w in set(x.as_py().split()):
-                        words[w] += 0
-                strings += map(short_strings, streams([train], 2))
-        if now is not None:
-            yield from rows(now, words, strings)
-
-    return lines.select("block", "train", "line").mapInArrow(run, "block long, kind int, key binary, n long")
+                    yield from tokens(now, words)
+                    now, words = block, Counter()
+                lines = opened(packet.as_py())
+                learnt = list(itertools.compress(lines, train))
+                words.update(itertools.chain.from_iterable(map(bytes.split, learnt)))
+                words[b"\n"] += len(learnt)
+                for w in set().union(*(x.split() for x, t in zip(lines, train, strict=True) if not t)):
+                    words[w] += 0
+                if learnt:
+                    found.append(short_strings(stream(learnt)))
+                if len(found) >= 16:
+                    found = [merged(found)]
+        yield from tokens(now, words)
+        if found:
+            yield from strings(found)
+
+    return table.mapInArrow(run, "block long, key binary, code long, n long")
 
 
 class Tree:
     """Contexts level by level.
 
     ``symbol`` maps bytes to columns (the last is for bytes never seen).  State
-    0 is the empty context; ``child[k]`` has a row for each state of level k
-    and gives the state of level k + 1 for the byte before, or -1.  ``prob``
-    has a row of log10 probabilities for each state of all levels; a state that
-    wasn't retained has its longest retained suffix's.
+    0 is the empty context.  ``child[k]`` has a row for each state of level k
+    and gives the state of level k + 1 for the byte before, or -1; ``codes[k]``
+    has the states' bytes, the last one lowest; ``row[k]`` names the row of
+    ``prob`` that holds the log10 distribution of a state's longest retained suffix.
     """
 
-    def __init__(self, seen: np.ndarray, counts: np.ndarray, total: float):
-        self.symbol = np.full(256, len(seen), np.int64)
+    def __init__(self, seen: np.ndarray, counts: np.ndarray):
+        total = counts.sum()
+        self.symbol = np.full(256, len(seen), np.int32)
         self.symbol[seen] = np.arange(len(seen))
-        self.width = len(seen) + 1
-        self.unseen = 256 - len(seen)
+        self.width, self.unseen = len(seen) + 1, 256 - len(seen)
+        self.smallest = max(2.0, P_MIN * total)
+        self.end = int(self.symbol[END])
         root = np.zeros(self.width)
         root[:len(seen)] = counts
-        root = (root + 0.5 * np.r_[np.ones(len(seen)), self.unseen]) / (total + 0.5 * 256)
-        self.smallest = max(2.0, P_MIN * total)
-        self.end = self.symbol[END]
-        self.child: list[np.ndarray] = []
-        self.prob = [root[None, :]]
-        self.retained = 1
-
-    def grow(self, parents: np.ndarray, before: np.ndarray, state: np.ndarray, nxt: np.ndarray, n: np.ndarray) -> None:
-        """Add a level: contexts (parent state, byte before it), and the counts
-        ``n`` of symbol ``nxt`` after context number ``state``."""
-        m = len(parents)
-        child = np.full((len(self.prob[-1]), self.width), -1, np.int32)
-        child[parents, before] = np.arange(m)
-        counts = np.zeros((m, self.width))
-        counts[state, nxt] = n
-        suffix = self.prob[-1][parents]
-        sums, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-        smooth = (counts + DISCOUNT * kinds * suffix) / np.maximum(sums + DISCOUNT * kinds, 1e-9)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.where(counts > 0, counts * np.log(counts / np.maximum(sums, 1) / suffix), 0).sum(1)
-        kept = gain >= GAIN
-        self.retained += int(kept.sum())
+        root = (root + 0.5 * np.r_[np.ones(len(seen)), self.unseen]) / (total + 128)
+        self.prob, self.row = [root[None, :].astype(np.float32)], [np.zeros(1, np.int32)]
+        self.child, self.codes = [], [np.zeros(1, np.int64)]
+        self.open(seen[counts >= self.smallest].astype(np.int64))
+
+    def open(self, codes: np.ndarray) -> None:
+        """Add the states of the next level, whose distributions follow."""
+        k = len(self.codes)
+        codes = np.sort(codes)
+        suffix = codes & ((1 << 8 * (k - 1)) - 1)
+        parent = np.searchsorted(self.codes[-1], suffix)
+        child = np.full((len(self.codes[-1]), self.width), -1, np.int32)
+        child[parent, self.symbol[codes >> 8 * (k - 1)]] = np.arange(len(codes))
         self.child.append(child)
-        self.prob.append(np.where(kept[:, None], smooth, suffix))
+        self.codes.append(codes)
+        self.parent = parent
+
+    def learn(self, state: np.ndarray, nxt: np.ndarray, n: np.ndarray) -> None:
+        """The distributions of the level opened last, from the counts ``n`` of
+        byte ``nxt`` after context number ``state`` (sorted by state), and the
+        next level: a frequent context and byte are a context as well."""
+        probs, codes = np.concatenate(self.prob), self.codes[-1]
+        row, new = self.row[-1][self.parent], []
+        at = sum(map(len, self.prob))
+        for a in range(0, len(codes), 4096):
+            b = min(a + 4096, len(codes))
+            part = slice(*np.searchsorted(state, [a, b]))
+            counts = np.zeros((b - a, self.width), np.float32)
+            counts[state[part] - a, self.symbol[nxt[part]]] = n[part]
+            suffix = probs[row[a:b]]
+            sums, room = counts.sum(1, keepdims=True), DISCOUNT * (counts > 0).sum(1, keepdims=True)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = np.where(counts > 0, counts * np.log(counts / sums / suffix), 0).sum(1)
+                smooth = (counts + room * suffix) / (sums + room)
+            kept = np.flatnonzero(gain >= GAIN)
+            new.append(smooth[kept])
+            row[a + kept] = at + np.arange(len(kept))
+            at += len(kept)
+        self.prob += new
+        self.row.append(row)
+        often = (n >= self.smallest) & (nxt != END)
+        self.open((codes[state[often]] << 8) | nxt[often])
 
     def states(self, symbols: np.ndarray, depth: int):
         """For each place but the last, its context's state at each level up to
-        ``depth``: yields (level, places, states), places falling away as
-        contexts end or aren't frequent."""
-        places, state = np.arange(len(symbols) - 1), np.zeros(len(symbols) - 1, np.int32)
+        ``depth``: yields (places, states), places falling away as contexts end
+        or aren't frequent."""
+        places, state = np.arange(len(symbols) - 1, dtype=np.int32), np.zeros(len(symbols) - 1, np.int32)
         for k in range(depth):
-            byte = symbols[np.maximum(places - k, 0)]
-            ok = places >= k
-            if k:
-                ok &= symbols[np.maximum(places - k + 1, 0)] != self.end
-            state = self.child[k].ravel()[state.astype(np.int64) * self.width + byte]
-            ok &= state >= 0
+            before = places - k
+            if k:  # nothing stands before the text, and what its end mark follows is another text
+                ok = (before >= 0) & (symbols[before + 1] != self.end)
+                places, state, before = places[ok], state[ok], before[ok]
+            state = self.child[k].ravel()[state * np.int64(self.width) + symbols[before]]
+            ok = state >= 0
             places, state = places[ok], state[ok]
-            yield k + 1, places, state
+            yield places, state
 
-    def finish(self) -> None:
-        """Log10 probabilities, one table for all levels."""
+    def finish(self) -> Tree:
+        """One table of log10 probabilities."""
         table = np.concatenate(self.prob)
         table[:, -1] /= max(self.unseen, 1)
-        self.first = np.cumsum([0, *(len(p) for p in self.prob)])
-        self.prob = np.log10(np.maximum(table, 1e-300)).astype(np.float32)
+        self.prob = np.log10(np.maximum(table, 1e-30))
+        self.codes = None
+        return self
 
-    def score(self, stream: np.ndarray) -> np.ndarray:
+    def score(self, text: np.ndarray) -> np.ndarray:
         """The log10 probability of each byte after the first."""
-        symbols = self.symbol[stream]
-        best = np.zeros(len(stream) - 1, np.int64)
-        for level, places, state in self.states(symbols, len(self.child)):
-            best[places] = self.first[level] + state
+        symbols = self.symbol[text]
+        best = np.zeros(len(text) - 1, np.int64)
+        for k, (places, state) in enumerate(self.states(symbols, len(self.row) - 1)):
+            best[places] = self.row[k + 1][state]
         return self.prob.ravel()[best * self.width + symbols[1:]]
 
 
-def count_level(lines: DataFrame, tree, level: int) -> DataFrame:
-    """(state, before, nxt, n): counts of the strings of ``level`` context bytes
-    and a next byte in the training texts, below the frequent contexts of
-    ``level`` - 1 bytes."""
+def count_level(table: DataFrame, tree, level: int) -> DataFrame:
+    """(context, nxt, n): how often each byte follows the states of ``level``
+    in the training texts."""
 
     def run(batches):
         import pyarrow as pa
 
         t = tree.value
-        held: list[np.ndarray] = []
-
-        def merged():
-            """Each distinct string with its count, packed as one number each."""
-            codes = np.concatenate(held)
-            held.clear()
-            return np.unique(codes, return_counts=True)
-
-        sums: list[tuple[np.ndarray, np.ndarray]] = []
-        k = level - 1
-        waiting = 0
-        for stream in streams(batches, 0):
-            symbols = t.symbol[stream]
-            for depth, places, state in t.states(symbols, k):
-                pass
-            ok = places >= k
-            ok &= symbols[np.maximum(places - k + 1, 0)] != t.end
-            places, state = places[ok], state[ok]
-            held.append((state.astype(np.int64) * t.width + symbols[places - k]) * t.width + symbols[places + 1])
-            waiting += len(places)
-            if waiting > 16 << 20:
-                sums.append(merged())
-                waiting = 0
-        if held:
-            sums.append(merged())
-        if sums:
-            codes, at = np.unique(np.concatenate([c for c, _ in sums]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([c for _, c in sums])).astype(np.int64)
-            rest, nxt = np.divmod(codes, t.width)
-            state, before = np.divmod(rest, t.width)
-            for a in range(0, len(codes), 200_000):
-                cut = slice(a, a + 200_000)
-                yield pa.RecordBatch.from_arrays([pa.array(rest[cut]), pa.array(nxt[cut]), pa.array(n[cut])], names=["context", "nxt", "n"])
-
-    return lines.where("train").select("line").mapInArrow(run, "context long, nxt long, n long")
-
-
-def frequent(strings: DataFrame, least: float) -> np.ndarray:
-    """Rows (context, nxt, n) of the contexts that occur ``least`` times, as a
-    table for the driver: at most 1 / P_MIN contexts."""
-    counted = strings.groupBy("context", "nxt").agg(F.sum("n").alias("n"))
-    rows = counted.withColumn("whole", F.sum("n").over(Window.partitionBy("context"))).where(F.col("whole") >= least)
-    found = rows.select("context", "nxt", "n").toPandas().to_numpy(np.int64)
+        sums = np.zeros(len(t.codes[level]) * 256, np.int64)
+        for b in batches:
+            for train, packet in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                learnt = list(itertools.compress(opened(packet.as_py()), train))
+                if learnt:
+                    text = stream(learnt)
+                    for places, state in t.states(t.symbol[text], level):
+                        pass
+                    codes, n = np.unique(state * np.int64(256) + text[places + 1], return_counts=True)
+                    sums[codes] += n
+        found = np.flatnonzero(sums)
+        for a in range(0, len(found), 200_000):
+            part = found[a:a + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part >> 8), pa.array(part & 255), pa.array(sums[part])], names=["context", "nxt", "n"])
+
+    return table.select("train", "packet").mapInArrow(run, "context long, nxt long, n long")
+
+
+def collected(counts: DataFrame) -> np.ndarray:
+    """Rows (context, nxt, n), sorted, of at most 1 / P_MIN contexts."""
+    found = counts.toPandas().to_numpy(np.int64)
     return found[np.lexsort((found[:, 1], found[:, 0]))]
 
 
-def learn(lines: DataFrame, counted: DataFrame, depth: int = DEPTH) -> Tree:
-    """The suffix tree of the training lines; ``counted`` is count_tokens."""
-    spark = lines.sparkSession
-    number = sum((F.conv(F.hex(F.substring("key", i + 1, 1)), 16, 10).cast("long") * (1 << 8 * i) for i in range(SHALLOW + 1)), F.lit(0))
-    strings = materialize(counted.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).select(number.alias("code"), "n"), "lm-strings")
+def learn(table: DataFrame, strings: DataFrame, depth: int = DEPTH) -> Tree:
+    """The suffix tree of the training lines; ``strings`` has the short ones
+    (code, n)."""
+    spark = table.sparkSession
     single = strings.groupBy((F.col("code") % 256).alias("b")).agg(F.sum("n").alias("n")).orderBy("b").collect()
     seen, counts = np.array([r["b"] for r in single], np.int64), np.array([r["n"] for r in single], float)
-    tree = Tree(seen, counts, counts.sum())
-    if not len(seen):
-        tree.symbol[END] = tree.end = 0
-        tree.finish()
-        return tree
-    known: dict[int, int] = {0: 0}  # context bytes as a number, to its state
-    for level in range(1, min(depth, SHALLOW) + 1):
-        code = F.col("code").bitwiseAND(F.lit((1 << 8 * (level + 1)) - 1))
-        # A byte 0 this far back stands for what lies before the text.
-        rows = frequent(strings.where(F.shiftright("code", 8 * level).bitwiseAND(F.lit(255)) != 0).select(F.shiftright(code, 8).alias("context"), (code % 256).alias("nxt"), "n"), tree.smallest)
-        contexts, at = np.unique(rows[:, 0], return_inverse=True)
-        parents = np.array([known.get(int(c) & ((1 << 8 * (level - 1)) - 1), -1) for c in contexts], np.int64)
-        ok = parents >= 0
-        new = np.cumsum(ok) - 1
-        use = ok[at]
-        before = tree.symbol[contexts >> 8 * (level - 1)]
-        tree.grow(parents[ok], before[ok], new[at[use]], tree.symbol[rows[use, 1]], rows[use, 2])
-        known = {int(c): i for i, c in enumerate(contexts[ok])}
-    for level in range(SHALLOW + 1, depth + 1):
-        sent = spark.sparkContext.broadcast(tree)
-        rows = frequent(count_level(lines, sent, level), tree.smallest)
-        contexts, at = np.unique(rows[:, 0], return_inverse=True)
-        parents, before = np.divmod(contexts, tree.width)
-        tree.grow(parents, before, at, rows[:, 1], rows[:, 2])
-        sent.unpersist()
-    tree.finish()
-    return tree
+    tree = Tree(seen, counts)
+    for level in range(1, depth + 1):
+        if not len(tree.codes[-1]):
+            break
+        if level <= SHALLOW:
+            # A byte 0 this far back stands for what lies before the text.
+            whole = F.shiftright(F.col("code").bitwiseAND(F.lit((1 << 8 * (level + 1)) - 1)), 8)
+            some = strings.where(F.shiftright("code", 8 * level).bitwiseAND(F.lit(255)) != 0)
+            some = some.groupBy(whole.alias("context"), (F.col("code") % 256).alias("nxt")).agg(F.sum("n").alias("n"))
+            often = some.groupBy("context").agg(F.sum("n").alias("n")).where(F.col("n") >= tree.smallest).select("context")
+            rows = collected(some.join(often, "context", "left_semi"))
+            state = np.searchsorted(tree.codes[-1], rows[:, 0])
+        else:
+            sent = spark.sparkContext.broadcast(tree)
+            rows = collected(count_level(table, sent, level).groupBy("context", "nxt").agg(F.sum("n").alias("n")))
+            state = rows[:, 0]
+            sent.unpersist()
+        tree.learn(state, rows[:, 1], rows[:, 2])
+    return tree.finish()
 
 
 def score(df: DataFrame, train: Column, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = df.sparkSession
-    lines = blocks(df, train, key, text)
-    counted = materialize(count_tokens(lines), "lm-counts")
-    tree = spark.sparkContext.broadcast(learn(lines, counted, depth))
-    at_token = Window.partitionBy("key")
-    asked = counted.where("kind = 0").select("block", "key", "n", F.sum("n").over(at_token).alias("c"), F.row_number().over(at_token.orderBy("block")).alias("turn"))
-    asked = materialize(asked, "lm-answers")
+    table = packets(df, train, key, text)
+    # One shuffle adds up both: each block's tokens get their count in all, a string one row.
+    same = Window.partitionBy("key", "code")
+    counted = count_tokens(table).withColumns({"c": F.sum("n").over(same), "turn": F.row_number().over(same.orderBy("block"))})
+    counted = materialize(counted.where("code is null or turn = 1"), "lm-counts")
+    tree = spark.sparkContext.broadcast(learn(table, counted.where("code is not null").select("code", F.col("c").alias("n")), depth))
+    asked = counted.where("code is null").select("block", "key", "n", "c", "turn")
     sums = asked.agg(F.sum("n").alias("n"), F.sum(F.when((F.col("turn") == 1) & (F.col("c") > 0), 1)).alias("v")).first()
     n_train, kinds = sums["n"] or 0, sums["v"] or 0
     room = math.log10(n_train + kinds + 1)
-    kind = lines.schema["doc_id"].dataType
+    id_kind = df.schema[key].dataType
 
     def run(batches):
         import pyarrow as pa
 
         t, now, words = tree.value, None, {}
         for b in batches:
-            texts = []
-            for block, is_text, key, c, doc, trained in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for block, is_text, body, c, ids, train in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 if block != now:
                     now, words = block, {}
                 if not is_text:
-                    words[key] = c
+                    words[body] = math.log10(c + 1) if c else 0.0
                     continue
-                found = [words[w] for w in key.split()]
-                found.append(words.get(b"\n", 0))
-                texts.append((doc, not trained, len(found), len(found) - found.count(0), math.fsum(map(math.log10, [c + 1 for c in found])) - room * len(found), key))
-            for part in slices(texts, lambda r: len(r[5]), BATCH_BYTES // 2):
-                stream = np.frombuffer(b"\n" + b"".join(r[5] for r in part), np.uint8)
-                ends = np.cumsum([0, *(len(r[5]) for r in part)])
-                scores = np.add.reduceat(t.score(stream).astype(np.float64), ends[:-1])
-                cols = list(zip(*part, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], keys), pa.array(cols[1], pa.bool_()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()),
-                     pa.array([n_train] * len(part), pa.int64()), pa.array(cols[4], pa.float64()), pa.array(scores)], names=names)
+                out, lines = [], opened(body)
+                end = words.get(b"\n", 0.0)
+                for doc, trained, x in zip(ids, train, lines, strict=True):
+                    logs = [words[w] for w in x.split()]
+                    logs.append(end)
+                    out.append((doc, not trained, len(logs), len(logs) - logs.count(0.0), n_train, math.fsum(logs) - room * len(logs)))
+                ends = np.cumsum([0, *(len(x) + 1 for x in lines)])
+                scores = np.add.reduceat(t.score(stream(lines)).astype(np.float64), ends[:-1])
+                kinds = [keys, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+                cols = [pa.array(col, kind) for col, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(scores)], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    keys = to_arrow_type(kind)
+    keys = to_arrow_type(id_kind)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    kind = id_kind.simpleString()
     none = F.lit(None)
-    both = asked.select("block", F.lit(False).alias("is_text"), "key", "c", none.cast(kind).alias("doc_id"), none.cast("boolean").alias("train")).unionByName(
-        lines.select("block", F.lit(True).alias("is_text"), F.col("line").alias("key"), F.lit(0).cast("long").alias("c"), "doc_id", "train"))
+    both = asked.select("block", F.lit(False).alias("is_text"), F.col("key").alias("body"), "c", none.cast(f"array<{kind}>").alias("ids"), none.cast("array<boolean>").alias("train")).unionByName(
+        table.select("block", F.lit(True).alias("is_text"), F.col("packet").alias("body"), F.lit(0).cast("long").alias("c"), "ids", "train"))
     together = both.repartition("block").sortWithinPartitions("block", "is_text")
-    return together.mapInArrow(run, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return together.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
