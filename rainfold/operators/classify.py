@@ -119,36 +119,23 @@ def score(model: PipelineModel, spec: Spec, test: DataFrame, label: str) -> Data
     return scored.withColumn("score", positive_score(model, spec, scored)).withColumn("pred", pred)
 
 
-def cache_spread(df: DataFrame, source_cached: bool = False) -> DataFrame:
-    """Cache a training set with at least one partition per core.
+#: Partitions of a prepared training table, whatever the cluster: seeded
+#: bagging depends on them, so a model is the same everywhere.
+TRAIN_PARTITIONS = 32
 
-    MLlib's parallelism is the input's partition count; a small input that AQE
-    coalesced into a few partitions is spread once (round robin) after
-    caching.  Large inputs already have more partitions and are left alone.
+
+def prepare_input(df: DataFrame, feature_cols: Sequence[str], label: str, key: str,
+                  partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Compact, cached ``(key, features, label)`` table that experiments hash,
+    split and balance without re-reading the source.
+
+    Rows are dealt by the key's hash into a fixed number of partitions (raise
+    it for tables of many gigabytes) and sorted in each.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if source_cached:
-        # Narrow plan over a cached input: the partition count is known
-        # without running anything, so spread (if needed) and cache once.
-        out = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-        out = out.cache()
-        out.count()
-        return out
-    cached = df.cache()
-    cached.count()
-    if cached.rdd.getNumPartitions() >= cores:
-        return cached
-    spread = cached.repartition(cores).cache()
-    spread.count()
-    cached.unpersist()
-    return spread
-
-
-def prepare_input(df: DataFrame, feature_cols: Sequence[str], label: str, key: str) -> DataFrame:
-    """Compact, cached ``(key, features, label)`` table spread over the cores;
-    experiments hash, split and balance it without re-reading the source."""
-    cached_input = df.storageLevel.useMemory or df.storageLevel.useDisk
-    return cache_spread(FE.assemble(df, feature_cols, "features").select(key, "features", label), cached_input)
+    compact = FE.assemble(df, feature_cols, "features").select(key, "features", label)
+    out = compact.repartition(partitions, F.col(key)).sortWithinPartitions(key).cache()
+    out.count()
+    return out
 
 
 def run_experiment(df: DataFrame, spec: Spec, feature_cols: Sequence[str], label: str = "label",

@@ -12,8 +12,6 @@ from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, Ve
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .serving import checked_broadcast
-
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", handle_invalid: str = "error") -> DataFrame:
     """Numeric columns → one vector column (a null fails unless ``handle_invalid``)."""
@@ -25,9 +23,10 @@ def label_index_table(df: DataFrame, col: str, order: str = "frequencyDesc") ->
 
     ``frequencyDesc``: most frequent first, ties by label text;
     ``alphabetAsc``: by label text.  Labels are compared as text, like MLlib.
-    The window runs over the distinct labels only (a handful for a classifier).
+    Null labels get no index.  The window runs over the distinct labels only (a
+    handful for a classifier).
     """
-    counts = df.groupBy(F.col(col).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
     if order == "frequencyDesc":
         w = Window.orderBy(F.desc("n"), F.asc("label"))
     elif order == "frequencyAsc":
@@ -41,10 +40,22 @@ def label_index_table(df: DataFrame, col: str, order: str = "frequencyDesc") ->
     return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
 
 
-def apply_label_index(df: DataFrame, mapping: DataFrame, col: str, out: str = "indexedLabel") -> DataFrame:
-    """Attach the index of ``col`` as a double (small mapping side, checked broadcast)."""
-    m = checked_broadcast(mapping.select(F.col("label").alias("_lbl"), F.col("idx").cast("double").alias(out)))
-    return df.join(m, F.col(col).cast("string") == F.col("_lbl"), "inner").drop("_lbl")
+def apply_label_index(df: DataFrame, mapping: DataFrame, col: str, out: str = "indexedLabel",
+                      handle_invalid: str = "error") -> DataFrame:
+    """Attach the index of ``col`` as a double.
+
+    A null or unknown label raises (``error``), gets the index after the last
+    one (``keep``) or loses its row (``skip``), as with StringIndexer.  The
+    mapping has a row per label; its shuffle is measured, and AQE broadcasts it
+    if it is small.
+    """
+    if handle_invalid not in ("error", "keep", "skip"):
+        raise ValueError(handle_invalid)
+    m = mapping.select(F.col("label").alias("_lbl"), F.col("idx").cast("double").alias("_idx"))
+    joined = df.join(m, F.col(col).cast("string") == F.col("_lbl"), "inner" if handle_invalid == "skip" else "left")
+    missing = (F.raise_error(F.concat(F.lit(f"label without an index in {col}: "), F.coalesce(F.col(col).cast("string"), F.lit("null"))))
+               if handle_invalid == "error" else mapping.select(F.count(F.lit(1)).cast("double")).scalar())
+    return joined.withColumn(out, F.when(F.col("_idx").isNull(), missing).otherwise(F.col("_idx")).cast("double")).drop("_lbl", "_idx")
 
 
 def labels_array(mapping: DataFrame) -> Column:
@@ -62,15 +73,26 @@ def categorical_columns(df: DataFrame, cols: Sequence[str], max_categories: int
     """``(feature, n_distinct, categorical)``: a feature is categorical when it has at
     most ``max_categories`` distinct values (the rule VectorIndexer applies).
 
-    Distinct counting goes through one unpivot and a two-step aggregate:
-    (feature, value) pairs are de-duplicated map-side, then counted per feature.
+    ``n_distinct`` is null where a feature has more.  The test takes
+    ``max_categories`` + 1 aggregates over all features at once, each finding the
+    smallest value above the one before: a task sends one row a round, and no
+    values are shuffled.
     """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols
-    ])).alias("kv")).select("kv.feature", "kv.value")
-    distinct = long.filter(F.col("value").isNotNull()).distinct()
-    counts = distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return counts.withColumn("categorical", F.col("n_distinct") <= F.lit(max_categories))
+    keep = max_categories + 1
+    found = {c: [] for c in cols}
+    value = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    for _ in range(keep):
+        open_ = [c for c in cols if not found[c] or found[c][-1] is not None]
+        if not open_:
+            break
+        row = df.agg(*[F.min(F.when(value[c] > found[c][-1], value[c]) if found[c] else value[c]).alias(f"m{i}") for i, c in enumerate(open_)]).first()
+        for i, c in enumerate(open_):
+            found[c].append(row[f"m{i}"])
+    rows = []
+    for c in cols:
+        n = sum(v is not None for v in found[c])
+        rows.append((c, n if n <= max_categories else None, n <= max_categories))
+    return df.sparkSession.createDataFrame(rows, "feature string, n_distinct long, categorical boolean")
 
 
 def string_indexer(col: str = "label", out: str = "indexedLabel", order: str = "frequencyDesc") -> StringIndexer:

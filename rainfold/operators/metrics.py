@@ -19,9 +19,14 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+#: Buckets at least; more where the session shuffles to more partitions.
 N_BUCKETS = 256
 
 
+def _buckets(df: DataFrame, n_buckets: int | None) -> int:
+    return n_buckets or max(N_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row: ``accuracy``, ``test_error`` and ``n``."""
     hit = (F.col(prediction).cast("double") == F.col(label).cast("double")).cast("double")
@@ -52,24 +57,30 @@ def auc_hard(df: DataFrame, prediction: str = "prediction", label: str = "label"
 
 
 def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Distinct scores with their positive and negative counts."""
+    """Distinct scores with their positive and negative counts.
+
+    Rows without a label don't count; a missing or NaN score raises.
+    """
     y = F.col(label).cast("double")
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    s = F.col(score).cast("double")
+    s = F.when(s.isNull() | F.isnan(s), F.raise_error(F.lit("a score is null or NaN")).cast("double")).otherwise(s)
+    return df.filter(y.isNotNull()).groupBy(s.alias("score")).agg(
         F.sum(F.when(y == 1.0, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(y == 1.0, 0).otherwise(1)).cast("long").alias("neg"),
     )
 
 
-def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], n_buckets: int = N_BUCKETS) -> DataFrame:
+def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], n_buckets: int | None = None) -> DataFrame:
     """Inclusive running sums ``cum_<c>`` over ascending ``order_col`` (distinct values).
 
-    Bucket bounds are approximate quantiles (``n_buckets`` numbers reach the
-    driver); each bucket sums its own rows, offsets come from the bucket
+    Bucket bounds are approximate quantiles (``n_buckets`` numbers, 256 or the
+    session's shuffle partitions, reach the driver); each bucket sums its own rows, offsets come from the bucket
     totals (``n_buckets`` rows), and the window runs inside each bucket.
     """
+    n_buckets = _buckets(df, n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.select(F.percentile_approx(order_col, probs, 10000).alias("b")).first()["b"] or []
-    splits = [float("-inf"), *sorted(set(float(b) for b in bounds)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(float(b) for b in bounds)) or [0.0]), float("inf")]
     b = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bucket", handleInvalid="keep").transform(df)
     totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     w_prev = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,22 +93,22 @@ def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], n_buckets
     return out.drop("_bucket", *[f"_o_{c}" for c in cols])
 
 
-def auc_scores(df: DataFrame, score: str = "score", label: str = "label", n_buckets: int = N_BUCKETS) -> DataFrame:
+def auc_scores(df: DataFrame, score: str = "score", label: str = "label", n_buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve from scores (trapezoids; ties count one half).
 
-    AUC = Σ_s pos_s · (negatives below s + neg_s / 2) / (P · N).
+    Null if a class has no rows.  AUC = Σ_s pos_s · (negatives below s + neg_s / 2) / (P · N).
     """
     sc = materialize(score_counts(df, score, label), "score-counts")
     cum = running_totals(sc, "score", ["neg"], n_buckets)
     below = F.col("cum_neg") - F.col("neg")
     return cum.agg(
         F.sum(F.col("pos") * (below + F.col("neg") / 2.0)).alias("_num"),
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"),
     ).select(F.try_divide(F.col("_num"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("auc"),
              "n_pos", "n_neg")
 
 
-def roc_points(df: DataFrame, score: str = "score", label: str = "label", n_buckets: int = N_BUCKETS) -> DataFrame:
+def roc_points(df: DataFrame, score: str = "score", label: str = "label", n_buckets: int | None = None) -> DataFrame:
     """One row per distinct threshold t: counts and rates of ``score >= t``."""
     sc = materialize(score_counts(df, score, label), "score-counts")
     cum = running_totals(sc, "score", ["pos", "neg"], n_buckets)

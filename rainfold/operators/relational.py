@@ -100,50 +100,18 @@ def order_seconds(df: DataFrame, col: str) -> Column:
 
 
 def position_index(df: DataFrame, order_col: str, key: str | None = None, idx: str = "idx",
-                   bucket_seconds: int = 3600, method: str = "bucket", partitions: int | None = None) -> DataFrame:
-    """Dense 1-based position of each row within its key, ordered by a timestamp.
-
-    A single window over a whole series would send that series to one task.
-    Instead rows are cut into time buckets: bucket sizes are counted (a
-    partial aggregate), turned into running offsets over the small
-    ``(key, bucket)`` table, and each bucket numbers its own rows.  The
-    expensive window therefore runs per bucket, spread over all tasks, and the
-    result equals ``row_number() over (partition by key order by order_col)``
-    when the order column has no ties (ties are broken by the remaining
-    columns' hash-free natural order inside one bucket).
-
-    ``method="range"`` handles raw rows whose buckets may be hot: rows are
-    range-partitioned on (key, order, row hash), so one key or one hour is
-    spread over many partitions by sampled bounds; per-(partition, key)
-    counts become offsets, and each piece numbers its own rows.  It writes
-    the partitioned rows once (see ``_position_index_range``).
-    """
-    if method == "range":
-        return _position_index_range(df, order_col, key, idx, partitions)
-    keys = [key] if key else []
-    ts_sec = order_seconds(df, order_col)
-    b = df.withColumn("_bucket", F.floor(ts_sec / F.lit(bucket_seconds)).cast("long"))
-    counts = b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
-    w_local = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
-    return (
-        b.join(offsets, [*keys, "_bucket"], "inner")
-        .withColumn(idx, (F.col("_off") + F.row_number().over(w_local)).cast("long"))
-        .drop("_bucket", "_off")
-    )
-
-
-def _position_index_range(df: DataFrame, order_col: str, key: str | None, idx: str,
-                          partitions: int | None) -> DataFrame:
-    """Range-partitioned position index (see ``position_index``).
-
-    Each row gets its range-partition id once: the partitioned rows are
-    written with ``_pid`` below the shared checkpoint folder, and both the
-    per-partition counts and the numbering read that table.  (Two separately
-    planned range shuffles could sample different bounds, and column pruning
-    keeps Spark from reusing one exchange for both.)  Fully identical rows
-    share one partition, since they cannot be ordered apart.
+                   partitions: int | None = None) -> DataFrame:
+    """Dense 1-based position of each row within its key, ordered by ``order_col``.
+
+    Equal to ``row_number() over (partition by key order by order_col)``, ties
+    going by the hash of the whole row, but no task holds a whole series: rows
+    are range-partitioned on (key, order, row hash), so one key, or one hour of
+    it, spreads over many partitions by sampled bounds.  Each row's partition id
+    is written once below the shared checkpoint folder (two separately planned
+    range shuffles could sample different bounds); the counts per (partition,
+    key), partitions x keys rows, become offsets, and each piece numbers its own
+    rows.  Null keys form a series of their own and null times come first.
+    Fully identical rows share a partition, since they cannot be ordered apart.
     """
     from ..session import materialize
 
@@ -155,12 +123,16 @@ def _position_index_range(df: DataFrame, order_col: str, key: str | None, idx: s
                          .withColumn("_pid", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *keys, F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
+    offsets = counts.select(F.col("_pid").alias("_opid"), *[F.col(k).alias("_okey") for k in keys],
+                            F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
+    same = F.col("_pid") == F.col("_opid")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_okey"))
     w_local = Window.partitionBy("_pid", *keys).orderBy(order_col, "_tb")
     return (
-        ranged.join(offsets, ["_pid", *keys], "inner")
+        ranged.join(offsets, same, "inner")
         .withColumn(idx, (F.col("_off") + F.row_number().over(w_local)).cast("long"))
-        .drop("_pid", "_tb", "_off")
+        .select(*df.columns, idx)
     )
 
 

@@ -23,7 +23,7 @@ def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
 
 def class_ratio(df: DataFrame, label: str = "label", positive=1) -> DataFrame:
     """One row: total, positives, negatives and positives / total, in one pass."""
-    is_pos = (F.col(label) == F.lit(positive)).cast("long")
+    is_pos = F.col(label).eqNullSafe(F.lit(positive)).cast("long")
     return df.agg(
         F.count(F.lit(1)).alias("n_total"),
         F.sum(is_pos).alias("n_pos"),
@@ -55,7 +55,9 @@ def oversample(df: DataFrame, label: str = "label", k: int = 2, positive=1,
     Same multiset as ``neg ∪ pos ∪ pos`` for k = 2.  ``copy_col`` keeps the
     copy number (1..k) so a later key-hash split can treat copies apart.
     """
-    reps = F.when(F.col(label) == F.lit(positive), F.lit(k)).otherwise(F.lit(1))
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    reps = F.when(F.col(label).eqNullSafe(F.lit(positive)), F.lit(k)).otherwise(F.lit(1))
     out = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), reps)))
     return out.withColumnRenamed("_copy", copy_col) if copy_col else out.drop("_copy")
 
@@ -68,24 +70,25 @@ def undersample(df: DataFrame, key: Column, label: str = "label", seed: int = 12
     depends on the key only, so the sample repeats exactly.
     """
     frac = ratio_value(df, label, positive, ratio)
-    keep = (F.col(label) == F.lit(positive)) | (unit_hash(key, seed) < frac)
+    keep = F.col(label).eqNullSafe(F.lit(positive)) | (unit_hash(key, seed) < frac)
     return df.filter(keep)
 
 
 def undersample_random(df: DataFrame, label: str = "label", seed: int = 1234, positive=1,
                        ratio: str = "of_total") -> DataFrame:
-    """Bernoulli undersampling with Spark's sampler (``sampleBy``).
+    """Bernoulli undersampling with Spark's sampler.
 
-    The fraction is computed by one aggregate first (a scalar for the
+    Every row that isn't positive (whatever its label, null included) is one
+    stratum.  The fraction is computed by one aggregate first (a scalar for the
     sampler); the result depends on partitioning, like the reference's.
     """
     row = class_ratio(df, label, positive).first()
     if ratio == "of_total":
-        r = row["ratio"]
+        r = row["ratio"] or 0.0
     else:
         r = min(1.0, row["n_pos"] / row["n_neg"]) if row["n_neg"] else 1.0
-    neg = 0 if positive == 1 else 1
-    return df.sampleBy(label, {neg: float(r), positive: 1.0}, seed)
+    is_pos = F.col(label).eqNullSafe(F.lit(positive))
+    return df.filter(is_pos).unionByName(df.filter(~is_pos).sample(False, float(r), seed))
 
 
 def split_column(key: Column, weights: Sequence[float], seed: int = 1234) -> Column:

@@ -2,9 +2,11 @@
 
 Requests are a table ``(request_id, n)``.  Each request expands into its
 hours ``h = 0..n-1`` with a generator (n = 0 gives no hours), and those rows
-meet the forecast by an equi-join on the hour.  The forecast side is
-broadcast only behind a checked row bound; otherwise it is a shuffle join
-on ``(h, …)`` and AQE handles skew.
+meet the forecast by an equi-join on the hour.  A request gets exactly n
+records: a negative n, one above ``MAX_HOURS``, and one beyond the stored
+forecast all raise.  The forecast side has a row per hour, at most
+``MAX_HOURS`` rows, and is broadcast by that bound (a shuffle on the few hours
+would be badly skewed: every request has hour 0).
 """
 
 from __future__ import annotations
@@ -12,23 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven ≤ ``max_rows``.
-
-    The side is cached while it is counted, so the join reuses those rows
-    instead of recomputing the side's plan.  The count reads at most
-    ``max_rows + 1`` rows; a larger side is released and stays an ordinary
-    shuffle-join side (AQE may still convert it by its measured size).
-    """
-    kept = df.cache()
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+#: Largest n that a request may ask for: ten years of hours.
+MAX_HOURS = 87_600
 
 
 def fecha(ts: Column) -> Column:
@@ -37,9 +24,21 @@ def fecha(ts: Column) -> Column:
 
 
 def hour_offsets(n: Column) -> Column:
-    """``[0, 1, …, n-1]`` as bigints; empty for n ≤ 0 (``sequence`` would count down)."""
-    return F.when(n > 0, F.sequence(F.lit(0).cast("long"), (n - 1).cast("long"))).otherwise(
-        F.array().cast("array<bigint>"))
+    """``[0, 1, …, n-1]`` as bigints, empty for n = 0 (``sequence`` would count
+    down) and null; n < 0 or n > MAX_HOURS raises."""
+    wrong = F.raise_error(F.concat(F.lit(f"a request's n must be between 0 and {MAX_HOURS}, not "), n.cast("string")))
+    return F.when((n < 0) | (n > MAX_HOURS), wrong.cast("array<bigint>")).when(
+        n > 0, F.sequence(F.lit(0).cast("long"), (n - 1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+
+
+def by_hour(records: DataFrame) -> DataFrame:
+    """The records for a broadcast: a row per hour, MAX_HOURS at most."""
+    return F.broadcast(records.filter(F.col("h") < MAX_HOURS))
+
+
+def present(value: Column, what: str) -> Column:
+    """The value; a null raises: the request exceeds what there is."""
+    return F.when(value.isNull(), F.raise_error(F.lit(f"request exceeds {what}")).cast("string")).otherwise(value)
 
 
 def horizon(requests: DataFrame, anchor: Column, n_col: str = "n") -> DataFrame:
@@ -54,19 +53,18 @@ def horizon(requests: DataFrame, anchor: Column, n_col: str = "n") -> DataFrame:
 
 
 def relabel_payload(requests: DataFrame, entries: DataFrame, anchor: Column) -> DataFrame:
-    """First n payload entries per request, labelled as consecutive hours.
+    """First n entries of each request's payload, labelled as consecutive hours.
 
-    A request for more hours than the payload holds raises an error.
+    ``requests`` is (request_id, doc, n), ``entries`` (doc, pos, temp, humidity):
+    documents are joined by their key.  A request for more hours than its
+    payload holds raises an error.
     """
-    size = entries.select(F.count(F.lit(1))).scalar()
-    checked = requests.withColumn(
-        "n", F.when(F.col("n") > size, F.raise_error(F.lit("request exceeds payload length")))
-        .otherwise(F.col("n")).cast("int"))
-    hours = horizon(checked, anchor)
-    ent = checked_broadcast(entries.select(F.col("pos").alias("h"), "temp", "humidity"))
-    return hours.join(ent, "h", "inner").select(
-        "request_id", "h", "Fecha",
-        F.col("temp").alias("Temperatura"), F.col("humidity").alias("Humedad"))
+    hours = horizon(requests, anchor)
+    ent = entries.select(F.col("doc").alias("_doc"), F.col("pos").alias("_h"), "temp", "humidity")
+    met = hours.join(ent, (F.col("doc") == F.col("_doc")) & (F.col("h") == F.col("_h")), "left")
+    fecha_ = F.when(F.col("_h").isNull(), F.raise_error(F.lit("request exceeds payload length")).cast("string")).otherwise(F.col("Fecha"))
+    return met.select("request_id", "doc", "h", fecha_.alias("Fecha"),
+                      F.col("temp").alias("Temperatura"), F.col("humidity").alias("Humedad"))
 
 
 def forecast_records(fc: DataFrame, anchor: Column, temp: str = "TEMP", hum: str = "HUM",
@@ -86,21 +84,22 @@ def forecast_records(fc: DataFrame, anchor: Column, temp: str = "TEMP", hum: str
 
 
 def answer_requests(requests: DataFrame, records: DataFrame) -> DataFrame:
-    """``(request_id, h, Fecha, Temperatura, Humedad)`` for h < n of each request."""
+    """``(request_id, h, Fecha, Temperatura, Humedad)`` for h < n of each request;
+    an hour without a record raises.  Works on streams of requests as well."""
     wanted = requests.select("request_id", F.explode(hour_offsets(F.col("n"))).alias("h"))
-    return wanted.join(checked_broadcast(records), "h", "inner").select(
-        "request_id", "h", "Fecha", "Temperatura", "Humedad")
+    return wanted.join(by_hour(records), "h", "left").select(
+        "request_id", "h", present(F.col("Fecha"), "the forecast horizon").alias("Fecha"), "Temperatura", "Humedad")
 
 
 def as_json(requests: DataFrame, records: DataFrame) -> DataFrame:
     """``(request_id, n, payload)``: each request's records as a JSON array.
 
-    Records are gathered per request (at most n per group), ordered by hour,
-    and serialised with ``to_json``; a request with n = 0 gets ``[]``.
+    Records are gathered per request (n per group), ordered by hour, and
+    serialised with ``to_json``; a request with n = 0 gets ``[]``.
     """
     wanted = requests.select("request_id", "n", F.explode_outer(hour_offsets(F.col("n"))).alias("h"))
-    joined = wanted.join(checked_broadcast(records), "h", "left")
-    rec = F.when(F.col("Fecha").isNotNull(), F.struct(
-        "h", F.struct("Fecha", "Temperatura", "Humedad").alias("r")))
+    joined = wanted.join(by_hour(records), "h", "left")
+    fecha_ = present(F.col("Fecha"), "the forecast horizon").alias("Fecha")
+    rec = F.when(F.col("h").isNotNull(), F.struct("h", F.struct(fecha_, "Temperatura", "Humedad").alias("r")))
     grouped = joined.groupBy("request_id", "n").agg(F.sort_array(F.collect_list(rec)).alias("rs"))
     return grouped.select("request_id", "n", F.to_json(F.transform("rs", lambda x: x["r"])).alias("payload"))

@@ -4,7 +4,7 @@
   "city" (event type); the wanted city is position 4 (``purchase``).
 * ``lbl``: lineitem ⋈ part with six numeric features and a 0/1 label.
 * ``doc``: labels ⋈ documents with six text features and label ``quality``.
-* ``requests``: one forecast request per user, ``n = user_id % 6`` hours.
+* ``requests``: one forecast request per user, ``n = user_id % 49`` hours (0 to 48).
 
 All of them grow with the input tables.
 """
@@ -66,13 +66,13 @@ def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_hour(spark: SparkSession, sf_dir: str) -> Column:
     """Anchor time: the latest hour in ``events`` (a scalar subquery)."""
-    return table(spark, sf_dir, "events").select(F.max(hour_floor("ts"))).scalar()
+    return table(spark, sf_dir, "events").select(hour_floor(F.max("ts"))).scalar()
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast requests ``(request_id, n)``: one per distinct user."""
     users = table(spark, sf_dir, "events").select("user_id").distinct()
-    return users.select(F.col("user_id").alias("request_id"), (F.col("user_id") % 6).cast("int").alias("n"))
+    return users.select(F.col("user_id").alias("request_id"), (F.col("user_id") % 49).cast("int").alias("n"))
 
 
 def lbl(spark: SparkSession, sf_dir: str) -> DataFrame:

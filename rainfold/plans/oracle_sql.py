@@ -71,7 +71,7 @@ DOC = """doc AS (
 ANCHOR = "(SELECT max(date_trunc('hour', ts)) FROM events)"
 
 REQUESTS = """requests AS (
-  SELECT user_id AS request_id, CAST(user_id % 6 AS INTEGER) AS n FROM (SELECT DISTINCT user_id FROM events)
+  SELECT user_id AS request_id, CAST(user_id % 49 AS INTEGER) AS n FROM (SELECT DISTINCT user_id FROM events)
 )"""
 
 TS_SERIES = f"""{HOURLY},

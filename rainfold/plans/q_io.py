@@ -124,18 +124,24 @@ def json_forecast_flatten(spark, sf_dir):
 
 
 @register("json_forecast_relabel", f"""WITH {PAYLOAD_SQL}, {O.REQUESTS},
-latest AS (SELECT * FROM entries WHERE doc = (SELECT max(doc) FROM entries)),
-hours AS (SELECT request_id, n, CAST(h AS BIGINT) AS h FROM requests, range(n) t(h))
-SELECT q.request_id, q.h,
+docs AS (SELECT doc, count(*) AS size, row_number() OVER (ORDER BY doc) - 1 AS no FROM entries GROUP BY doc),
+asked AS (
+  SELECT request_id, doc, n % (size + 1) AS n FROM requests JOIN docs ON request_id % (SELECT count(*) FROM docs) = no
+),
+hours AS (SELECT request_id, doc, CAST(h AS BIGINT) AS h FROM asked, range(n) t(h))
+SELECT q.request_id, q.doc, q.h,
        strftime({O.ANCHOR} + q.h * INTERVAL 1 HOUR, '%Y-%-m-%-d %-H:%-M') AS "Fecha",
        round(e.temp, 6) AS "Temperatura", round(e.humidity, 6) AS "Humedad"
-FROM hours q JOIN latest e ON e.pos = q.h""")
+FROM hours q JOIN entries e ON e.doc = q.doc AND e.pos = q.h""")
 def json_forecast_relabel(spark, sf_dir):
-    """The latest payload's first n entries, relabelled as hours from the anchor."""
+    """The first n entries of the payload that each request names (the users'
+    requests are dealt over all days' payloads), relabelled as hours from the anchor."""
     from ..operators import serving
-
-    entries = jsondocs.flatten_payload(payload_docs(spark, sf_dir))
-    latest = entries.filter(F.col("doc") == entries.select(F.max("doc")).scalar())
-    anchor = X.latest_hour(spark, sf_dir)
-    out = serving.relabel_payload(X.requests(spark, sf_dir), latest, anchor)
-    return finish(out)
+    from ..session import materialize
+
+    entries = materialize(jsondocs.flatten_payload(payload_docs(spark, sf_dir)), "entries")
+    docs = materialize(R.position_index(entries.groupBy("doc").agg(F.count(F.lit(1)).alias("size")), "doc", idx="no"), "docs")
+    users = X.requests(spark, sf_dir)
+    no = F.col("request_id") % docs.select(F.count(F.lit(1))).scalar() + 1
+    asked = users.withColumn("no", no).join(docs, "no").select("request_id", "doc", (F.col("n") % (F.col("size") + 1)).cast("int").alias("n"))
+    return finish(serving.relabel_payload(asked, entries, X.latest_hour(spark, sf_dir)))

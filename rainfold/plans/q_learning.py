@@ -116,7 +116,8 @@ def label_unindex(spark, sf_dir):
 
 
 _CAT = "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS feature, count(DISTINCT {c}) AS n_distinct, count(DISTINCT {c}) <= 2 AS categorical FROM doc"
+    f"SELECT '{c}' AS feature, CASE WHEN count(DISTINCT {c}) <= 2 THEN count(DISTINCT {c}) END AS n_distinct, "
+    f"count(DISTINCT {c}) <= 2 AS categorical FROM doc"
     for c in X.DOC_FEATURES)
 
 

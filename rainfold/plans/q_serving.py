@@ -16,7 +16,11 @@ from .q_weather import series_indexed
 from .registry import register
 
 HORIZON = 24
-Z95 = 1.959963984540054
+
+
+def asked_horizon(spark, sf_dir) -> int:
+    """Hours that the requests need at most (one number reaches the driver)."""
+    return max(1, X.requests(spark, sf_dir).agg(F.max("n")).first()[0] or 0)
 
 
 @register("horizon_hours", f"""WITH {O.REQUESTS}
@@ -39,7 +43,9 @@ def records(spark, sf_dir, horizon=HORIZON):
     return V.forecast_records(fc, X.latest_hour(spark, sf_dir), "TEMP", "HUM")
 
 
-RECORDS_SQL = f"""{O.SERIES_LONG},
+def records_sql(hours: str) -> str:
+    """``records``: forecast records for the given number of hours (SQL text)."""
+    return f"""{O.SERIES_LONG},
 lagged AS (SELECT series, idx, y, lag(y, 1) OVER (PARTITION BY series ORDER BY idx) AS l1 FROM series_idx),
 ar1 AS (
   SELECT series, regr_slope(y, l1) AS phi, regr_intercept(y, l1) AS c, max_by(y, idx) AS y_last
@@ -48,7 +54,7 @@ ar1 AS (
 fc AS (
   SELECT series, CAST(h - 1 AS BIGINT) AS h,
          c * (1 - pow(phi, h)) / (1 - phi) + pow(phi, h) * y_last AS yhat
-  FROM ar1, range(1, {HORIZON + 1}) t(h)
+  FROM ar1, range(1, (SELECT CAST({hours} + 1 AS BIGINT))) t(h)
 ),
 records AS (
   SELECT h, strftime({O.ANCHOR} + h * INTERVAL 1 HOUR, '%Y-%-m-%-d %-H:%-M') AS "Fecha",
@@ -58,21 +64,25 @@ records AS (
 )"""
 
 
+RECORDS_SQL = records_sql(str(HORIZON))
+ASKED_SQL = f"{O.REQUESTS}, {records_sql('(SELECT greatest(max(n), 1) FROM requests)')}"
+
+
 @register("forecast_records", f"WITH {RECORDS_SQL} SELECT * FROM records")
 def forecast_records(spark, sf_dir):
     """Both series' forecasts side by side as (Fecha, Temperatura, Humedad) records."""
     return finish(records(spark, sf_dir))
 
 
-@register("forecast_requests", f"""WITH {RECORDS_SQL}, {O.REQUESTS}
+@register("forecast_requests", f"""WITH {ASKED_SQL}
 SELECT q.request_id, CAST(t.h AS BIGINT) AS h, r."Fecha", r."Temperatura", r."Humedad"
 FROM requests q, range(q.n) t(h) JOIN records r ON r.h = t.h""")
 def forecast_requests(spark, sf_dir):
     """Every request answered with its first n forecast records."""
-    return V.answer_requests(X.requests(spark, sf_dir), finish(records(spark, sf_dir)))
+    return V.answer_requests(X.requests(spark, sf_dir), finish(records(spark, sf_dir, asked_horizon(spark, sf_dir))))
 
 
-@register("forecast_json", f"""WITH {RECORDS_SQL}, {O.REQUESTS},
+@register("forecast_json", f"""WITH {ASKED_SQL},
 ans AS (
   SELECT q.request_id, q.n, t.h, r."Fecha", r."Temperatura", r."Humedad"
   FROM requests q, range(q.n) t(h) JOIN records r ON r.h = t.h
@@ -84,7 +94,7 @@ SELECT q.request_id, q.n,
 FROM requests q""")
 def forecast_json(spark, sf_dir):
     """One JSON array of records per request (``[]`` for n = 0)."""
-    return V.as_json(X.requests(spark, sf_dir), finish(records(spark, sf_dir)))
+    return V.as_json(X.requests(spark, sf_dir), finish(records(spark, sf_dir, asked_horizon(spark, sf_dir))))
 
 
 @register("arima_forecast_records")

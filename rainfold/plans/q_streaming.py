@@ -5,13 +5,12 @@ from __future__ import annotations
 from ..session import scratch_path
 from ..streaming import requests as RS
 from . import fixtures as X
-from .q_serving import RECORDS_SQL, records
+from .q_serving import ASKED_SQL, asked_horizon, records
 from .common import finish
-from . import oracle_sql as O
 from .registry import register
 
 
-@register("stream_requests", f"""WITH {RECORDS_SQL}, {O.REQUESTS}
+@register("stream_requests", f"""WITH {ASKED_SQL}
 SELECT q.request_id, CAST(t.h AS BIGINT) AS h, r."Fecha", r."Temperatura", r."Humedad"
 FROM requests q, range(q.n) t(h) JOIN records r ON r.h = t.h""")
 def stream_requests(spark, sf_dir):
@@ -21,9 +20,10 @@ def stream_requests(spark, sf_dir):
     sink = scratch_path(spark, "requests-answers")
     ckpt = scratch_path(spark, "requests-checkpoint")
     X.requests(spark, sf_dir).write.json(landing)
-    recs = finish(records(spark, sf_dir)).cache()
+    recs = finish(records(spark, sf_dir, asked_horizon(spark, sf_dir))).cache()
     q = RS.start(spark, landing, recs, sink, ckpt, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    recs.unpersist()
     return spark.read.parquet(sink)

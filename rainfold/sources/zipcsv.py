@@ -1,10 +1,10 @@
 """Zipped CSV as a source (and, for fixtures, as a sink).
 
 Archives are read with the ``binaryFile`` source: one archive per row, so
-archives are spread over tasks.  A pandas function opens each archive,
-streams each member line by line and emits the lines in bounded batches; the
-lines are then parsed by Spark's own ``from_csv`` with the given schema.  A
-zip archive cannot be split, so one archive is one task; Spark's binary
+archives are spread over tasks.  A pandas function opens each archive and
+emits its members, which are dealt out anew; another emits a member's lines in
+bounded batches, which Spark's own ``from_csv`` parses with the given schema.
+A zip member cannot be split, so one member is one task; Spark's binary
 source limits one archive to 2 GB.  Records must be one per line (no quoted
 line breaks), as with the line-based tools this replaces.
 """
@@ -12,6 +12,7 @@ line breaks), as with the line-based tools this replaces.
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -26,43 +27,57 @@ LINES_SCHEMA = "path string, member string, line long, value string"
 BATCH_LINES = 65536
 
 
-def _unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for member in zf.namelist():
-                    if member.endswith("/"):
-                        continue
-                    buf_no, buf_val = [], []
-                    with zf.open(member) as fh:
-                        for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8", newline="")):
-                            buf_no.append(i)
-                            buf_val.append(raw.rstrip("\r\n"))
-                            if len(buf_no) >= BATCH_LINES:
-                                yield pd.DataFrame({"path": path, "member": member, "line": buf_no, "value": buf_val})
-                                buf_no, buf_val = [], []
-                    if buf_no:
-                        yield pd.DataFrame({"path": path, "member": member, "line": buf_no, "value": buf_val})
+                for info in zf.infolist():
+                    if not info.is_dir():
+                        yield pd.DataFrame({"path": [path], "member": [info.filename], "content": [zf.read(info)]})
+
+
+def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path, member, content in zip(pdf["path"], pdf["member"], pdf["content"]):
+            fh = io.TextIOWrapper(io.BytesIO(content), encoding="utf-8", newline="")
+            at = 0
+            while part := list(itertools.islice(fh, BATCH_LINES)):
+                yield pd.DataFrame({"path": path, "member": member, "line": range(at, at + len(part)), "value": [x.rstrip("\r\n") for x in part]})
+                at += len(part)
 
 
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every text line of every member of every archive under ``path``."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    return files.mapInPandas(_unzip_lines, LINES_SCHEMA)
+    members = files.mapInPandas(_members, "path string, member string, content binary")
+    return members.repartition("path", "member").mapInPandas(_lines, LINES_SCHEMA)
 
 
-def read_zip_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
+def read_zip_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
+                 malformed: str = "raise") -> DataFrame:
     """Parse zipped CSV members with an explicit, positional schema.
 
-    The header line of each member is skipped; empty fields become null.
+    The header line of each member and blank lines are skipped; empty fields
+    become null.  A line that doesn't parse as the schema raises
+    (``malformed="raise"``), is dropped (``"drop"``) or becomes a row with nulls
+    (``"null"``).
     """
+    if malformed not in ("raise", "drop", "null"):
+        raise ValueError(malformed)
     ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
     lines = zip_lines(spark, path)
     if header:
         lines = lines.filter(F.col("line") > 0)
-    parsed = lines.select(F.from_csv("value", ddl, {"mode": "PERMISSIVE"}).alias("r"))
-    return parsed.select("r.*")
+    lines = lines.filter(F.trim("value") != "")
+    bad = "_malformed"
+    parsed = lines.select(F.from_csv("value", f"{ddl}, {bad} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}).alias("r"))
+    rows = parsed.select("r.*")
+    if malformed == "drop":
+        rows = rows.filter(F.col(bad).isNull())
+    elif malformed == "raise":
+        rows = rows.filter(F.col(bad).isNull() | F.raise_error(F.concat(F.lit("malformed line: "), F.col(bad))).cast("boolean"))
+    return rows.drop(bad)
 
 
 def _zip_parts(dest: str):
@@ -97,7 +112,7 @@ def write_zip_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).csv(parts)
     files = (spark_of(df).read.format("binaryFile").option("pathGlobFilter", "*.csv").load(parts)
              .select("path", "content"))
-    files.mapInPandas(_zip_parts(path.rstrip("/")), "archive string").collect()
+    files.mapInPandas(_zip_parts(path.rstrip("/")), "archive string").write.format("noop").mode("overwrite").save()
 
 
 def spark_of(df: DataFrame) -> SparkSession:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.serving import checked_broadcast, hour_offsets
+from ..operators.serving import answer_requests
 
 REQUEST_SCHEMA = "request_id long, n int"
 
@@ -27,12 +27,10 @@ def request_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
 def answers(requests: DataFrame, records: DataFrame) -> DataFrame:
     """``(request_id, h, Fecha, Temperatura, Humedad)`` for h < n of each request.
 
-    ``records`` is static (one row per forecast hour); after a bounded row
-    count it is broadcast to every micro-batch.
+    ``records`` is static, a row per forecast hour, and broadcast to every
+    micro-batch; a request beyond the stored horizon fails the batch.
     """
-    hours = requests.select("request_id", F.explode(hour_offsets(F.col("n"))).alias("h"))
-    return hours.join(checked_broadcast(records), "h", "inner").select(
-        "request_id", "h", "Fecha", "Temperatura", "Humedad")
+    return answer_requests(requests, records)
 
 
 def start(spark: SparkSession, landing: str, records: DataFrame, sink: str, checkpoint: str,

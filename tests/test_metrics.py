@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -44,3 +45,14 @@ def test_accuracy(spark):
     df = spark.createDataFrame([(1.0, 1), (0.0, 1), (0.0, 0), (0.0, 0)], "prediction double, label int")
     r = M.accuracy(df).first()
     assert r["accuracy"] == 0.75 and abs(r["test_error"] - 0.25) < 1e-12 and r["n"] == 4
+
+
+def test_empty_one_class_and_nan_scores(spark):
+    empty = spark.createDataFrame([], "score double, label int")
+    assert tuple(M.auc_scores(empty).first()) == (None, 0, 0)
+    assert M.roc_points(empty).count() == 0
+    one = spark.createDataFrame([(0.1, 1), (0.2, 1), (0.3, None)], "score double, label int")
+    assert tuple(M.auc_scores(one).first()) == (None, 2, 0)
+    for bad in (float("nan"), None):
+        with pytest.raises(Exception, match="null or NaN"):
+            M.auc_scores(spark.createDataFrame([(bad, 1), (0.5, 0)], "score double, label int")).first()

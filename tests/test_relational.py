@@ -16,7 +16,7 @@ def _series(spark, n=500, keys=("a", "b", "c")):
 
 def test_position_index_equals_row_number(spark):
     df = _series(spark)
-    got = R.position_index(df, "ts", key="series", bucket_seconds=3600)
+    got = R.position_index(df, "ts", key="series")
     want = df.withColumn("idx", F.row_number().over(Window.partitionBy("series").orderBy("ts")).cast("long"))
     a = sorted(got.select("series", "ts", "idx").collect())
     b = sorted(want.select("series", "ts", "idx").collect())
@@ -70,7 +70,7 @@ def test_position_index_range_with_hot_bucket(spark):
     rows = [("hot", base + dt.timedelta(microseconds=37 * i), float(i % 11)) for i in range(3000)]
     rows += [(k, base + dt.timedelta(minutes=i), 1.0) for k in ("a", "b") for i in range(200)]
     df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, y double")
-    got = R.position_index(df, "ts", key="series", method="range", partitions=16)
+    got = R.position_index(df, "ts", key="series", partitions=16)
     want = df.withColumn("idx", F.row_number().over(Window.partitionBy("series").orderBy("ts")).cast("long"))
     assert sorted(got.select("series", "ts", "idx").collect()) == sorted(want.select("series", "ts", "idx").collect())
 
@@ -83,7 +83,7 @@ def test_position_index_across_dst_gap(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        got = R.position_index(df, "ts", key="series", bucket_seconds=3600)
+        got = R.position_index(df, "ts", key="series")
         assert sorted((r["y"], r["idx"]) for r in got.collect()) == [(float(i), i + 1) for i in range(12)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
@@ -102,3 +102,11 @@ def test_order_seconds_wall_clock_and_instant(spark):
         assert all(r["k"] == r["u"] for r in got)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_position_index_keeps_null_keys_and_times(spark):
+    rows = [("a", 1), ("a", 2), (None, 1), (None, None), ("a", None), (None, 5), ("a", 2)]
+    df = spark.createDataFrame(rows, "series string, ts int")
+    got = R.position_index(df, "ts", key="series", partitions=3).collect()
+    assert sorted((str(r["series"]), r["idx"]) for r in got) == [("None", 1), ("None", 2), ("None", 3), ("a", 1), ("a", 2), ("a", 3), ("a", 4)]
+    assert [r["ts"] for r in sorted(got, key=lambda r: r["idx"]) if r["series"] is None] == [None, 1, 5]

@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -42,3 +43,15 @@ def test_class_ratio_one_pass(spark):
     df = _labelled(spark, [1, 0, 0, 1, 1])
     r = S.class_ratio(df, "label").first()
     assert (r["n_total"], r["n_pos"], r["n_neg"]) == (5, 3, 2) and abs(r["ratio"] - 0.6) < 1e-12
+
+
+def test_random_undersampling_keeps_every_class_in_play(spark):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(["yes"] * 300 + ["no"] * 600 + ["maybe"] * 600 + [None] * 600)], "id int, label string")
+    got = {r["label"]: r["n"] for r in S.class_counts(S.undersample_random(df, "label", positive="yes")).collect()}
+    assert got["yes"] == 300
+    assert all(40 < got[x] < 140 for x in ("no", "maybe", None))  # 300 / 2100 of 600
+
+
+def test_oversample_rejects_no_copies(spark):
+    with pytest.raises(ValueError):
+        S.oversample(spark.range(3).withColumn("label", F.lit(1)), k=0)

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,10 +47,31 @@ def test_json_payload(spark):
                       '{"Fecha":"t1","Temperatura":21.0,"Humedad":49.0}]')
 
 
-def test_relabel_raises_when_payload_short(spark):
-    entries = spark.createDataFrame([(0, 1.0, 2.0), (1, 1.5, 2.5)], "pos long, temp double, humidity double")
-    out = V.relabel_payload(_requests(spark, [3]), entries, F.lit(ANCHOR).cast("timestamp_ntz"))
-    with pytest.raises(Exception, match="exceeds payload"):
-        out.collect()
-    ok = V.relabel_payload(_requests(spark, [2]), entries, F.lit(ANCHOR).cast("timestamp_ntz")).collect()
-    assert len(ok) == 2
+@pytest.mark.parametrize("n", [-1, V.MAX_HOURS + 1])
+def test_impossible_n_raises(spark, n):
+    with pytest.raises(Exception, match="must be between"):
+        V.answer_requests(_requests(spark, [n]), _records(spark)).collect()
+
+
+def test_request_beyond_the_forecast_raises(spark):
+    for answer in (V.answer_requests, V.as_json):
+        with pytest.raises(Exception, match="exceeds the forecast horizon"):
+            answer(_requests(spark, [2, 7]), _records(spark)).collect()
+
+
+def test_every_request_gets_n_records(spark):
+    ns = [0, 1, 24, 25, 30, 48, 100]
+    req, rec = _requests(spark, ns), _records(spark, 100)
+    counts = {r["request_id"]: r["c"] for r in V.answer_requests(req, rec).groupBy("request_id").agg(F.count("*").alias("c")).collect()}
+    assert [counts.get(i, 0) for i in range(len(ns))] == ns
+    assert [len(json.loads(r["payload"])) for r in V.as_json(req, rec).orderBy("request_id").collect()] == ns
+
+
+def test_relabel_by_document_raises_when_payload_short(spark):
+    entries = spark.createDataFrame([("a", 0, 1.0, 2.0), ("a", 1, 1.5, 2.5), ("b", 0, 7.0, 8.0)], "doc string, pos long, temp double, humidity double")
+    ask = lambda *rows: V.relabel_payload(spark.createDataFrame(list(rows), "request_id long, doc string, n int"), entries, F.lit(ANCHOR).cast("timestamp_ntz"))
+    for rows in ([(1, "a", 3)], [(1, "b", 2)], [(1, "a", 1), (2, "none", 1)]):
+        with pytest.raises(Exception, match="exceeds payload"):
+            ask(*rows).collect()
+    got = ask((1, "a", 2), (2, "b", 1), (3, "a", 0)).collect()
+    assert sorted((r["request_id"], r["h"], r["Temperatura"]) for r in got) == [(1, 0, 1.0), (1, 1, 1.5), (2, 0, 7.0)]

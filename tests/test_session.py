@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from rainfold.operators.serving import checked_broadcast
 from rainfold.session import checkpoint_base, local_path, materialize
 
 
@@ -8,21 +7,6 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_checked_broadcast_only_below_bound(spark):
-    big = spark.range(5000).withColumn("v", F.col("id") * 2)
-    small = spark.range(10).withColumn("w", F.col("id") + 1)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        ok = big.join(checked_broadcast(small, max_rows=100), "id")
-        assert ok.count() == 10
-        assert "BroadcastHashJoin" in _plan(ok)
-        no = big.join(checked_broadcast(big.select("id"), max_rows=100), "id")
-        assert no.count() == 5000
-        assert "BroadcastHashJoin" not in _plan(no)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_materialize_cuts_lineage(spark):
     df = spark.range(100).withColumn("sq", F.col("id") * F.col("id")).filter("id % 3 = 0")
     m = materialize(df, "t")

@@ -59,3 +59,25 @@ def test_zip_with_several_members_and_header_per_member(spark):
         fh.write(buf.getvalue())
     got = sorted(tuple(r) for r in zipcsv.read_zip_csv(spark, path, "t int, v double").collect())
     assert got == [(1, 1.5), (2, None), (3, 3.5)]
+
+
+def _archive(spark, text):
+    import os
+    import zipfile
+
+    from rainfold.session import local_path
+
+    path = local_path(scratch_path(spark, "t-zip-bad"))
+    os.makedirs(path)
+    with zipfile.ZipFile(os.path.join(path, "x.zip"), "w") as zf:
+        zf.writestr("a.csv", text)
+    return path
+
+
+def test_blank_lines_are_skipped_and_malformed_ones_named(spark):
+    path = _archive(spark, "t,v\n1,1.5\n\n  \n2,x,y,z\n3,2.5\n")
+    read = lambda how: zipcsv.read_zip_csv(spark, path, "t int, v double", malformed=how)
+    assert sorted(tuple(r) for r in read("drop").collect()) == [(1, 1.5), (3, 2.5)]
+    assert read("null").count() == 3
+    with pytest.raises(Exception, match="malformed line"):
+        read("raise").collect()
