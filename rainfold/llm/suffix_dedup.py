@@ -320,7 +320,8 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> t
         batch = found.where(F.pmod(F.xxhash64("t1"), F.lit(batches)) == i)
         new = family.add(batch)
         met = new if met is None else met.unionByName(new)
-    met = met.distinct()
+    # Written, not just distinct: a join with a table in its own right can split a suffix that is all over.
+    met = materialize(met.distinct(), "suffix-met")
     seen = materialize(found.join(met, ["pre", "gram"], "left_semi"), "suffix-seen")
     wholes = seen.groupBy("pre", "gram", "whole").agg(F.count(F.lit(1)).alias("n"))
     shared = Window.partitionBy("pre", "gram")
