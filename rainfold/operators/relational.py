@@ -85,6 +85,12 @@ def hour_floor(ts: str | Column) -> Column:
     return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
 
 
+def minute_floor(ts: str | Column) -> Column:
+    """Truncate a wall-clock timestamp to the minute (see ``hour_floor``)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.lit(0))
+
+
 def order_seconds(df: DataFrame, col: str) -> Column:
     """Whole seconds since the epoch as an ordering key.
 

@@ -5,7 +5,11 @@ an expression over a lag table, so the work spreads over the cluster and a
 single huge series is no worse than many small ones:
 
 * Lags come from key shifting (``shifted_lags``): a shuffle on
-  ``(series, position)``, not a window over a whole series.
+  ``(series, position)``, not a window over a whole series.  Only the narrow
+  series and a small table of parameters per series are ever written; lag
+  columns live inside the stage that aggregates them.
+* Every series in is a series out: one too short, constant, or singular for
+  the order search gets a stated fallback model and a ``status``.
 * The unit-root (Dickey–Fuller) regression and AR(1) fits are ``regr_*``
   aggregates.
 * ARMA(p, q) orders are fitted by the Hannan–Rissanen two-stage least squares
@@ -40,6 +44,12 @@ MAX_D = 2
 MAX_P = 3
 MAX_Q = 3
 LONG_AR = 10
+#: Lagged differences in the default unit-root test: floor((rows - 1)^(1/3)) of each series, this many at most.
+MAX_ADF_LAGS = 8
+#: Rows that a unit-root test needs; shorter series aren't differenced.
+MIN_TEST_ROWS = 10
+#: Forecast steps folded at a time.
+FOLD_STEPS = 64
 
 
 # --------------------------------------------------------------------------
@@ -78,84 +88,123 @@ def _t_stat(n: Column, sxx: Column, sxy: Column, syy: Column) -> Column:
     return F.try_divide(beta, F.sqrt(F.try_divide(F.try_divide(sse, (n - 2).cast("double")), sxx)))
 
 
+def _unvarying(z: str, x: str) -> Column:
+    """True if the pairs (z_t, z_{t-1}) show no variation at all."""
+    return F.expr(f"coalesce(min({x}) FILTER (WHERE {z} IS NOT NULL) = max({x}) FILTER (WHERE {z} IS NOT NULL) "
+                  f"AND min({z} - {x}) = 0 AND max({z} - {x}) = 0, false)")
+
+
 def adf_stats(lagged: DataFrame, key: str = "series", max_d: int = MAX_D) -> DataFrame:
     """Dickey–Fuller regression Δz_t = α + β z_{t-1} for z = Δ^d y, d = 0..max_d.
 
-    Returns ``(key, d, n, beta, t_stat)``; all orders in one aggregate.
+    Returns ``(key, d, n, beta, t_stat, constant)``; all orders in one aggregate.
+    ``constant``: z doesn't vary, so there is nothing to test.
     """
     aggs = []
     for d in range(max_d + 1):
         dz = _diff(d, 0) - _diff(d, 1)
         x = _diff(d, 1)
         aggs += [F.regr_count(dz, x).alias(f"n{d}"), F.regr_sxx(dz, x).alias(f"sxx{d}"),
-                 F.regr_sxy(dz, x).alias(f"sxy{d}"), F.regr_syy(dz, x).alias(f"syy{d}")]
+                 F.regr_sxy(dz, x).alias(f"sxy{d}"), F.regr_syy(dz, x).alias(f"syy{d}"), _unvarying(_diff_sql(d, 0), _diff_sql(d, 1)).alias(f"c{d}")]
     sums = lagged.groupBy(key).agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(d).alias("d"), F.col(f"n{d}").alias("n"),
                  F.try_divide(F.col(f"sxy{d}"), F.col(f"sxx{d}")).alias("beta"),
-                 _t_stat(F.col(f"n{d}"), F.col(f"sxx{d}"), F.col(f"sxy{d}"), F.col(f"syy{d}")).alias("t_stat"))
+                 _t_stat(F.col(f"n{d}"), F.col(f"sxx{d}"), F.col(f"sxy{d}"), F.col(f"syy{d}")).alias("t_stat"),
+                 F.col(f"c{d}").alias("constant"))
         for d in range(max_d + 1)]))
     return sums.select(key, rows.alias("r")).select(key, "r.*")
 
 
+def _gram_stack(pdf: pd.DataFrame, names: list[str]) -> np.ndarray:
+    """The rows' Gram matrices, (rows, k, k); missing sums are 0."""
+    k = len(names)
+    i, j = np.triu_indices(k)
+    flat = pdf[[f"g__{names[a]}__{names[b]}" for a, b in zip(i, j)]].to_numpy(float)
+    g = np.zeros((len(pdf), k, k))
+    g[:, i, j] = g[:, j, i] = np.nan_to_num(flat)
+    return g
+
+
+def _solvable(a: np.ndarray) -> np.ndarray:
+    """Which of the (scaled) matrices are far from singular."""
+    scale = np.sqrt(np.maximum(np.einsum("bii->bi", a), 1e-300))
+    s = np.linalg.svd(a / (scale[:, :, None] * scale[:, None, :]), compute_uv=False)
+    return np.isfinite(s).all(1) & (s[:, -1] > 1e-12 * s[:, 0])
+
+
 def _adf_solver(k: int):
     names = ["one", "x", *[f"g{j}" for j in range(1, k + 1)], "dz"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                g = _gram_matrix(row, names)
-                n = float(row["n"])
-                xtx, xty = g[:-1, :-1], g[:-1, -1]
-                try:
-                    inv = np.linalg.inv(xtx)
-                except np.linalg.LinAlgError:
-                    out.append((row["series"], int(row["d"]), int(n), None, None))
-                    continue
-                b = inv @ xty
-                rss = float(g[-1, -1] - b @ xty)
-                dof = n - len(b)
-                if dof <= 0 or rss <= 0:
-                    out.append((row["series"], int(row["d"]), int(n), float(b[1]), None))
-                    continue
-                se = math.sqrt(rss / dof * inv[1, 1])
-                out.append((row["series"], int(row["d"]), int(n), float(b[1]), float(b[1] / se)))
-            yield pd.DataFrame(out, columns=["series", "d", "n", "beta", "t_stat"])
+            g, n, lags = _gram_stack(pdf, names), pdf["n"].to_numpy(float), pdf["lags"].to_numpy(int)
+            beta, t = np.full(len(pdf), np.nan), np.full(len(pdf), np.nan)
+            for used in np.unique(lags):
+                at = np.flatnonzero(lags == used)
+                cols = [*range(2 + used), len(names) - 1]
+                part = g[at][:, cols][:, :, cols]
+                ok = _solvable(part[:, :-1, :-1])
+                at, part = at[ok], part[ok]
+                inv = np.linalg.inv(part[:, :-1, :-1])
+                b = np.einsum("bij,bj->bi", inv, part[:, :-1, -1])
+                rss = part[:, -1, -1] - np.einsum("bi,bi->b", b, part[:, :-1, -1])
+                beta[at] = b[:, 1]
+                dof = n[at] - b.shape[1]
+                fine = (dof > 0) & (rss > 0) & (inv[:, 1, 1] > 0)
+                t[at[fine]] = b[fine, 1] / np.sqrt(rss[fine] / dof[fine] * inv[fine, 1, 1])
+            out = pdf[["series", "d", "n", "constant"]].assign(beta=beta, t_stat=t)[["series", "d", "n", "beta", "t_stat", "constant"]]
+            yield out.astype({"beta": object, "t_stat": object}).where(out.notna(), None)
     return run
 
 
-def adf_stats_augmented(lagged: DataFrame, lags: int, key: str = "series", max_d: int = MAX_D) -> DataFrame:
-    """Augmented Dickey–Fuller: Δz_t = α + β z_{t-1} + Σ_{j≤lags} γ_j Δz_{t-j}.
+def adf_stats_augmented(lagged: DataFrame, lags: int | None = None, key: str = "series", max_d: int = MAX_D) -> DataFrame:
+    """Augmented Dickey–Fuller: Δz_t = α + β z_{t-1} + Σ_{j≤k} γ_j Δz_{t-j}.
 
-    ``lagged`` needs y lags up to ``max_d + lags + 1``.  One Gram aggregate per
-    (series, d) and a small solve per group give β and its t-statistic.
+    k is ``lags``, or by default floor((rows - 1)^(1/3)) of each series, at most
+    ``MAX_ADF_LAGS``.  ``lagged`` needs y lags up to ``max_d + k + 1``.  Levels
+    are centred per (series, d) first; one Gram aggregate per (series, d) and
+    small solves, all of a batch at once, give β and its t-statistic.  Every
+    series has a row for every d, with nulls where nothing can be tested.
     """
-    need = max_d + lags + 1
+    most = MAX_ADF_LAGS if lags is None else lags
+    need = max_d + most + 1
     if f"l{need}" not in lagged.columns:
-        raise ValueError(f"lag table needs y lags up to {need} for d ≤ {max_d} and {lags} lagged differences")
+        raise ValueError(f"lag table needs y lags up to {need} for d ≤ {max_d} and {most} lagged differences")
     ship_package(lagged.sparkSession)
-    per_d = []
+    stats = lagged.groupBy(F.col(key).alias("_series")).agg(
+        *([F.expr(f"least(CAST(floor(pow(greatest(count(y) - 1, 0), 1.0 / 3) + 1e-9) AS INT), {most}) AS lags")] if lags is None
+          else [F.lit(lags).alias("lags")]),
+        *[F.expr(f"avg({_diff_sql(d, 1)}) AS m{d}") for d in range(max_d + 1)],
+        *[_unvarying(_diff_sql(d, 0), _diff_sql(d, 1)).alias(f"c{d}") for d in range(max_d + 1)])
+    orders = []
     for d in range(max_d + 1):
-        dz = [f"({_diff_sql(d, j)} - {_diff_sql(d, j + 1)})" for j in range(lags + 1)]
-        per_d.append(lagged.selectExpr(
-            f"`{key}` AS series", f"{d} AS d", f"{_diff_sql(d, 1)} AS x",
-            *[f"{dz[j]} AS g{j}" for j in range(1, lags + 1)], f"{dz[0]} AS dz"))
-    rows = per_d[0]
-    for extra in per_d[1:]:
-        rows = rows.unionByName(extra)
-    names = ["one", "x", *[f"g{j}" for j in range(1, lags + 1)], "dz"]
+        dz = [f"({_diff_sql(d, j)} - {_diff_sql(d, j + 1)})" for j in range(most + 1)]
+        fields = [f"'d', {d}", f"'constant', c{d}", f"'x', {_diff_sql(d, 1)} - m{d}", f"'dz', {dz[0]}"]
+        fields += [f"'g{j}', CASE WHEN {j} <= lags THEN {dz[j]} ELSE 0D END" for j in range(1, most + 1)]
+        orders.append(f"named_struct({', '.join(fields)})")
+    both = lagged.join(stats, F.col(key).eqNullSafe(F.col("_series")))
+    rows = both.selectExpr(f"`{key}` AS series", "lags", f"inline(array({', '.join(orders)}))")
+    names = ["one", "x", *[f"g{j}" for j in range(1, most + 1)], "dz"]
     full = " AND ".join(f"{c} IS NOT NULL" for c in names[1:])
-    gram = rows.filter(full).groupBy("series", "d").agg(*_gram_aggs(names))
-    out = gram.mapInPandas(_adf_solver(lags), "series string, d int, n long, beta double, t_stat double")
+    gram = rows.groupBy("series", "d", "lags", "constant").agg(*_gram_aggs(names, full))
+    out = gram.mapInPandas(_adf_solver(most), "series string, d int, n long, beta double, t_stat double, constant boolean")
     return out.withColumnRenamed("series", key) if key != "series" else out
 
 
 def select_d(adf: DataFrame, key: str = "series", critical: float = ADF_CRITICAL_5PCT,
              max_d: int = MAX_D) -> DataFrame:
-    """Smallest d whose differenced series rejects a unit root; ``max_d`` if none."""
-    first = F.min(F.when(F.col("t_stat") < F.lit(critical), F.col("d")))
-    return adf.groupBy(key).agg(F.coalesce(first, F.lit(max_d)).cast("int").alias("d"))
+    """``(key, d, d_status)``: the smallest d whose differenced series rejects a
+    unit root or doesn't vary (``tested``, ``constant``), ``max_d`` if none, and 0
+    for series with fewer than ``MIN_TEST_ROWS`` rows (``short``)."""
+    hit = F.min(F.when((F.col("t_stat") < F.lit(critical)) | F.col("constant"), F.struct("d", "constant")))
+    rows = F.coalesce(F.max(F.when(F.col("d") == 0, F.col("n"))), F.lit(0))
+    out = adf.groupBy(key).agg(hit.alias("hit"), rows.alias("rows"))
+    flat = F.coalesce(F.col("hit.constant"), F.lit(False))
+    short = (F.col("rows") < MIN_TEST_ROWS) & ~flat
+    return out.select(
+        key, F.when(short, 0).otherwise(F.coalesce("hit.d", F.lit(max_d))).cast("int").alias("d"),
+        F.when(flat, "constant").when(short, "short").otherwise("tested").alias("d_status"))
 
 
 # --------------------------------------------------------------------------
@@ -188,130 +237,129 @@ def ar1_as_model(fit: DataFrame, key: str = "series") -> DataFrame:
 # Hannan–Rissanen ARMA fitting
 # --------------------------------------------------------------------------
 
-def _gram_aggs(names: list[str]) -> list[Column]:
-    """``count`` and ``sum(a * b)`` for every pair of regressors (SQL text)."""
-    out = [F.expr("count(1) AS n")]
+def _gram_aggs(names: list[str], full: str) -> list[Column]:
+    """``count`` and ``sum(a * b)`` for every pair of regressors over the rows
+    where ``full`` holds (SQL text); groups without such rows stay, with nulls."""
+    out = [F.expr(f"count_if({full}) AS n")]
     for i, a in enumerate(names):
         for b in names[i:]:
-            ca = "1.0" if a == "one" else a
-            cb = "1.0" if b == "one" else b
-            out.append(F.expr(f"sum({ca} * {cb}) AS g__{a}__{b}"))
+            ca = "1.0D" if a == "one" else a
+            cb = "1.0D" if b == "one" else b
+            out.append(F.expr(f"sum({ca} * {cb}) FILTER (WHERE {full}) AS g__{a}__{b}"))
     return out
 
 
-def _gram_matrix(row: pd.Series, names: list[str]) -> np.ndarray:
-    k = len(names)
-    g = np.empty((k, k))
-    for i, a in enumerate(names):
-        for j in range(i, k):
-            g[i, j] = g[j, i] = row[f"g__{a}__{names[j]}"]
-    return g
+def _stationary(coefs: np.ndarray) -> np.ndarray:
+    """For each row c of coefficients: all roots of 1 - c1 x - … - ck x^k lie
+    outside the unit circle (the companion matrix's eigenvalues inside it)."""
+    n, k = coefs.shape
+    if k == 0:
+        return np.ones(n, bool)
+    companion = np.zeros((n, k, k))
+    companion[:, 0, :] = np.nan_to_num(coefs)
+    companion[:, np.arange(1, k), np.arange(k - 1)] = 1.0
+    return np.isfinite(coefs).all(1) & (np.abs(np.linalg.eigvals(companion)).max(1) < 1 / (1 + 1e-8))
 
 
-def _roots_outside(coefs: list[float], sign: float) -> bool:
-    """True when 1 + sign·(c1 x + … + ck x^k) has all roots outside the unit circle."""
-    if not coefs or all(c == 0 for c in coefs):
-        return True
-    poly = [sign * c for c in reversed(coefs)] + [1.0]
-    return bool(np.all(np.abs(np.roots(poly)) > 1.0 + 1e-8))
+def _solved(g: np.ndarray, cols: list[int], target: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least squares on some regressors, all rows at once: coefficients and the
+    residual sum of squares, NaN where the system is singular."""
+    beta = np.full((len(g), len(cols)), np.nan)
+    a = g[:, cols][:, :, cols]
+    ok = _solvable(a)
+    beta[ok] = np.linalg.solve(a[ok], g[ok][:, cols, target][:, :, None])[:, :, 0]
+    return beta, g[:, target, target] - np.einsum("bi,bi->b", beta, g[:, cols, target])
 
 
 def _stage1_solver(names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys, coefs = [], []
-            for _, row in pdf.iterrows():
-                g = _gram_matrix(row, names)
-                try:
-                    a = np.linalg.solve(g[:-1, :-1], g[:-1, -1])
-                except np.linalg.LinAlgError:
-                    continue
-                if np.all(np.isfinite(a)):
-                    keys.append(row["series"])
-                    coefs.append([float(v) for v in a])
-            yield pd.DataFrame({"series": keys, "a": coefs})
+            g = _gram_stack(pdf, names)
+            a, _ = _solved(g, list(range(len(names) - 1)), len(names) - 1)
+            bad = ~np.isfinite(a).all(1) | (pdf["n"].to_numpy() < len(names))
+            a[bad] = 0.0  # the series itself then stands for its residuals
+            yield pd.DataFrame({"series": pdf["series"], "a": list(a)})
     return run
 
 
 def _stage2_solver(names: list[str], max_p: int, max_q: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                g = _gram_matrix(row, names)
-                n = float(row["n"])
-                target = len(names) - 1
-                for p in range(max_p + 1):
-                    for q in range(max_q + 1):
-                        cols = [0] + list(range(1, p + 1)) + list(range(1 + max_p, 1 + max_p + q))
-                        rec = {"series": row["series"], "p": p, "q": q, "n": int(n), "const": None,
-                               "ar": None, "ma": None, "sigma2": None, "aic": None, "ok": False}
-                        try:
-                            beta = np.linalg.solve(g[np.ix_(cols, cols)], g[cols, target])
-                        except np.linalg.LinAlgError:
-                            out.append(rec)
-                            continue
-                        rss = float(g[target, target] - beta @ g[cols, target])
-                        ar = [float(v) for v in beta[1:1 + p]]
-                        ma = [float(v) for v in beta[1 + p:]]
-                        good = (np.all(np.isfinite(beta)) and rss > 0 and n > len(cols)
-                                and _roots_outside(ar, -1.0) and _roots_outside(ma, 1.0))
-                        if np.all(np.isfinite(beta)) and rss > 0:
-                            rec.update(const=float(beta[0]), ar=ar, ma=ma, sigma2=rss / n,
-                                       aic=n * math.log(rss / n) + 2.0 * (p + q + 2))
-                        rec["ok"] = bool(good)
-                        out.append(rec)
-            yield pd.DataFrame(out, columns=["series", "p", "q", "n", "const", "ar", "ma", "sigma2", "aic", "ok"])
+            g, n = _gram_stack(pdf, names), pdf["n"].to_numpy(float)
+            target, parts = len(names) - 1, []
+            for p in range(max_p + 1):
+                for q in range(max_q + 1):
+                    cols = [0, *range(1, p + 1), *range(1 + max_p, 1 + max_p + q)]
+                    beta, rss = _solved(g, cols, target)
+                    known = np.isfinite(beta).all(1) & (rss > 0) & (n > 0)
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        aic = n * np.log(rss / n) + 2.0 * (p + q + 2)
+                    ar, ma = beta[:, 1:1 + p], beta[:, 1 + p:]
+                    ok = known & (n > len(cols)) & _stationary(ar) & _stationary(-ma)
+                    put = lambda v: [x if k else None for x, k in zip(v, known, strict=True)]  # noqa: E731, B023
+                    parts.append(pd.DataFrame({
+                        "series": pdf["series"], "p": p, "q": q, "n": pdf["n"], "const": put(beta[:, 0].tolist()), "ar": put(ar.tolist()), "ma": put(ma.tolist()),
+                        "sigma2": put((rss / np.maximum(n, 1)).tolist()), "aic": put(aic.tolist()), "ok": ok, "var": pdf["var"]}))
+            yield pd.concat(parts)
     return run
 
 
 GRID_SCHEMA = ("series string, p int, q int, n long, const double, ar array<double>, ma array<double>, "
-               "sigma2 double, aic double, ok boolean")
+               "sigma2 double, aic double, ok boolean, var double")
 
 
 def prepare(series_idx: DataFrame, d_table: DataFrame | None = None, m: int = LONG_AR, max_p: int = MAX_P,
-            max_q: int = MAX_Q, materialize: bool = True, adf_lags: int = 0) -> DataFrame:
+            max_q: int = MAX_Q, materialize: bool = True, adf_lags: int | None = None) -> DataFrame:
     """Lag table of the centred differenced series with stage-1 residual columns.
 
     Columns: series, idx, d, mu, y, l1, z0..z<m+max(p,q)> (centred Δ^d y at
     lags), e0..e<max(p,q)> (long-AR residuals at lags).  With ``materialize``
-    the lag table is written as Parquet into the shared checkpoint folder, cutting
-    the lineage before the unit-root test and both fitting stages reuse it.
-    Without a ``d_table`` the differencing order comes from the unit-root
-    test on that same lag table.
+    the narrow series (series, idx, y) and a table of parameters per series (d,
+    mean, stage-1 coefficients) are written to the shared checkpoint folder;
+    the lag columns are made again by each of the stages that aggregate them.
+    Without a ``d_table`` the differencing order comes from the augmented
+    unit-root test on that same lag table (see ``adf_stats_augmented``).  A
+    series that the long autoregression can't be fitted to has zero
+    coefficients there.
     """
     k = max(max_p, max_q)
-    n_lags = max(m + k + MAX_D, MAX_D + adf_lags + 1)
+    n_lags = max(m + k + MAX_D, MAX_D + (MAX_ADF_LAGS if adf_lags is None else adf_lags) + 1)
     ship_package(series_idx.sparkSession)
-    lag = lag_table(series_idx, "series", "idx", "y", n_lags)
+    base = series_idx.select("series", "idx", "y")
     if materialize:
-        lag = materialize_table(lag, "lags")
+        base = materialize_table(base, "series")
+    lag = lag_table(base, "series", "idx", "y", n_lags)
     if d_table is None:
         adf = adf_stats(lag, "series") if adf_lags == 0 else adf_stats_augmented(lag, adf_lags, "series")
         d_table = select_d(adf, "series")
-    # Per-series tables (d, mean, stage-1 coefficients) come out of shuffle
-    # aggregates; AQE measures them and broadcasts only below its size
-    # threshold, keeping a sort-merge join otherwise: no extra counting job.
-    # They are gathered into one small parameter table, written once, so the
-    # later consumers (order grid, forecast start) scan the lag table once each.
+        if materialize:
+            d_table = materialize_table(d_table, "orders")
 
     def z(kk: int, centre: str = "") -> str:
         return (f"CASE d WHEN 0 THEN {_diff_sql(0, kk)} WHEN 1 THEN {_diff_sql(1, kk)} "
                 f"ELSE {_diff_sql(2, kk)} END{centre} AS z{kk}")
 
-    zr = lag.join(d_table.select("series", "d"), "series", "inner").selectExpr(
-        "series", "d", *[z(kk) for kk in range(m + 1)])
-    mu = zr.groupBy("series", "d").agg(F.expr("avg(z0) AS mu"))
-    centred = zr.join(mu.drop("d"), "series", "inner").selectExpr(
-        "series", *[f"z{kk} - mu AS z{kk}" for kk in range(m + 1)])
+    # Tables per series come out of shuffle aggregates; AQE measures them and
+    # broadcasts only below its size threshold.
+    orders = d_table.select(F.col("series").alias("_series"), F.col("d").alias("_d"))
+    same = F.col("series").eqNullSafe(F.col("_series"))
+    with_d = lag.join(orders, same, "left").withColumn("d", F.coalesce("_d", F.lit(0))).drop("_series", "_d")
+    zr = with_d.selectExpr("series", "d", *[z(kk) for kk in range(m + 1)])
+    # The mean centres the regressors of the Gram sums as well: sums of raw
+    # products, less what the means make of them, would lose digits.
+    mu = zr.groupBy("series", "d").agg(F.expr("coalesce(avg(z0), 0D) AS mu"))
+    if materialize:
+        mu = materialize_table(mu, "means")
+    means = mu.select(F.col("series").alias("_series"), "mu")
+    centred = zr.join(means, same).selectExpr("series", *[f"z{kk} - mu AS z{kk}" for kk in range(m + 1)])
     # stage 1: long AR(m) on the centred series
     names1 = ["one", *[f"z{kk}" for kk in range(1, m + 1)], "z0"]
-    g1 = centred.filter(f"z{m} IS NOT NULL").groupBy("series").agg(*_gram_aggs(names1))
+    g1 = centred.groupBy("series").agg(*_gram_aggs(names1, f"z{m} IS NOT NULL AND z0 IS NOT NULL"))
     a = g1.mapInPandas(_stage1_solver(names1), "series string, a array<double>")
-    params = mu.join(a, "series", "inner")
+    params = mu.join(a.withColumnRenamed("series", "_series"), same).drop("_series")
     if materialize:
         params = materialize_table(params, "arma-params")
-    t = lag.join(params, "series", "inner").selectExpr(
+    t = lag.join(params.withColumnRenamed("series", "_series"), same).selectExpr(
         "series", "idx", "d", "mu", "a", "y", "l1", *[z(kk, " - mu") for kk in range(m + k + 1)])
     resid = [f"z{j} - a[0] - (" + " + ".join(f"a[{kk}] * z{j + kk}" for kk in range(1, m + 1)) + f") AS e{j}"
              for j in range(k + 1)]
@@ -320,19 +368,27 @@ def prepare(series_idx: DataFrame, d_table: DataFrame | None = None, m: int = LO
 
 
 def fit_grid(prepared: DataFrame, max_p: int = MAX_P, max_q: int = MAX_Q) -> DataFrame:
-    """All (p, q) candidates per series from one stage-2 Gram aggregate."""
+    """All (p, q) candidates of every series from one stage-2 Gram aggregate;
+    ``ok`` marks those that could be fitted, are stationary and invertible."""
     ship_package(prepared.sparkSession)
     names2 = ["one", *[f"z{i}" for i in range(1, max_p + 1)], *[f"e{j}" for j in range(1, max_q + 1)], "z0"]
-    g2 = prepared.filter(f"e{max_q} IS NOT NULL AND z{max_p} IS NOT NULL").groupBy("series").agg(
-        *_gram_aggs(names2))
+    full = f"e{max_q} IS NOT NULL AND z{max_p} IS NOT NULL AND z0 IS NOT NULL"
+    g2 = prepared.groupBy("series").agg(*_gram_aggs(names2, full), F.expr("coalesce(var_pop(z0), 0D) AS var"))
     return g2.mapInPandas(_stage2_solver(names2, max_p, max_q), GRID_SCHEMA)
 
 
 def select_order(grid: DataFrame) -> DataFrame:
-    """Lowest-AIC acceptable candidate per series."""
-    best = grid.filter("ok").groupBy("series").agg(
-        F.min_by(F.struct("p", "q", "n", "const", "ar", "ma", "sigma2", "aic"), "aic").alias("b"))
-    return best.select("series", "b.*")
+    """Lowest-AIC acceptable candidate of every series (``status`` ``fitted``); a
+    series without one gets the mean model, or the last value where it is
+    differenced (p = q = 0, ``status`` ``fallback``)."""
+    fields = ["p", "q", "n", "const", "ar", "ma", "sigma2", "aic"]
+    best = F.min_by(F.when(F.col("ok"), F.struct(*fields)), F.when(F.col("ok"), F.struct("aic", "p", "q")))
+    out = grid.groupBy("series").agg(best.alias("b"), F.max("n").alias("rows"), F.max("var").alias("var"))
+    none = F.array().cast("array<double>")
+    plain = F.struct(F.lit(0).alias("p"), F.lit(0).alias("q"), F.col("rows").alias("n"), F.lit(0.0).alias("const"),
+                     none.alias("ar"), none.alias("ma"), F.col("var").alias("sigma2"), F.lit(None).cast("double").alias("aic"))
+    return out.select("series", F.coalesce("b", plain).alias("b"),
+                      F.when(F.col("b").isNull(), "fallback").otherwise("fitted").alias("status")).select("series", "b.*", "status")
 
 
 def last_state(prepared: DataFrame, k: int = max(MAX_P, MAX_Q)) -> DataFrame:
@@ -340,16 +396,17 @@ def last_state(prepared: DataFrame, k: int = max(MAX_P, MAX_Q)) -> DataFrame:
     st = F.struct(
         F.array(*[F.col(f"z{j}") for j in range(k)]).alias("zs"),
         F.array(*[F.coalesce(F.col(f"e{j}"), F.lit(0.0)) for j in range(k)]).alias("es"),
-        F.col("y").alias("y_last"), (F.col("y") - F.col("l1")).alias("dy_last"),
+        F.col("y").alias("y_last"), F.coalesce(F.col("y") - F.col("l1"), F.lit(0.0)).alias("dy_last"),
         F.col("d").alias("d"), F.col("mu").alias("mu"))
     return prepared.groupBy("series").agg(F.max_by(st, "idx").alias("s")).select("series", "s.*")
 
 
 def arima_models(prepared: DataFrame, chosen: DataFrame) -> DataFrame:
     """Chosen orders with their forecast start: the layout ``forecast`` reads."""
-    st = last_state(prepared)
-    return chosen.join(st, "series", "inner").select(
-        "series", "p", "d", "q", "const", "mu", "ar", "ma", "sigma2", "aic", "n", "zs", "es", "y_last", "dy_last")
+    st = last_state(prepared).withColumnRenamed("series", "_series")
+    drift = F.when((F.col("status") == "fallback") & (F.col("d") > 0), 0.0).otherwise(F.col("mu"))
+    return chosen.join(st, F.col("series").eqNullSafe(F.col("_series"))).select(
+        "series", "p", "d", "q", "const", drift.alias("mu"), "ar", "ma", "sigma2", "aic", "n", "zs", "es", "y_last", "dy_last", "status")
 
 
 # --------------------------------------------------------------------------
@@ -403,7 +460,16 @@ def forecast(models: DataFrame, horizon: int, level: float = 0.95, key: str = "s
             c1.alias("c1"), c2.alias("c2"), ss.alias("ss"),
             F.concat(acc["out"], F.array(rec)).alias("out"))
 
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step, lambda acc: acc["out"])
-    return models.select(key, F.inline(folded)).select(
+    # Steps are folded a block at a time, so that the growing list of records
+    # that every step copies stays short.
+    block = max(FOLD_STEPS, math.isqrt(horizon))
+    rows, state, outs = models.withColumn("_state", init), "_state", []
+    for a in range(1, horizon + 1, block):
+        steps = F.sequence(F.lit(a), F.lit(min(a + block - 1, horizon)))
+        start = F.col(state).withField("out", F.array().cast(OUT_TYPE))
+        rows = rows.withColumn(f"_s{a}", F.aggregate(steps, start, step))
+        state = f"_s{a}"
+        outs.append(F.col(f"{state}.out"))
+    return rows.select(key, F.inline(F.concat(*outs))).select(
         key, F.col("h").cast("long").alias("h"), "yhat", "se",
         (F.col("yhat") - zq * F.col("se")).alias("lo"), (F.col("yhat") + zq * F.col("se")).alias("hi"))

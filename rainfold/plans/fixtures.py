@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import key_text
-from ..operators.relational import hour_floor, order_seconds
+from ..operators.relational import hour_floor, minute_floor, order_seconds
 
 # The wide table's columns in position order, and the feature
 # names of the classification table (one renamed feature keeps a dashed name
@@ -43,8 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
-def _wide(events: DataFrame, value: Column) -> DataFrame:
-    return events.groupBy(hour_floor("ts").alias("datetime")).agg(
+def _wide(events: DataFrame, value: Column, floor=hour_floor) -> DataFrame:
+    return events.groupBy(floor("ts").alias("datetime")).agg(
         *[F.avg(F.when(F.col("event_type") == F.lit(c), value)).alias(c) for c in CITY_COLUMNS]
     )
 
@@ -57,6 +57,12 @@ def wide_hum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(table(spark, sf_dir, "events"), F.col("event_id") % 101)
 
 
+def wide_minutes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The wide humidity and temperature tables by the minute: long, with many nulls."""
+    ev = table(spark, sf_dir, "events")
+    return (_wide(ev, F.col("event_id") % 101, minute_floor), _wide(ev, F.col("value"), minute_floor))
+
+
 def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed series ``(series, ts, y)``: mean event value per type and hour."""
     ev = table(spark, sf_dir, "events")

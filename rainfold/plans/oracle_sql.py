@@ -9,10 +9,10 @@ from __future__ import annotations
 from .fixtures import CITY_COLUMNS
 
 
-def _wide_sql(name: str, value: str) -> str:
+def _wide_sql(name: str, value: str, unit: str = "hour") -> str:
     cols = ",\n    ".join(f"avg(CASE WHEN event_type = '{c}' THEN {value} END) AS {c}" for c in CITY_COLUMNS)
     return f"""{name} AS (
-  SELECT date_trunc('hour', ts) AS datetime,
+  SELECT date_trunc('{unit}', ts) AS datetime,
     {cols}
   FROM events GROUP BY 1
 )"""
@@ -29,6 +29,13 @@ weather AS (
 ),
 weather_clean AS (SELECT * FROM weather WHERE "HUM" IS NOT NULL AND "TEMP" IS NOT NULL)"""
 
+MINUTES = f"""{_wide_sql("wide_temp", "value", "minute")},
+{_wide_sql("wide_hum", "event_id % 101", "minute")},
+minutes AS (
+  SELECT h.datetime AS "DATE", h.purchase AS "HUM", t.purchase AS "TEMP"
+  FROM wide_hum h JOIN wide_temp t ON h.datetime = t.datetime
+)"""
+
 SERIES_LONG = f"""{WEATHER},
 series_long AS (
   SELECT "DATE", 'TEMP' AS series, "TEMP" AS y FROM weather_clean

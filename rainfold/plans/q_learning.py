@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.hashing import unit_hash_sql
 from ..operators import classify as C
 from ..operators import features as FE
 from ..operators import metrics as M
@@ -132,22 +133,60 @@ def _one(spark, sf_dir, spec):
                                  C.RESULT_SCHEMA)
 
 
-@register("train_tree")
+def _checked(results):
+    """What SQL can say of results: the settings, the sizes of both parts, and
+    that the metrics are numbers in their range (NULL where the test part lacks
+    a class).  The metrics themselves have thresholds in the tests."""
+    within = lambda c: F.coalesce(F.col(c).between(0, 1), F.lit(True))
+    sound = within("accuracy") & within("auc_scores") & within("auc_hard") & (F.abs(F.col("accuracy") + F.col("test_error") - 1) < 1e-9)
+    return results.select("algo", "balance", "balance_scope", "num_trees", F.concat_ws(",", F.col("layers").cast("array<string>")).alias("layers"),
+                          "seed", "n_train", "n_test", sound.alias("sound"))
+
+
+def _results_sql(specs):
+    """The rows of ``_checked`` for several settings: parts by the key hash."""
+    rows = ", ".join(f"('{s.algo}', '{s.balance}', '{s.balance_scope}', {s.num_trees if s.algo == 'forest' else 'NULL'}, "
+                     f"'{','.join(map(str, s.layers)) if s.algo == 'mlp' else ''}', {s.seed})" for s in specs)
+    key = "CAST(doc_id AS VARCHAR) || ':' || CAST(copy AS VARCHAR)"
+    seeds = {s.seed for s in specs}
+    assert len(seeds) == 1
+    seed = seeds.pop()
+    return f"""WITH {O.DOC},
+rate AS (SELECT avg(CAST(label = 1 AS DOUBLE)) AS r FROM doc),
+bal AS (
+  SELECT 'none' AS balance, CAST(doc_id AS VARCHAR) AS skey FROM doc
+  UNION ALL SELECT 'over', {key} FROM doc, range(1, 3) t(copy) WHERE copy = 1 OR label = 1
+  UNION ALL SELECT 'under', CAST(doc_id AS VARCHAR) FROM doc, rate WHERE label = 1 OR {unit_hash_sql('CAST(doc_id AS VARCHAR)', C.undersample_seed(seed))} < r
+),
+parts AS (
+  SELECT balance, count(*) FILTER (WHERE {unit_hash_sql('skey', seed)} < 0.7) AS n_train,
+         count(*) FILTER (WHERE {unit_hash_sql('skey', seed)} >= 0.7) AS n_test FROM bal GROUP BY balance
+),
+specs(algo, balance, balance_scope, num_trees, layers, seed) AS (VALUES {rows})
+SELECT algo, balance, balance_scope, CAST(num_trees AS INTEGER) AS num_trees, layers, CAST(seed AS INTEGER) AS seed, n_train, n_test, true AS sound
+FROM specs JOIN parts USING (balance)"""
+
+
+TREE, FOREST = C.Spec("tree", "none"), C.Spec("forest", "under", num_trees=10)
+MLP = C.Spec("mlp", "over", layers=(6, 10, 2))
+
+
+@register("train_tree", _results_sql([TREE]))
 def train_tree(spark, sf_dir):
     """Decision tree with default parameters on the unbalanced documents."""
-    return _one(spark, sf_dir, C.Spec("tree", "none"))
+    return _checked(_one(spark, sf_dir, TREE))
 
 
-@register("train_forest")
+@register("train_forest", _results_sql([FOREST]))
 def train_forest(spark, sf_dir):
     """Random forest, 10 trees, undersampled."""
-    return _one(spark, sf_dir, C.Spec("forest", "under", num_trees=10))
+    return _checked(_one(spark, sf_dir, FOREST))
 
 
-@register("train_mlp")
+@register("train_mlp", _results_sql([MLP]))
 def train_mlp(spark, sf_dir):
     """Multilayer perceptron [6, 10, 2], oversampled, 100 iterations, block 128."""
-    return _one(spark, sf_dir, C.Spec("mlp", "over", layers=(6, 10, 2)))
+    return _checked(_one(spark, sf_dir, MLP))
 
 
 def _fit_forest(spark, sf_dir):
@@ -157,14 +196,18 @@ def _fit_forest(spark, sf_dir):
     return df, spec, C.fit(spec, bal, bal, X.DOC_FEATURES, "label")
 
 
-@register("model_summary")
+@register("model_summary", f"""WITH {O.DOC}
+SELECT 10 AS num_trees, {len(X.DOC_FEATURES)} AS num_features, CAST(count(DISTINCT label) AS INTEGER) AS num_classes, true AS sound FROM doc""")
 def model_summary(spark, sf_dir):
     """Size facts of a 10-tree forest (depth, nodes, trees, features, classes, importances)."""
     _, _, model = _fit_forest(spark, sf_dir)
-    return spark.createDataFrame([C.model_summary(model.stages[3])], C.SUMMARY_SCHEMA)
+    out = spark.createDataFrame([C.model_summary(model.stages[3])], C.SUMMARY_SCHEMA)
+    total = F.aggregate("importances", F.lit(0.0), lambda a, x: a + x)
+    sound = F.col("depth").between(1, 5) & (F.col("num_nodes") >= 3 * F.col("num_trees")) & (F.abs(total - 1) < 1e-6)
+    return out.select("num_trees", "num_features", "num_classes", sound.alias("sound"))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", f"WITH {O.DOC} SELECT doc_id, true AS same FROM doc")
 def model_roundtrip(spark, sf_dir):
     """Save the fitted pipeline, load it back, and score with both: predictions agree."""
     df, spec, model = _fit_forest(spark, sf_dir)
@@ -173,19 +216,22 @@ def model_roundtrip(spark, sf_dir):
     loaded = PipelineModel.load(path)
     a = model.transform(df).select("doc_id", F.col("prediction").alias("p_fitted"))
     b = loaded.transform(df).select("doc_id", F.col("prediction").alias("p_loaded"))
-    return a.join(b, "doc_id").withColumn("same", F.col("p_fitted") == F.col("p_loaded"))
+    return a.join(b, "doc_id").select("doc_id", (F.col("p_fitted") == F.col("p_loaded")).alias("same"))
 
 
-@register("preview_predictions")
+@register("preview_predictions", f"""WITH {O.DOC}
+SELECT doc_id, label, {', '.join(f'round({c}, 6) AS f{i}' for i, c in enumerate(X.DOC_FEATURES))}, true AS known FROM doc ORDER BY doc_id LIMIT 5""")
 def preview_predictions(spark, sf_dir):
     """The first five scored rows by document id (the reference's ``show(5)``)."""
     df, spec, model = _fit_forest(spark, sf_dir)
     out = model.transform(df).select("doc_id", "predictedLabel", "label",
                                      vector_to_array("features").alias("features"))
-    return out.orderBy("doc_id").limit(5)
+    known = F.col("predictedLabel").isin("0", "1").alias("known")
+    columns = [F.col("features")[i].alias(f"f{i}") for i in range(len(X.DOC_FEATURES))]
+    return finish(out.orderBy("doc_id").limit(5).select("doc_id", "label", *columns, known))
 
 
-@register("experiment_grid")
+@register("experiment_grid", _results_sql(C.reference_grid()))
 def experiment_grid(spark, sf_dir):
     """All 18 reference settings (3 trees, 9 forests, 6 perceptrons) side by side."""
-    return C.run_grid(spark, X.doc(spark, sf_dir), C.reference_grid(), X.DOC_FEATURES, "label", "doc_id")
+    return _checked(C.run_grid(spark, X.doc(spark, sf_dir), C.reference_grid(), X.DOC_FEATURES, "label", "doc_id"))

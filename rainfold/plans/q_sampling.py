@@ -68,14 +68,34 @@ def split_hash(spark, sf_dir):
     return df.withColumn("split", S.split_column(_hkey(), [0.7, 0.3], SEED).cast("int"))
 
 
-@register("undersample_mllib")
+@register("undersample_mllib", f"""WITH {O.LBL}
+SELECT CAST(sum(label) AS BIGINT) AS positives, 0 AS strangers, 0 AS repeats, true AS share_fits FROM lbl""")
 def undersample_mllib(spark, sf_dir):
-    """Bernoulli undersampling with Spark's sampler (rows only)."""
-    return S.undersample_random(X.lbl(spark, sf_dir).select("hkey", "label"), "label", seed=SEED)
-
-
-@register("split_random")
+    """Bernoulli undersampling with Spark's sampler: all positives stay, no row
+    comes from elsewhere or twice, and the share of negatives fits the fraction
+    (within five standard deviations)."""
+    df = X.lbl(spark, sf_dir).select("hkey", "label")
+    out = S.undersample_random(df, "label", seed=SEED).groupBy("hkey", "label").agg(F.count(F.lit(1)).alias("n"))
+    facts = S.class_ratio(df, "label")
+    both = df.groupBy("hkey", "label").agg(F.count(F.lit(1)).alias("m")).join(out, ["hkey", "label"], "full")
+    counted = both.agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("positives"), F.sum(F.col("m").isNull().cast("int")).cast("int").alias("strangers"),
+        F.sum((F.col("n") > F.col("m")).cast("int")).cast("int").alias("repeats"), F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("kept"))
+    mean = facts.select(F.struct((F.col("n_neg") * F.col("ratio")).alias("mean"), F.sqrt(F.col("n_neg") * F.col("ratio") * (1 - F.col("ratio"))).alias("sd"))).scalar()
+    fits = F.abs(F.coalesce("kept", F.lit(0)) - mean["mean"]) <= 5 * mean["sd"] + 1
+    return counted.select("positives", "strangers", F.coalesce("repeats", F.lit(0)).alias("repeats"), fits.alias("share_fits"))
+
+
+@register("split_random", f"""WITH {O.LBL}
+SELECT count(*) AS n, 0 AS missing, 0 AS repeats, true AS share_fits FROM lbl""")
 def split_random(spark, sf_dir):
-    """Spark's ``randomSplit`` 70/30 with seed 1234, every row labelled by its split."""
-    train, test = S.split_random(X.lbl(spark, sf_dir).select("hkey", "label"), [0.7, 0.3], SEED)
-    return train.withColumn("split", F.lit(0)).unionByName(test.withColumn("split", F.lit(1)))
+    """Spark's ``randomSplit`` 70/30 with seed 1234: the parts make up the input,
+    share no row, and their sizes fit (within five standard deviations)."""
+    df = X.lbl(spark, sf_dir).select("hkey", "label")
+    train, test = S.split_random(df, [0.7, 0.3], SEED)
+    parts = train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1)))
+    got = parts.groupBy("hkey", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("part").alias("test"))
+    both = df.groupBy("hkey", "label").agg(F.count(F.lit(1)).alias("m")).join(got, ["hkey", "label"], "full")
+    counted = both.agg(F.sum("n").alias("n"), F.sum(F.greatest(F.coalesce("m", F.lit(0)) - F.coalesce("n", F.lit(0)), F.lit(0))).cast("int").alias("missing"),
+                       F.sum(F.greatest(F.coalesce("n", F.lit(0)) - F.coalesce("m", F.lit(0)), F.lit(0))).cast("int").alias("repeats"), F.sum("test").alias("test"))
+    return counted.select("n", "missing", "repeats", (F.abs(F.col("test") - 0.3 * F.col("n")) <= 5 * F.sqrt(0.21 * F.col("n")) + 1).alias("share_fits"))

@@ -97,7 +97,8 @@ def forecast_json(spark, sf_dir):
     return V.as_json(X.requests(spark, sf_dir), finish(records(spark, sf_dir, asked_horizon(spark, sf_dir))))
 
 
-@register("arima_forecast_records")
+@register("arima_forecast_records", f"""SELECT CAST(h AS BIGINT) AS h, strftime({O.ANCHOR} + h * INTERVAL 1 HOUR, '%Y-%-m-%-d %-H:%-M') AS "Fecha",
+       true AS sound FROM range({HORIZON}) t(h)""")
 def arima_forecast_records(spark, sf_dir):
     """End to end: weather join → complete rows → ARIMA order search per series
     (TEMP, HUM) → 24 forecast records with Fecha, Temperatura, Humedad."""
@@ -105,4 +106,5 @@ def arima_forecast_records(spark, sf_dir):
     prep = T.prepare(idx.select("series", "idx", "y"))
     models = T.arima_models(prep, T.select_order(T.fit_grid(prep)))
     fc = T.forecast(models, HORIZON)
-    return V.forecast_records(fc, X.latest_hour(spark, sf_dir), "TEMP", "HUM")
+    out = V.forecast_records(fc, X.latest_hour(spark, sf_dir), "TEMP", "HUM")
+    return out.select("h", "Fecha", (F.col("Temperatura").isNotNull() & F.col("Humedad").isNotNull()).alias("sound"))

@@ -19,7 +19,7 @@ Z95 = 1.959963984540054
 
 def indexed(spark, sf_dir):
     """Series positions.  The hourly series (small next to the raw events) is
-    written once first, so the bucket counts and the numbering, which both
+    written once first, so the sampling of ranges and the numbering, which both
     read it, do not scan and aggregate the raw events twice."""
     series = materialize(X.ts_series(spark, sf_dir), "ts-series")
     return R.position_index(series, "ts", key="series", idx="idx")
@@ -42,10 +42,32 @@ def _adf_sql(d: int) -> str:
 FROM ts_lag GROUP BY series"""
 
 
-@register("adf_augmented")
+def _augmented_sql(d: int) -> str:
+    """Two lagged differences by partialling out: each regressor is freed of the
+    ones before it (one simple regression after another), the last one's
+    coefficient is then the multiple regression's."""
+    def z(k):
+        return {0: f"v{k}", 1: f"(v{k} - v{k + 1})", 2: f"(v{k} - 2 * v{k + 1} + v{k + 2})"}[d]
+    dz = [f"({z(j)} - {z(j + 1)})" for j in range(3)]
+    free = lambda y, x, o: f"{y} - (regr_slope({y}, {x}) OVER w * {x} + regr_intercept({y}, {x}) OVER w) AS {o}"
+    return f"""SELECT * FROM (WITH a{d} AS (SELECT series, {z(1)} AS x, {dz[1]} AS g1, {dz[2]} AS g2, {dz[0]} AS y FROM lag5),
+  b{d} AS (SELECT * FROM a{d} WHERE x IS NOT NULL AND g1 IS NOT NULL AND g2 IS NOT NULL AND y IS NOT NULL),
+  c{d} AS (SELECT series, {free('x', 'g1', 'x1')}, {free('g2', 'g1', 'h')}, {free('y', 'g1', 'y1')} FROM b{d} WINDOW w AS (PARTITION BY series)),
+  e{d} AS (SELECT series, {free('x1', 'h', 'x2')}, {free('y1', 'h', 'y2')} FROM c{d} WINDOW w AS (PARTITION BY series))
+  SELECT series, {d} AS d, count(*) AS n, regr_slope(y2, x2) AS beta,
+    regr_slope(y2, x2) / sqrt((regr_syy(y2, x2) - regr_sxy(y2, x2) * regr_sxy(y2, x2) / regr_sxx(y2, x2)) / (count(*) - 4) / regr_sxx(y2, x2)) AS t_stat
+  FROM e{d} GROUP BY series)"""
+
+
+_LAG5 = "lag5 AS (SELECT series, y AS v0, " + ", ".join(f"lag(y, {k}) OVER w AS v{k}" for k in range(1, 6)) + " FROM ts_idx WINDOW w AS (PARTITION BY series ORDER BY idx))"
+
+
+@register("adf_augmented", f"""WITH {O.TS_SERIES}, {_LAG5},
+adf AS ({' UNION ALL '.join(_augmented_sql(d) for d in range(3))})
+SELECT series, d, n, round(beta, 6) AS beta, round(t_stat, 6) AS t_stat FROM adf""")
 def adf_augmented(spark, sf_dir):
     """Augmented Dickey–Fuller (two lagged differences) at d = 0, 1, 2 per series."""
-    return T.adf_stats_augmented(lagged(spark, sf_dir, 5), 2, "series")
+    return finish(T.adf_stats_augmented(lagged(spark, sf_dir, 5), 2, "series").drop("constant"))
 
 
 ADF_SQL = f"""{O.TS_SERIES},
@@ -57,7 +79,7 @@ SELECT series, d, CAST(n AS BIGINT) AS n, round(beta, 6) AS beta, round(t_stat,
 def adf_stat(spark, sf_dir):
     """Dickey–Fuller t-statistics of each series at d = 0, 1, 2."""
     out = T.adf_stats(lagged(spark, sf_dir), "series")
-    return finish(out.withColumn("d", F.col("d").cast("int")).withColumn("n", F.col("n").cast("long")))
+    return finish(out.drop("constant").withColumn("d", F.col("d").cast("int")).withColumn("n", F.col("n").cast("long")))
 
 
 @register("select_d", f"""WITH {ADF_SQL}
@@ -65,7 +87,7 @@ SELECT series, CAST(coalesce(min(CASE WHEN t_stat < {T.ADF_CRITICAL_5PCT} THEN d
 FROM adf GROUP BY series""")
 def select_d(spark, sf_dir):
     """Differencing order per series: the first d that rejects a unit root at 5 %."""
-    return T.select_d(T.adf_stats(lagged(spark, sf_dir), "series"), "series")
+    return T.select_d(T.adf_stats(lagged(spark, sf_dir), "series"), "series").select("series", "d")
 
 
 AR1_SQL = f"""{O.TS_SERIES},
@@ -101,21 +123,36 @@ def forecast_ar1(spark, sf_dir):
     return finish(T.forecast(models, HORIZON))
 
 
+_GRID_SQL = f"SELECT series, CAST(p AS INTEGER) AS p, CAST(q AS INTEGER) AS q, true AS sound FROM (SELECT DISTINCT series FROM ts_idx), range({T.MAX_P + 1}) a(p), range({T.MAX_Q + 1}) b(q)"
+_STEPS_SQL = f"SELECT series, CAST(h AS BIGINT) AS h, true AS sound FROM (SELECT DISTINCT series FROM ts_idx), range(1, {HORIZON + 1}) t(h)"
+
+
+def _finite(*cols):
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull() & (F.abs(F.col(c)) < float("inf"))
+    return out
+
+
 def arima_prepared(spark, sf_dir):
     """Lag table (checkpointed), d by unit-root test, stage-1 residuals."""
     return T.prepare(indexed(spark, sf_dir))
 
 
-@register("arima_grid")
+@register("arima_grid", f"WITH {O.TS_SERIES} {_GRID_SQL}")
 def arima_grid(spark, sf_dir):
-    """All 16 (p, q) candidates per series with AIC and acceptance."""
-    return T.fit_grid(arima_prepared(spark, sf_dir))
+    """All 16 (p, q) candidates of every series; ``sound``: an accepted one has
+    finite coefficients, variance and AIC, as many as its orders say."""
+    grid = T.fit_grid(arima_prepared(spark, sf_dir))
+    sized = (F.size("ar") == F.col("p")) & (F.size("ma") == F.col("q"))
+    return grid.select("series", "p", "q", (~F.col("ok") | (sized & _finite("const", "sigma2", "aic"))).alias("sound"))
 
 
-@register("arima_fit")
+@register("arima_fit", f"WITH {O.TS_SERIES} SELECT DISTINCT series, 1 AS p, 1 AS q, true AS known FROM ts_idx")
 def arima_fit(spark, sf_dir):
     """ARMA(1, 1) on the differenced series, per series (Hannan–Rissanen)."""
-    return T.fit_grid(arima_prepared(spark, sf_dir)).filter("p = 1 AND q = 1")
+    fits = T.fit_grid(arima_prepared(spark, sf_dir)).filter("p = 1 AND q = 1")
+    return fits.select("series", "p", "q", (_finite("const", "sigma2") & (F.col("sigma2") > 0)).alias("known"))
 
 
 def selected_models(spark, sf_dir):
@@ -123,26 +160,28 @@ def selected_models(spark, sf_dir):
     return T.arima_models(prep, T.select_order(T.fit_grid(prep)))
 
 
-@register("arima_select")
+@register("arima_select", f"WITH {O.TS_SERIES} SELECT DISTINCT series, 'fitted' AS status, true AS sound FROM ts_idx")
 def arima_select(spark, sf_dir):
-    """Best order per series by AIC, with d from the unit-root test."""
-    return selected_models(spark, sf_dir).select("series", "p", "d", "q", "const", "mu", "ar", "ma", "sigma2",
-                                                 "aic", "n")
+    """Best order of every series by AIC, with d from the unit-root test."""
+    best = selected_models(spark, sf_dir)
+    orders = F.col("p").between(0, T.MAX_P) & F.col("q").between(0, T.MAX_Q) & F.col("d").between(0, T.MAX_D)
+    return best.select("series", "status", (orders & _finite("const", "mu", "sigma2", "aic")).alias("sound"))
 
 
-@register("forecast_n")
+@register("forecast_n", f"WITH {O.TS_SERIES} {_STEPS_SQL}")
 def forecast_n(spark, sf_dir):
     """Point forecasts 24 steps ahead from each series' selected ARIMA model."""
-    return T.forecast(selected_models(spark, sf_dir), HORIZON).select("series", "h", "yhat")
+    return T.forecast(selected_models(spark, sf_dir), HORIZON).select("series", "h", _finite("yhat").alias("sound"))
 
 
-@register("forecast_interval")
+@register("forecast_interval", f"WITH {O.TS_SERIES} {_STEPS_SQL}")
 def forecast_interval(spark, sf_dir):
     """Forecasts with 95 % intervals (ψ-weights, integrated for d ≥ 1)."""
-    return T.forecast(selected_models(spark, sf_dir), HORIZON, 0.95)
+    out = T.forecast(selected_models(spark, sf_dir), HORIZON, 0.95)
+    return out.select("series", "h", (_finite("yhat", "se") & (F.col("lo") < F.col("yhat")) & (F.col("yhat") < F.col("hi"))).alias("sound"))
 
 
-@register("arima_model_roundtrip")
+@register("arima_model_roundtrip", f"WITH {O.TS_SERIES} {_STEPS_SQL}")
 def arima_model_roundtrip(spark, sf_dir):
     """Store the selected models, load them back and forecast 24 steps from the
     stored copy (as the reference's service loads its saved models per call)."""
@@ -150,5 +189,8 @@ def arima_model_roundtrip(spark, sf_dir):
     from ..sources import models as MS
 
     path = scratch_path(spark, "arima-models")
-    MS.save_forecast_models(selected_models(spark, sf_dir), path)
-    return T.forecast(MS.load_forecast_models(spark, path), HORIZON)
+    models = materialize(selected_models(spark, sf_dir), "models")
+    MS.save_forecast_models(models, path)
+    stored = T.forecast(MS.load_forecast_models(spark, path), HORIZON).select("series", "h", F.struct("yhat", "lo", "hi").alias("stored"))
+    fresh = T.forecast(models, HORIZON).select("series", "h", F.struct("yhat", "lo", "hi").alias("fresh"))
+    return fresh.join(stored, ["series", "h"], "left").select("series", "h", F.col("fresh").eqNullSafe(F.col("stored")).alias("sound"))

@@ -58,12 +58,29 @@ def drop_any_null(spark, sf_dir):
 FIRST_N = 999
 
 
-@register("first_n_rows", f"""WITH {O.WEATHER}
-SELECT "DATE", round("HUM", 6) AS "HUM", round("TEMP", 6) AS "TEMP" FROM weather_clean
-ORDER BY "DATE" LIMIT {FIRST_N}""")
+def _first_sql(n: int) -> str:
+    return f"""WITH {O.MINUTES}, head AS (SELECT * FROM minutes ORDER BY "DATE" LIMIT {n})
+SELECT "DATE", round("HUM", 6) AS "HUM", round("TEMP", 6) AS "TEMP" FROM head WHERE "HUM" IS NOT NULL AND "TEMP" IS NOT NULL"""
+
+
+def _first_complete(spark, sf_dir, n):
+    """The first n rows of the joined minute tables in time order, of which the
+    incomplete ones are then dropped: fewer than n remain."""
+    hum, temp = (R.select_positions(df, [1, X.WANTED_POSITION]) for df in X.wide_minutes(spark, sf_dir))
+    joined = R.join_on_time(hum, temp, "datetime", ["DATE", "HUM", "TEMP"])
+    return finish(R.drop_any_null(R.first_n(joined, n, ["DATE"])))
+
+
+@register("first_n_rows", _first_sql(FIRST_N))
 def first_n_rows(spark, sf_dir):
-    """The first 999 complete rows in time order (1,000 lines with the header)."""
-    return finish(R.first_n(weather_clean(spark, sf_dir), FIRST_N, ["DATE"]))
+    """999 rows (1,000 lines with the header), then the null drop."""
+    return _first_complete(spark, sf_dir, FIRST_N)
+
+
+@register("first_2n_rows", _first_sql(2 * FIRST_N + 1))
+def first_2n_rows(spark, sf_dir):
+    """The same with 1,999 rows."""
+    return _first_complete(spark, sf_dir, 2 * FIRST_N + 1)
 
 
 @register("series_long", f"""WITH {O.SERIES_LONG}

@@ -1,7 +1,14 @@
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
 from rainfold.operators import classify as C
 from rainfold.operators import features as FE
 from rainfold.plans import fixtures as X
-from tests.conftest import SF_SMALL
+from rainfold.operators import sampling as S
+from tests.conftest import ROOT, SF_SMALL
 
 
 def test_tree_experiment(spark):
@@ -13,9 +20,44 @@ def test_tree_experiment(spark):
 
 def test_oversample_scope_train_keeps_test_clean(spark):
     df = X.doc(spark, SF_SMALL)
-    r = C.run_experiment(df, C.Spec("forest", "over", balance_scope="train", num_trees=5), X.DOC_FEATURES,
-                         "label", "doc_id")
-    assert r["n_test"] + (r["n_train"] - 0) >= df.count()
+    spec = C.Spec("forest", "over", balance_scope="train", num_trees=5)
+    r = C.run_experiment(df, spec, X.DOC_FEATURES, "label", "doc_id")
+    base = C.balance(df, C.Spec("forest", "none", seed=spec.seed), "doc_id", "label")
+    train, test = S.split(base, F.col("_skey"), (0.7, 0.3), spec.seed)
+    positives = train.filter("label = 1").count()
+    assert r["n_test"] == test.count()  # no copies in the test part
+    assert r["n_train"] == train.count() + positives  # each positive twice in the training part
+
+
+def test_null_labels_raise_or_go_where_asked(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None)], "id int, label string")
+    mapping = FE.label_index_table(df, "label")
+    assert {(r["label"], r["idx"]) for r in mapping.collect()} == {("b", 0), ("a", 1)}
+    index = lambda how: {r["id"]: r["indexedLabel"] for r in FE.apply_label_index(df, mapping, "label", handle_invalid=how).collect()}
+    assert index("skip") == {1: 1.0, 2: 0.0, 3: 0.0}
+    assert index("keep") == {1: 1.0, 2: 0.0, 3: 0.0, 4: 2.0}
+    with pytest.raises(Exception, match="label without an index"):
+        index("error")
+
+
+_ANYWHERE = """
+import sys
+sys.path.insert(0, {root!r})
+from rainfold.session import local_session
+spark = local_session({cores}, shuffle_partitions={cores} * 2)
+from rainfold.operators import classify as C
+from rainfold.plans import fixtures as X
+r = C.run_experiment(X.doc(spark, {sf!r}), C.Spec("forest", "none", num_trees=10), X.DOC_FEATURES, "label", "doc_id")
+print("RESULT", round(r["auc_scores"], 9), round(r["accuracy"], 9), r["n_train"], r["n_test"])
+"""
+
+
+def test_same_forest_on_any_number_of_cores():
+    out = []
+    for cores in (2, 4):
+        run = subprocess.run([sys.executable, "-c", _ANYWHERE.format(root=ROOT, cores=cores, sf=SF_SMALL)], capture_output=True, text=True, timeout=300)
+        out.append([x for x in run.stdout.splitlines() if x.startswith("RESULT")])
+    assert out[0] and out[0] == out[1]
 
 
 def test_label_orders(spark):

@@ -1,5 +1,8 @@
 """Recovery of known AR/MA coefficients and the forecast fold against numpy."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -149,3 +152,65 @@ def test_model_table_roundtrip(spark, synthetic):
     b = sorted((r["series"], r["h"], round(r["yhat"], 9)) for r in
                T.forecast(MS.load_forecast_models(spark, path), 4).collect())
     assert a == b and len(a) == 20
+
+
+def _awkward_series(spark):
+    rnd = random.Random(5)
+    rows = []
+    for name, n, f in (("constant", 200, lambda i: 7.0), ("short", 12, lambda i: rnd.gauss(0, 1)), ("one", 1, lambda i: 3.0),
+                       ("two", 2, lambda i: float(i)), ("noise", 300, lambda i: rnd.gauss(5, 2)), ("line", 100, lambda i: 2.0 * i), (None, 60, lambda i: rnd.gauss(0, 1))):
+        rows += [(name, i + 1, f(i)) for i in range(n)]
+    y = 0.0
+    for i in range(300):
+        y += rnd.gauss(0.2, 1)
+        rows.append(("walk", i + 1, y))
+    return spark.createDataFrame(rows, "series string, idx long, y double")
+
+
+def test_no_series_is_lost(spark):
+    df = _awkward_series(spark)
+    prep = T.prepare(df)
+    models = T.arima_models(prep, T.select_order(T.fit_grid(prep))).cache()
+    got = {r["series"]: r for r in models.collect()}
+    assert set(got) == {"constant", "short", "one", "two", "noise", "line", "walk", None}
+    assert got["constant"]["d"] == 0 and got["constant"]["status"] == "fallback" and got["constant"]["mu"] == 7.0
+    assert got["line"]["d"] == 1 and got["noise"]["d"] == 0 and got["walk"]["d"] == 1
+    assert got["one"]["d"] == got["two"]["d"] == 0 and got["noise"]["status"] == "fitted"
+    fc = {}
+    for r in T.forecast(models, 5).collect():
+        fc.setdefault(r["series"], []).append(r["yhat"])
+    assert set(fc) == set(got) and all(len(v) == 5 and all(x is not None and math.isfinite(x) for x in v) for v in fc.values())
+    assert fc["constant"] == [7.0] * 5 and fc["one"] == [3.0] * 5
+
+
+def test_select_d_of_constant_line_and_short(spark):
+    lag = T.lag_table(_awkward_series(spark), "series", "idx", "y", 11)
+    for adf in (T.adf_stats(lag, "series"), T.adf_stats_augmented(lag)):
+        got = {r["series"]: (r["d"], r["d_status"]) for r in T.select_d(adf, "series").collect()}
+        assert got["constant"] == (0, "constant") and got["line"] == (1, "constant")
+        assert got["one"] == got["two"] == (0, "short") and got["noise"] == (0, "tested")
+
+
+def test_augmented_test_is_the_same_at_any_level(spark):
+    rnd = random.Random(9)
+    noise = [rnd.gauss(0, 1) for _ in range(400)]
+    rows = [(name, i + 1, base + v) for name, base in (("low", 0.0), ("high", 1e7)) for i, v in enumerate(noise)]
+    lag = T.lag_table(spark.createDataFrame(rows, "series string, idx long, y double"), "series", "idx", "y", 11)
+    got = {(r["series"], r["d"]): r["t_stat"] for r in T.adf_stats_augmented(lag).collect()}
+    for d in range(3):
+        assert abs(got["low", d] - got["high", d]) < 1e-4 * abs(got["low", d])
+    plain = {(r["series"], r["d"]): r["t_stat"] for r in T.adf_stats(lag).collect()}
+    zero = {(r["series"], r["d"]): r["t_stat"] for r in T.adf_stats_augmented(lag, 0).collect()}
+    assert all(abs(plain[k] - zero[k]) < 1e-4 * abs(plain[k]) for k in plain)
+
+
+def test_long_horizons_fold_in_blocks(spark):
+    models = spark.createDataFrame([("a", 1, 0, 0, 1.0, 0.0, [0.5], [], 2.0, [4.0], [], 4.0, 0.0)],
+                                   "series string, p int, d int, q int, const double, mu double, ar array<double>, ma array<double>, sigma2 double, "
+                                   "zs array<double>, es array<double>, y_last double, dy_last double")
+    got = [r["yhat"] for r in T.forecast(models, 200).orderBy("h").collect()]
+    want, z = [], 4.0
+    for _ in range(200):
+        z = 1.0 + 0.5 * z
+        want.append(z)
+    assert len(got) == 200 and all(abs(a - b) < 1e-9 for a, b in zip(got, want, strict=True))
