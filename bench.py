@@ -23,7 +23,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [a for a in sys.argv[1:]]
 
-    from rainfold.session import local_session
+    from rainfold.session import local_session, scratch_scope
 
     spark = local_session(cpus, shuffle_partitions=max(8, int(cpus) * 2) if cpus.isdigit() else 16, app="bench")
 
@@ -32,8 +32,9 @@ def main() -> None:
     from rainfold.plans.catalog import QUERIES
 
     def run_lazy(name):
-        df = QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        with scratch_scope(spark):
+            df = QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
 
     price = {}
 

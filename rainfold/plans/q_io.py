@@ -68,11 +68,12 @@ def zip_csv_source(spark, sf_dir):
 @register("table_replace_load", f"""WITH {O.WEATHER}
 SELECT "DATE", round("HUM", 6) AS "HUM", round("TEMP", 6) AS "TEMP" FROM weather""")
 def table_replace_load(spark, sf_dir):
-    """Load the joined table twice with replace semantics: no duplicate rows."""
-    path = scratch_path(spark, "table")
-    df = weather(spark, sf_dir)
-    csvfiles.replace_table(df, path)
-    csvfiles.replace_table(df, path)
+    """Headed CSV files → typed table, columns by the header's names, loaded
+    twice with replace semantics: no duplicate rows."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "table")
+    csvfiles.write_csv(weather(spark, sf_dir), landing)
+    for _ in range(2):
+        csvfiles.load_table(spark, landing, path, "DATE timestamp_ntz, HUM double, TEMP double")
     return finish(csvfiles.read_table(spark, path))
 
 

@@ -6,7 +6,11 @@ helpers exist for tests, ``bench.py`` and the driver entry point.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,12 +31,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # Local sessions keep scratch tables in a folder that goes with the process.
+        .config("spark.checkpoint.dir", _local_scratch())
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+@functools.cache
+def _local_scratch() -> str:
+    """A scratch folder of this process, removed when it ends."""
+    path = tempfile.mkdtemp(prefix="rainfold-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -47,7 +61,7 @@ def checkpoint_base(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="rainfold-ckpt-")
+        base = _local_scratch()
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
@@ -56,7 +70,32 @@ def checkpoint_base(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused location below the shared checkpoint folder."""
-    return f"{checkpoint_base(spark)}/rainfold-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_base(spark)}/rainfold-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES and name != "pyfiles":
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes the scratch paths that were made inside, when it ends.
+
+    For use around a query and the action that consumes it: a result that is
+    read later must not be removed earlier.
+    """
+    mine: list[str] = []
+    _SCOPES.append(mine)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(mine)
+        jvm = spark.sparkContext._jvm
+        for path in mine:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def local_path(uri: str) -> str:

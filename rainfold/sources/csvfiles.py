@@ -28,6 +28,19 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def load_table(spark: SparkSession, csv_path: str, path: str, types: StructType | str | None = None, fmt: str = "parquet") -> None:
+    """Replace-load from headed CSV: the header names the columns, ``types`` gives
+    their types by name (columns it doesn't name stay text; None infers all)."""
+    if types is None:
+        rows = read_csv(spark, csv_path)
+    else:
+        wanted = types if isinstance(types, StructType) else StructType.fromDDL(types)
+        kinds = {f.name: f.dataType for f in wanted}
+        rows = spark.read.option("header", True).csv(csv_path)
+        rows = rows.select(*[rows[f"`{c}`"].cast(kinds[c]).alias(c) if c in kinds else rows[f"`{c}`"] for c in rows.columns])
+    replace_table(rows, path, fmt)
+
+
 def read_table(spark: SparkSession, path: str, fields: Sequence[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a stored table, optionally a field list (pruned at the scan)."""
     df = spark.read.format(fmt).load(path)

@@ -81,3 +81,13 @@ def test_blank_lines_are_skipped_and_malformed_ones_named(spark):
     assert read("null").count() == 3
     with pytest.raises(Exception, match="malformed line"):
         read("raise").collect()
+
+
+def test_load_from_headed_csv_goes_by_names(spark):
+    landing, path = scratch_path(spark, "t-landing"), scratch_path(spark, "t-loaded")
+    csvfiles.write_csv(spark.createDataFrame([(1, "x", 2.5), (2, None, None)], "b int, a string, c double"), landing)
+    for _ in range(2):
+        csvfiles.load_table(spark, landing, path, "c double, b long")
+    got = csvfiles.read_table(spark, path)
+    assert dict(got.dtypes) == {"b": "bigint", "a": "string", "c": "double"}
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "x", 2.5), (2, None, None)]
