@@ -245,7 +245,7 @@ class Tree:
         table = np.concatenate(self.prob)
         table[:, -1] /= max(self.unseen, 1)
         self.prob = np.log10(np.maximum(table, 1e-30))
-        self.codes = None
+        self.codes, self.child = None, self.child[:len(self.row) - 1]
         return self
 
     def score(self, text: np.ndarray) -> np.ndarray:
