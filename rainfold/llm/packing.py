@@ -32,8 +32,10 @@ PART = 1024
 END_ID = 2
 #: Windows in a group, about; bounds a group's rows whatever the input's size.
 GROUP_WINDOWS = 128
-#: Words whose ids a Python worker remembers at a time.
-CACHE_WORDS = 600_000
+#: Words, and runs, whose ids a Python worker remembers at a time.
+CACHE_WORDS, CACHE_RUNS = 500_000, 400_000
+#: Text that a worker splits into words at a time.
+SPLIT_BYTES = 2 << 20
 
 PIECES = "doc_id {key}, piece long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -104,7 +106,7 @@ class Encoder:
         split = [t.split() for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        if len(self.runs) > CACHE_WORDS:
+        if len(self.runs) > CACHE_RUNS:
             self.runs.clear()
         known = self.words
         self.learn([w for w in set().union(*split) if w not in known])
@@ -137,7 +139,7 @@ def tokenize(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
             _ENCODERS[tokenizer] = Encoder(tokenizer)
         encoder = _ENCODERS[tokenizer]
         number = TaskContext.get().partitionId() << 40
-        for rows in texts(batches):
+        for rows in texts(batches, SPLIT_BYTES):
             out = []
             for (k, _), ids in zip(rows, encoder.encode([t for _, t in rows]), strict=True):
                 ids += end
