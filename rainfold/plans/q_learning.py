@@ -171,6 +171,11 @@ TREE, FOREST = C.Spec("tree", "none"), C.Spec("forest", "under", num_trees=10)
 MLP = C.Spec("mlp", "over", layers=(6, 10, 2))
 
 
+def forest_metrics(spark, sf_dir):
+    """One row with all metrics of the undersampled forest."""
+    return _one(spark, sf_dir, FOREST)
+
+
 @register("train_tree", _results_sql([TREE]))
 def train_tree(spark, sf_dir):
     """Decision tree with default parameters on the unbalanced documents."""
