@@ -110,14 +110,13 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
     measured = materialize(shares(measure(rows)).drop("text"), "measures")
     by_group, by_lang, overall = fences(measured, ["lang", "source"], "g"), fences(measured, ["lang"], "l"), fences(measured, [], "a")
-    limits = (
-        by_group.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(overall), F.lit(True))  # one row
-    )
+    limits = by_group.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")))
+    limits = limits.withColumn("_all", overall.select(F.struct(*overall.columns).alias("all")).scalar())
     chosen = [F.col("g_lang"), F.col("g_source")]
     beyond = []
     for m, (_, low) in MEASURES.items():
         for side in ("high", "low") if low is not None else ("high",):
-            limit = F.when(F.col("g_n") >= GROUP_ROWS, F.col(f"g_{m}_{side}")).when(F.col("l_n") >= GROUP_ROWS, F.col(f"l_{m}_{side}")).otherwise(F.col(f"a_{m}_{side}"))
+            limit = F.when(F.col("g_n") >= GROUP_ROWS, F.col(f"g_{m}_{side}")).when(F.col("l_n") >= GROUP_ROWS, F.col(f"l_{m}_{side}")).otherwise(F.col("_all")[f"a_{m}_{side}"])
             chosen.append(limit.alias(f"{m}_{side}"))
             past = F.col(m) > F.col(f"{m}_{side}") if side == "high" else F.col(m) < F.col(f"{m}_{side}")
             beyond.append(F.when(past, F.lit(f"{m}_{side}")))
