@@ -199,10 +199,17 @@ class Tree:
         self.codes.append(codes)
         self.parent = parent
 
-    def learn(self, state: np.ndarray, nxt: np.ndarray, n: np.ndarray) -> None:
+    def walker(self) -> Tree:
+        """A tree that only knows the states, for counting."""
+        slim = object.__new__(Tree)
+        slim.symbol, slim.width, slim.end, slim.child = self.symbol, self.width, self.end, self.child
+        slim.sizes = [len(c) for c in self.codes]
+        return slim
+
+    def learn(self, state: np.ndarray, nxt: np.ndarray, n: np.ndarray, last: bool) -> None:
         """The distributions of the level opened last, from the counts ``n`` of
         byte ``nxt`` after context number ``state`` (sorted by state), and the
-        next level: a frequent context and byte are a context as well."""
+        next level, if there is one: a frequent context and byte are a context as well."""
         probs, codes = np.concatenate(self.prob), self.codes[-1]
         row, new = self.row[-1][self.parent], []
         at = sum(map(len, self.prob))
@@ -222,6 +229,8 @@ class Tree:
             at += len(kept)
         self.prob += new
         self.row.append(row)
+        if last:
+            return
         often = (n >= self.smallest) & (nxt != END)
         self.open((codes[state[often]] << 8) | nxt[often])
 
@@ -244,8 +253,9 @@ class Tree:
         """One table of log10 probabilities."""
         table = np.concatenate(self.prob)
         table[:, -1] /= max(self.unseen, 1)
-        self.prob = np.log10(np.maximum(table, 1e-30))
-        self.codes, self.child = None, self.child[:len(self.row) - 1]
+        np.maximum(table, 1e-30, out=table)
+        self.prob = np.log10(table, out=table)
+        self.codes, self.parent, self.child = None, None, self.child[:len(self.row) - 1]
         return self
 
     def score(self, text: np.ndarray) -> np.ndarray:
@@ -265,7 +275,7 @@ def count_level(table: DataFrame, tree, level: int) -> DataFrame:
         import pyarrow as pa
 
         t = tree.value
-        sums = np.zeros(len(t.codes[level]) * 256, np.int64)
+        sums = np.zeros(t.sizes[level] * 256, np.int64)
         for b in batches:
             for train, packet in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 learnt = list(itertools.compress(opened(packet.as_py()), train))
@@ -285,8 +295,13 @@ def count_level(table: DataFrame, tree, level: int) -> DataFrame:
 
 def collected(counts: DataFrame) -> np.ndarray:
     """Rows (context, nxt, n), sorted, of at most 1 / P_MIN contexts."""
-    found = counts.toPandas().to_numpy(np.int64)
-    return found[np.lexsort((found[:, 1], found[:, 0]))]
+    import pyarrow as pa
+
+    table = counts.select("context", "nxt", "n").toArrow()
+    found = np.stack([c.to_numpy() for c in table.columns], 1)
+    del table
+    pa.default_memory_pool().release_unused()
+    return found[np.argsort(found[:, 0] << 8 | found[:, 1])]
 
 
 def learn(table: DataFrame, strings: DataFrame, depth: int = DEPTH) -> Tree:
@@ -308,11 +323,12 @@ def learn(table: DataFrame, strings: DataFrame, depth: int = DEPTH) -> Tree:
             rows = collected(some.join(often, "context", "left_semi"))
             state = np.searchsorted(tree.codes[-1], rows[:, 0])
         else:
-            sent = spark.sparkContext.broadcast(tree)
+            sent = spark.sparkContext.broadcast(tree.walker())
             rows = collected(count_level(table, sent, level).groupBy("context", "nxt").agg(F.sum("n").alias("n")))
             state = rows[:, 0]
-            sent.unpersist()
-        tree.learn(state, rows[:, 1], rows[:, 2])
+            sent.destroy()
+        tree.learn(state, rows[:, 1], rows[:, 2], level == depth)
+        del rows, state
     return tree.finish()
 
 
