@@ -33,7 +33,7 @@ END_ID = 2
 #: Windows in a group, about; bounds a group's rows whatever the input's size.
 GROUP_WINDOWS = 128
 #: Words, and runs, whose ids a Python worker remembers at a time.
-CACHE_WORDS, CACHE_RUNS = 500_000, 400_000
+CACHE_WORDS, CACHE_RUNS = 600_000, 600_000
 #: Text that a worker splits into words at a time.
 SPLIT_BYTES = 2 << 20
 
