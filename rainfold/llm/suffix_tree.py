@@ -2,20 +2,20 @@
 
 A text is its tokens (A-Z lower-cased words between ASCII white space), each
 followed by a space, then one end mark.  The tree holds contexts of up to
-``DEPTH`` bytes: those whose share of the training bytes is at least ``P_MIN``
-and whose next-byte distribution diverges from their longest suffix's by
-``GAIN`` nats over all their occurrences.  A retained context's distribution is
-smoothed with its suffix's (Witten-Bell); every byte is scored by the longest
-retained suffix of what stands before it.  A tree has at most 1 / P_MIN
-contexts a level, whatever the corpus: that bounds what is sent to the driver
-and broadcast.  Counts are over all training texts: the first pass counts short
-strings, the later ones a level each, whose frequent contexts the level before
-has already counted (as a context and its next byte).
+``DEPTH`` bytes: those that occur ``FLOOR`` times, whatever the corpus, and whose
+next-byte distribution diverges from their longest suffix's by ``GAIN`` nats
+over all their occurrences.  A retained context's distribution is smoothed with
+its suffix's (Witten-Bell); every byte is scored by the longest retained suffix
+of what stands before it.  The tree grows with the corpus and is never in one
+place: all strings of a context and its next byte are a Spark table with their
+training counts (0 for those that only other texts have), dealt by the
+context's last bytes, where each task walks its strings through the levels.
+What a string's byte scores comes back by a join, block by block.
 
 ``base_score`` needs the training count of every token.  The corpus is written
 once, compressed, in blocks of at most about ``BLOCK_BYTES``; each block asks for its
 distinct tokens' counts, the counts meet at the tokens, and each block gets its
-own small dictionary back.  No task needs the whole vocabulary.
+own small dictionary back.  No task needs the whole vocabulary, or the whole tree.
 
 Edge cases: a null or empty text is the end mark alone; null ids train;
 without training texts every byte has probability 1 / 256; repeated rows count as
@@ -28,6 +28,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -37,15 +38,21 @@ from pyspark.sql import Window
 from .common import materialize, ship_package, slices, utf8
 
 DEPTH = 6
-#: Levels counted in the first pass, from strings of one byte more.
-SHALLOW = 4
-P_MIN = 3e-6
+#: Levels walked with the strings dealt by their last byte; the deeper ones have them by their last SHALLOW.
+SHALLOW = 3
+#: Occurrences of a context, at any corpus size.
+FLOOR = 2
+#: The share of the training bytes that a context must make up: none.
+P_MIN = 0.0
 GAIN = 20.0
 DISCOUNT = 3.0
 BLOCK_BYTES = 16 << 20
 #: Bytes of lines in a packet: what is compressed, and scored, at a time.
 PACKET_BYTES = 1 << 20
+#: Rows that a task takes at a time, at least; a group of strings stays together.
+ROWS = 1 << 18
 END = 10  # the end mark; no token has it
+BODY = (1 << 56) - 1
 
 
 def line(text: bytes) -> bytes:
@@ -95,19 +102,19 @@ def stream(lines: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"\n".join([b"", *lines, b""]), np.uint8)
 
 
-def short_strings(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (SHALLOW context bytes, next byte) as numbers, with counts;
-    bytes before a text's end mark are 0."""
+def strings(text: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """For each byte after the first: how many bytes of context it has, up to
+    ``depth``, those bytes, the nearest one highest, and itself, as a number."""
     n = len(text) - 1
-    code = text[1:].astype(np.uint64)
-    inside = np.ones(n, bool)
-    for k in range(SHALLOW):  # the byte k + 1 places before the next one
-        byte = np.zeros(n, np.uint64)
-        byte[k:] = text[:max(n - k, 0)]
-        byte[~inside] = 0
-        code |= byte << np.uint64(8 * (k + 1))
+    code = text[1:].astype(np.int64)
+    inside, size = np.ones(n, bool), np.zeros(n, np.int64)
+    for k in range(min(depth, n)):  # the byte k + 1 places before the next one
+        byte = np.zeros(n, np.int64)
+        byte[k:] = text[:n - k]
+        code |= np.where(inside, byte, 0) << (8 * (DEPTH - k))
+        size += inside
         inside &= byte != END
-    return np.unique(code, return_counts=True)
+    return code | size << 56
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,29 +127,19 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def count_tokens(table: DataFrame) -> DataFrame:
-    """(block, key, code, n): each block's distinct tokens with their training
-    counts (code null), and the training texts' short strings (key null)."""
+    """(block, key, n): each block's distinct tokens with their training counts."""
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["block", "key", "code", "n"]
-
         def tokens(block, words):
             for part in itertools.batched(words.items(), 50_000):
                 k = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * k, pa.int64()), pa.array([w for w, _ in part], pa.binary()), pa.nulls(k, pa.int64()), pa.array([n for _, n in part], pa.int64())], names=names)
-
-        def strings(found):
-            codes, n = merged(found)
-            for a in range(0, len(codes), 200_000):
-                part = codes[a:a + 200_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(n[a:a + 200_000].astype(np.int64))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([block] * k, pa.int64()), pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["block", "key", "n"])
 
-        now, words, found = None, Counter(), []
+        now, words = None, Counter()
         for b in batches:
-            for block, train, packet in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
+            for block, train, packet in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 if block != now:
                     yield from tokens(now, words)
                     now, words = block, Counter()
@@ -152,220 +149,209 @@ def count_tokens(table: DataFrame) -> DataFrame:
                 words[b"\n"] += len(learnt)
                 for w in set().union(*(x.split() for x, t in zip(lines, train, strict=True) if not t)):
                     words[w] += 0
-                if learnt:
-                    found.append(short_strings(stream(learnt)))
-                if len(found) >= 16:
-                    found = [merged(found)]
         yield from tokens(now, words)
-        if found:
-            yield from strings(found)
-
-    return table.mapInArrow(run, "block long, key binary, code long, n long")
-
-
-class Tree:
-    """Contexts level by level.
-
-    ``symbol`` maps bytes to columns (the last is for bytes never seen).  State
-    0 is the empty context.  ``child[k]`` has a row for each state of level k
-    and gives the state of level k + 1 for the byte before, or -1; ``codes[k]``
-    has the states' bytes, the last one lowest; ``row[k]`` names the row of
-    ``prob`` that holds the log10 distribution of a state's longest retained suffix.
-    """
-
-    def __init__(self, seen: np.ndarray, counts: np.ndarray):
-        total = counts.sum()
-        self.symbol = np.full(256, len(seen), np.int32)
-        self.symbol[seen] = np.arange(len(seen))
-        self.width, self.unseen = len(seen) + 1, 256 - len(seen)
-        self.smallest = max(2.0, P_MIN * total)
-        self.end = int(self.symbol[END])
-        root = np.zeros(self.width)
-        root[:len(seen)] = counts
-        root = (root + 0.5 * np.r_[np.ones(len(seen)), self.unseen]) / (total + 128)
-        self.prob, self.row = [root[None, :].astype(np.float32)], [np.zeros(1, np.int32)]
-        self.child, self.codes = [], [np.zeros(1, np.int64)]
-        self.open(seen[counts >= self.smallest].astype(np.int64))
-
-    def open(self, codes: np.ndarray) -> None:
-        """Add the states of the next level, whose distributions follow."""
-        k = len(self.codes)
-        codes = np.sort(codes)
-        suffix = codes & ((1 << 8 * (k - 1)) - 1)
-        parent = np.searchsorted(self.codes[-1], suffix)
-        child = np.full((len(self.codes[-1]), self.width), -1, np.int32)
-        child[parent, self.symbol[codes >> 8 * (k - 1)]] = np.arange(len(codes))
-        self.child.append(child)
-        self.codes.append(codes)
-        self.parent = parent
-
-    def walker(self) -> Tree:
-        """A tree that only knows the states, for counting."""
-        slim = object.__new__(Tree)
-        slim.symbol, slim.width, slim.end, slim.child = self.symbol, self.width, self.end, self.child
-        slim.sizes = [len(c) for c in self.codes]
-        return slim
-
-    def learn(self, state: np.ndarray, nxt: np.ndarray, n: np.ndarray, last: bool) -> None:
-        """The distributions of the level opened last, from the counts ``n`` of
-        byte ``nxt`` after context number ``state`` (sorted by state), and the
-        next level, if there is one: a frequent context and byte are a context as well."""
-        probs, codes = np.concatenate(self.prob), self.codes[-1]
-        row, new = self.row[-1][self.parent], []
-        at = sum(map(len, self.prob))
-        for a in range(0, len(codes), 4096):
-            b = min(a + 4096, len(codes))
-            part = slice(*np.searchsorted(state, [a, b]))
-            counts = np.zeros((b - a, self.width), np.float32)
-            counts[state[part] - a, self.symbol[nxt[part]]] = n[part]
-            suffix = probs[row[a:b]]
-            sums, room = counts.sum(1, keepdims=True), DISCOUNT * (counts > 0).sum(1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = np.where(counts > 0, counts * np.log(counts / sums / suffix), 0).sum(1)
-                smooth = (counts + room * suffix) / (sums + room)
-            kept = np.flatnonzero(gain >= GAIN)
-            new.append(smooth[kept])
-            row[a + kept] = at + np.arange(len(kept))
-            at += len(kept)
-        self.prob += new
-        self.row.append(row)
-        if last:
-            return
-        often = (n >= self.smallest) & (nxt != END)
-        self.open((codes[state[often]] << 8) | nxt[often])
-
-    def states(self, symbols: np.ndarray, depth: int):
-        """For each place but the last, its context's state at each level up to
-        ``depth``: yields (places, states), places falling away as contexts end
-        or aren't frequent."""
-        places, state = np.arange(len(symbols) - 1, dtype=np.int32), np.zeros(len(symbols) - 1, np.int32)
-        for k in range(depth):
-            before = places - k
-            if k:  # nothing stands before the text, and what its end mark follows is another text
-                ok = (before >= 0) & (symbols[before + 1] != self.end)
-                places, state, before = places[ok], state[ok], before[ok]
-            state = self.child[k].ravel()[state * np.int64(self.width) + symbols[before]]
-            ok = state >= 0
-            places, state = places[ok], state[ok]
-            yield places, state
-
-    def finish(self) -> Tree:
-        """One table of log10 probabilities."""
-        table = np.concatenate(self.prob)
-        table[:, -1] /= max(self.unseen, 1)
-        np.maximum(table, 1e-30, out=table)
-        self.prob = np.log10(table, out=table)
-        self.codes, self.parent, self.child = None, None, self.child[:len(self.row) - 1]
-        return self
-
-    def score(self, text: np.ndarray) -> np.ndarray:
-        """The log10 probability of each byte after the first."""
-        symbols = self.symbol[text]
-        best = np.zeros(len(text) - 1, np.int64)
-        for k, (places, state) in enumerate(self.states(symbols, len(self.row) - 1)):
-            best[places] = self.row[k + 1][state]
-        return self.prob.ravel()[best * self.width + symbols[1:]]
-
-
-def count_level(table: DataFrame, tree, level: int) -> DataFrame:
-    """(context, nxt, n): how often each byte follows the states of ``level``
-    in the training texts."""
+
+    return table.select("block", "train", "packet").mapInArrow(run, "block long, key binary, n long")
+
+
+def count_strings(table: DataFrame, depth: int, by_block: bool) -> DataFrame:
+    """(block, code, n): a task's distinct strings with their training counts,
+    or with ``by_block`` each block's."""
 
     def run(batches):
         import pyarrow as pa
 
-        t = tree.value
-        sums = np.zeros(t.sizes[level] * 256, np.int64)
+        def rows(block, found):
+            codes, n = merged(found) if found else (np.zeros(0, np.int64),) * 2
+            for a in range(0, len(codes), 200_000):
+                part = codes[a:a + 200_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block or 0)), pa.array(part), pa.array(n[a:a + 200_000])], names=["block", "code", "n"])
+
+        now, found = None, []
         for b in batches:
-            for train, packet in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                learnt = list(itertools.compress(opened(packet.as_py()), train))
-                if learnt:
-                    text = stream(learnt)
-                    for places, state in t.states(t.symbol[text], level):
-                        pass
-                    codes, n = np.unique(state * np.int64(256) + text[places + 1], return_counts=True)
-                    sums[codes] += n
-        found = np.flatnonzero(sums)
-        for a in range(0, len(found), 200_000):
-            part = found[a:a + 200_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part >> 8), pa.array(part & 255), pa.array(sums[part])], names=["context", "nxt", "n"])
-
-    return table.select("train", "packet").mapInArrow(run, "context long, nxt long, n long")
-
-
-def collected(counts: DataFrame) -> np.ndarray:
-    """Rows (context, nxt, n), sorted, of at most 1 / P_MIN contexts."""
-    import pyarrow as pa
-
-    table = counts.select("context", "nxt", "n").toArrow()
-    found = np.stack([c.to_numpy() for c in table.columns], 1)
-    del table
-    pa.default_memory_pool().release_unused()
-    return found[np.argsort(found[:, 0] << 8 | found[:, 1])]
-
-
-def learn(table: DataFrame, strings: DataFrame, depth: int = DEPTH) -> Tree:
-    """The suffix tree of the training lines; ``strings`` has the short ones
-    (code, n)."""
-    spark = table.sparkSession
-    single = strings.groupBy((F.col("code") % 256).alias("b")).agg(F.sum("n").alias("n")).orderBy("b").collect()
-    seen, counts = np.array([r["b"] for r in single], np.int64), np.array([r["n"] for r in single], float)
-    tree = Tree(seen, counts)
-    for level in range(1, depth + 1):
-        if not len(tree.codes[-1]):
+            for block, train, packet in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if by_block and block != now:
+                    yield from rows(now, found)
+                    now, found = block, []
+                lines = opened(packet.as_py())
+                for trained in (True, False):
+                    some = [x for x, t in zip(lines, train, strict=True) if t == trained]
+                    if some:
+                        codes, n = np.unique(strings(stream(some), depth), return_counts=True)
+                        found.append((codes, n.astype(np.int64) * trained))
+                if len(found) >= 16:
+                    found = [merged(found)]
+        yield from rows(now, found)
+
+    return table.select("block", "train", "packet").mapInArrow(run, "block long, code long, n long")
+
+
+def walk(code: np.ndarray, n: np.ndarray, p: np.ndarray, levels: range) -> np.ndarray:
+    """The strings' probabilities after ``levels``, from those of the level
+    before (``p``).  All strings whose contexts end alike, for as many bytes as
+    the first level has, must be there."""
+    p = p.copy()
+    for k in levels:
+        at = np.flatnonzero(code >> 56 >= k)
+        if not len(at):
             break
-        if level <= SHALLOW:
-            # A byte 0 this far back stands for what lies before the text.
-            whole = F.shiftright(F.col("code").bitwiseAND(F.lit((1 << 8 * (level + 1)) - 1)), 8)
-            some = strings.where(F.shiftright("code", 8 * level).bitwiseAND(F.lit(255)) != 0)
-            some = some.groupBy(whole.alias("context"), (F.col("code") % 256).alias("nxt")).agg(F.sum("n").alias("n"))
-            often = some.groupBy("context").agg(F.sum("n").alias("n")).where(F.col("n") >= tree.smallest).select("context")
-            rows = collected(some.join(often, "context", "left_semi"))
-            state = np.searchsorted(tree.codes[-1], rows[:, 0])
-        else:
-            sent = spark.sparkContext.broadcast(tree.walker())
-            rows = collected(count_level(table, sent, level).groupBy("context", "nxt").agg(F.sum("n").alias("n")))
-            state = rows[:, 0]
-            sent.destroy()
-        tree.learn(state, rows[:, 1], rows[:, 2], level == depth)
-        del rows, state
-    return tree.finish()
+        body = code[at] & BODY
+        kinds, first, back = np.unique(body >> (8 * (DEPTH - k + 1)) << 8 | body & 255, return_index=True, return_inverse=True)
+        count, q = np.bincount(back, n[at]), p[at[first]]
+        starts = np.flatnonzero(np.r_[True, np.diff(kinds >> 8) != 0])
+        sizes = np.diff(np.r_[starts, len(kinds)])
+        seen = count > 0
+        total = np.add.reduceat(count, starts)
+        sums = np.repeat(np.maximum(total, 1), sizes)
+        room = DISCOUNT * np.repeat(np.add.reduceat(seen.astype(float), starts), sizes)
+        gain = np.add.reduceat(count * np.log(np.where(seen, count / sums / q, 1)), starts)
+        kept = np.repeat((total >= FLOOR) & (gain >= GAIN), sizes)
+        p[at] = np.where(kept, (count + room * q) / (sums + room), q)[back]
+    return p
+
+
+def together(batches, group) -> Iterator[list[np.ndarray]]:
+    """Columns of at least about ROWS rows, ``group`` of the first never cut."""
+    held, size, last = [], 0, None
+    for b in batches:
+        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        if not len(cols[0]):
+            continue
+        key = group(cols[0])
+        new = np.flatnonzero(np.r_[last is not None and key[0] != last, key[1:] != key[:-1]])
+        if size >= ROWS and len(new):
+            held.append([c[:new[-1]] for c in cols])
+            yield [np.concatenate(c) for c in zip(*held, strict=True)]
+            cols = [c[new[-1]:] for c in cols]
+            held, size = [], 0
+        held.append(cols)
+        size, last = size + len(cols[0]), key[-1]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def shallow(code):
+    """A string cut to SHALLOW bytes of context, as a number or a column."""
+    mask = BODY & ~((1 << 8 * (DEPTH - SHALLOW + 1)) - 1) | 255
+    if isinstance(code, np.ndarray):
+        return code & mask | np.minimum(code >> 56, SHALLOW) << 56
+    return code.bitwiseAND(F.lit(mask)).bitwiseOR(F.shiftleft(F.least(F.shiftright(code, 56), F.lit(SHALLOW).cast("long")), 56))
+
+
+def learn(found: DataFrame) -> DataFrame:
+    """(code, score): the log10 probability of each string's byte, by the suffix
+    tree of all strings (code, n)."""
+    single = found.groupBy((F.col("code") % 256).alias("b")).agg(F.sum("n").alias("n")).collect()
+    root = np.full(256, 0.5)
+    for r in single:
+        root[r["b"]] += r["n"]
+    root /= root.sum()
+    names = ["code", "p"]
+
+    def first(batches):
+        import pyarrow as pa
+
+        for code, n in together(batches, lambda c: c >> 48 & 255):
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(walk(code, n, root[code & 255], range(1, SHALLOW + 1)))], names=names)
+
+    def rest(batches):
+        import pyarrow as pa
+
+        known, worth = np.zeros(0, np.int64), np.zeros(0)
+        for code, n, p in together(batches, lambda c: c >> 24 & 0xFFFFFFFF):
+            top, end = n < 0, code[-1] >> 32 & 0xFFFFFF  # rows of the shallow levels stand before the strings that end like them
+            known, worth = np.r_[known, code[top]], np.r_[worth, p[top]]
+            order = np.argsort(known)
+            known, worth = known[order], worth[order]
+            code, n = code[~top], n[~top]
+            if len(code):
+                p = walk(code, n, worth[np.searchsorted(known, shallow(code))], range(SHALLOW + 1, DEPTH + 1))
+                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(np.log10(np.maximum(p, 1e-30)).astype(np.float32))], names=["code", "score"])
+            more = known >> 32 & 0xFFFFFF == end  # the next rows may end like these
+            known, worth = known[more], worth[more]
+
+    code = F.col("code")
+    ends = F.shiftright(code, 48).bitwiseAND(F.lit(255))
+    few = found.groupBy(shallow(code).alias("code")).agg(F.sum("n").alias("n"))
+    few = few.repartition(ends).sortWithinPartitions(ends).mapInArrow(first, "code long, p double")
+    both = few.select("code", F.lit(-1).cast("long").alias("n"), "p").unionByName(found.select("code", "n", F.lit(0.0).alias("p")))
+    ends = F.shiftright(code, 32).bitwiseAND(F.lit(0xFFFFFF))
+    both = both.repartition(ends).sortWithinPartitions(ends, F.col("n") >= 0, code.bitwiseAND(F.lit(BODY)))
+    return both.mapInArrow(rest, "code long, score float")
+
+
+def packed(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(block, keys, values): lists of a block's rows, as many as a task has at a time."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def lists(held):
+            t = pa.Table.from_batches(held).combine_chunks()
+            t = t.take(pc.sort_indices(t, [("block", "ascending")]))
+            block = t.column(0).to_numpy()
+            starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            at = pa.array(np.r_[starts, len(block)].astype(np.int32))
+            cols = [pa.ListArray.from_arrays(at, t.column(i).combine_chunks()) for i in (1, 2)]
+            for a in range(0, len(starts), 64):  # few at a time: a batch is one piece of memory
+                yield pa.RecordBatch.from_arrays([pa.array(block[starts[a:a + 64]]), *(c.slice(a, 64) for c in cols)], names=["block", "keys", "values"])
+
+        held, size = [], 0
+        for b in batches:
+            held.append(b)
+            size += b.num_rows
+            if size >= 4 * ROWS:
+                yield from lists(held)
+                held, size = [], 0
+        if size:
+            yield from lists(held)
+
+    kinds = dict(rows.dtypes)
+    return rows.select("block", key, value).mapInArrow(run, f"block long, keys array<{kinds[key]}>, values array<{kinds[value]}>")
 
 
 def score(df: DataFrame, train: Column, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = df.sparkSession
     table = packets(df, train, key, text)
-    # One shuffle adds up both: each block's tokens get their count in all, a string one row.
-    same = Window.partitionBy("key", "code")
+    same = Window.partitionBy("key")
     counted = count_tokens(table).withColumns({"c": F.sum("n").over(same), "turn": F.row_number().over(same.orderBy("block"))})
-    counted = materialize(counted.where("code is null or turn = 1"), "lm-counts")
-    tree = spark.sparkContext.broadcast(learn(table, counted.where("code is not null").select("code", F.col("c").alias("n")), depth))
-    asked = counted.where("code is null").select("block", "key", "n", "c", "turn")
+    asked = materialize(counted, "lm-counts")
     sums = asked.agg(F.sum("n").alias("n"), F.sum(F.when((F.col("turn") == 1) & (F.col("c") > 0), 1)).alias("v")).first()
     n_train, kinds = sums["n"] or 0, sums["v"] or 0
     room = math.log10(n_train + kinds + 1)
+    found = materialize(count_strings(table, depth, False).groupBy("code").agg(F.sum("n").alias("n")), "lm-strings")
+    worth = count_strings(table, depth, True).select("block", "code").join(learn(found), "code")
     id_kind = df.schema[key].dataType
 
     def run(batches):
         import pyarrow as pa
 
-        t, now, words = tree.value, None, {}
+        now, words, codes, logs, ready = None, {}, [], [], False
         for b in batches:
-            for block, is_text, body, c, ids, train in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            for i, (block, turn) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
                 if block != now:
-                    now, words = block, {}
-                if not is_text:
-                    words[body] = math.log10(c + 1) if c else 0.0
+                    now, words, codes, logs, ready = block, {}, [], [], False
+                if turn == 0:
+                    words.update((w, math.log10(c + 1) if c else 0.0) for w, c in zip(b.column(2)[i].as_py(), b.column(3)[i].as_py(), strict=True))
+                    continue
+                if turn == 1:
+                    codes.append(b.column(4)[i].values.to_numpy())
+                    logs.append(b.column(5)[i].values.to_numpy())
                     continue
-                out, lines = [], opened(body)
+                if not ready:
+                    codes, logs, ready = np.concatenate(codes), np.concatenate(logs), True
+                    order = np.argsort(codes)
+                    codes, logs = codes[order], logs[order]
+                out, lines = [], opened(b.column(8)[i].as_py())
                 end = words.get(b"\n", 0.0)
-                for doc, trained, x in zip(ids, train, lines, strict=True):
-                    logs = [words[w] for w in x.split()]
-                    logs.append(end)
-                    out.append((doc, not trained, len(logs), len(logs) - logs.count(0.0), n_train, math.fsum(logs) - room * len(logs)))
+                for doc, trained, x in zip(b.column(6)[i].as_py(), b.column(7)[i].as_py(), lines, strict=True):
+                    each = [words[w] for w in x.split()]
+                    each.append(end)
+                    out.append((doc, not trained, len(each), len(each) - each.count(0.0), n_train, math.fsum(each) - room * len(each)))
                 ends = np.cumsum([0, *(len(x) + 1 for x in lines)])
-                scores = np.add.reduceat(t.score(stream(lines)).astype(np.float64), ends[:-1])
+                each = logs[np.searchsorted(codes, strings(stream(lines), depth))]
+                scores = np.add.reduceat(each.astype(np.float64), ends[:-1])
                 kinds = [keys, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                 cols = [pa.array(col, kind) for col, kind in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(scores)], names=names)
@@ -375,8 +361,8 @@ def score(df: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
     keys = to_arrow_type(id_kind)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     kind = id_kind.simpleString()
-    none = F.lit(None)
-    both = asked.select("block", F.lit(False).alias("is_text"), F.col("key").alias("body"), "c", none.cast(f"array<{kind}>").alias("ids"), none.cast("array<boolean>").alias("train")).unionByName(
-        table.select("block", F.lit(True).alias("is_text"), F.col("packet").alias("body"), F.lit(0).cast("long").alias("c"), "ids", "train"))
-    together = both.repartition("block").sortWithinPartitions("block", "is_text")
-    return together.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    tokens = packed(asked, "key", "c").select("block", F.lit(0).alias("turn"), F.col("keys").alias("tokens"), F.col("values").alias("counts"))
+    scores = packed(worth, "code", "score").select("block", F.lit(1).alias("turn"), F.col("keys").alias("codes"), F.col("values").alias("scores"))
+    both = tokens.unionByName(scores, allowMissingColumns=True).unionByName(table.withColumn("turn", F.lit(2)), allowMissingColumns=True)
+    both = both.select("block", "turn", "tokens", "counts", "codes", "scores", "ids", "train", "packet").repartition("block").sortWithinPartitions("block", "turn")
+    return both.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -102,3 +102,29 @@ def test_long_nul_and_empty(spark):
     assert suffix_tree.score(documents(spark, []), held_out("doc_id", 7, 2)).count() == 0
     none = suffix_tree.score(documents(spark, rows), F.lit(False)).toPandas()
     assert (none["train_tokens"] == 0).all() and np.isfinite(none["score"]).all()
+
+
+def test_a_context_is_kept_by_its_evidence_not_its_share(spark):
+    rare = "qzjxkvbpfygmhcdulriotnaes"  # 8 occurrences in 4 MB: less than 3 in a million
+    rows = [(i, "w" * 200_000, "en", "a") for i in range(20)] + [(100 + i, rare, "en", "a") for i in range(8)]
+    got = suffix_tree.score(documents(spark, rows), F.lit(True)).toPandas().set_index("doc_id")
+    assert (got.loc[100:, "score"] > -0.5 * len(rare)).all()
+
+
+def test_groups_of_strings_are_never_cut(spark, monkeypatch):
+    rows = [r for r in awkward_rows(9, 60) if r[0] not in (107, 113)]
+    docs = documents(spark, rows)
+    found = suffix_tree.count_strings(suffix_tree.packets(docs, F.lit(True), "doc_id", "text"), suffix_tree.DEPTH, False).groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    codes, n = (c.to_numpy() for c in found.columns)
+    root = (np.bincount(codes & 255, n, 256) + 0.5) / (n.sum() + 128)
+    whole = np.log10(suffix_tree.walk(codes, n, root[codes & 255], range(1, suffix_tree.DEPTH + 1)))
+    monkeypatch.setattr(suffix_tree, "ROWS", 50)
+    import pyarrow as pa
+
+    order = np.lexsort((codes & suffix_tree.BODY, codes >> 32 & 0xFFFFFF))
+    batches = [pa.RecordBatch.from_arrays([pa.array(codes[order[a:a + 7]])], names=["code"]) for a in range(0, len(order), 7)]
+    parts = [c[0] for c in suffix_tree.together(batches, lambda c: c >> 24 & 0xFFFFFFFF)]
+    assert np.array_equal(np.concatenate(parts), codes[order]) and len(parts) > 5
+    assert all(a[-1] >> 24 & 0xFFFFFFFF != b[0] >> 24 & 0xFFFFFFFF for a, b in zip(parts, parts[1:]))
+    dealt = suffix_tree.learn(spark.createDataFrame(found)).toPandas().set_index("code")["score"]
+    assert np.allclose(dealt.loc[codes], whole, atol=1e-4)
