@@ -26,6 +26,9 @@ instead, keyed by their hashes, so that no task holds them together.
 Hashes are 64 bits wide and always compared together with the suffix's own 64
 bits and 8 bytes of text.
 
+*Copies.*  Rows with the same text have the same suffixes: each is kept once, with
+the number of copies as its weight in every count, and so are its spans.
+
 Edge cases: null and empty texts, and those shorter than SPAN, keep everything;
 repeated rows lose everything from SPAN bytes on; documents are told apart by
 two hashes of their text, so null and repeated ids do no harm; long texts are
@@ -178,6 +181,12 @@ def suffixes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "t1 long, t2 long, p long, a long, b long, pre long, gram long, whole long")
 
 
+def weighted(suffixes: DataFrame) -> DataFrame:
+    """Each text's suffixes once, with the number of its copies."""
+    place = ["t1", "t2", "p", "a", "b", "pre", "gram", "whole"]
+    return suffixes.groupBy(*place).agg(F.count(F.lit(1)).alias("copies"))
+
+
 class IndexFamily:
     """Levels of sparse suffix arrays: tables (pre, gram, n), each suffix once."""
 
@@ -187,7 +196,8 @@ class IndexFamily:
     def add(self, suffixes: DataFrame) -> DataFrame:
         """Add a batch; returns the suffixes (pre, gram) that occur elsewhere in
         it or in a level."""
-        array = suffixes.groupBy("pre", "gram").agg(F.count(F.lit(1)).alias("n"))
+        n = F.sum("copies") if "copies" in suffixes.columns else F.count(F.lit(1))
+        array = suffixes.groupBy("pre", "gram").agg(n.alias("n"))
         array = materialize(array.sortWithinPartitions("pre", "gram"), "suffix-array")
         met = array.where("n > 1").select("pre", "gram")
         for _, level in self.levels:
@@ -313,7 +323,7 @@ def compare_hot(around: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Of a table (t1, t2, text in bytes): the rows with a met suffix, and
     (t1, t2, first, last) runs of starts of repeated spans."""
-    found = materialize(suffixes(docs), "suffixes")
+    found = materialize(weighted(suffixes(docs)), "suffixes")
     family = IndexFamily()
     met = None
     for i in range(batches):
@@ -323,7 +333,7 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> t
     # Written, not just distinct: a join with a table in its own right can split a suffix that is all over.
     met = materialize(met.distinct(), "suffix-met")
     seen = materialize(found.join(met, ["pre", "gram"], "left_semi"), "suffix-seen")
-    wholes = seen.groupBy("pre", "gram", "whole").agg(F.count(F.lit(1)).alias("n"))
+    wholes = seen.groupBy("pre", "gram", "whole").agg(F.sum("copies").alias("n"))
     shared = Window.partitionBy("pre", "gram")
     kinds = materialize(wholes.withColumn("kinds", F.count(F.lit(1)).over(shared)), "suffix-kinds")
     # All spans of a whole that occurs again are repeated; of others with the same suffix, some may be.
@@ -331,7 +341,8 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> t
     open_ = kinds.where("kinds > 1")
     one = seen.join(open_, ["pre", "gram", "whole"]).groupBy("pre", "gram", "whole", "n", "kinds").agg(F.min(F.struct("t1", "t2", "p")).alias("at"))
     places = one.select("at.*").groupBy("t1", "t2").agg(F.collect_list("p").alias("places"))  # a document's own, at most one in a byte
-    matched = materialize(docs.join(seen.select("t1", "t2").distinct(), ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"]), "suffix-docs")
+    # Copies go before the join: they meet in the tasks that read them, not all in one.
+    matched = materialize(docs.dropDuplicates(["t1", "t2"]).join(seen.select("t1", "t2").distinct(), ["t1", "t2"], "left_semi"), "suffix-docs")
     texts = matched.join(places, ["t1", "t2"]).select("t1", "t2", "text", "places")
     around = surroundings(texts).join(open_.select("pre", "gram", "whole", "n", "kinds"), ["pre", "gram", "whole"])
     around = materialize(around, "suffix-around")
@@ -364,7 +375,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", batch
     rows = df.select(F.col(key).alias("doc_id"), *doc_key(text), utf8(text).alias("text"))
     matched, spans = repeated_spans(rows.select("t1", "t2", "text"), batches, hot)
     spans = materialize(spans, "suffix-spans")
-    of_text = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))  # a document's own
+    of_text = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))  # a text's own, each once
 
     def run(batches):
         import pyarrow as pa

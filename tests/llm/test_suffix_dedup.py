@@ -78,3 +78,16 @@ def test_long_text_is_cut_into_segments(spark, monkeypatch):
 def test_empty_table(spark):
     assert S.remove_repeats(documents(spark, [])).count() == 0
     assert S.remove_repeats(documents(spark, [(1, None, None, None)])).collect()[0]["n_removed"] == 0
+
+
+def test_spans_of_copies_are_held_once(spark):
+    rng = random.Random(5)
+    text, line = prose(rng, 300), prose(rng, 140)
+    rows = [(i, text, "en", "s0") for i in range(50)] + [(100 + i, prose(rng, 10) + line + prose(rng, 10), "en", "s0") for i in range(4)] + [(200, text + line, "en", "s0")]
+    rows += [(300 + i, rows[50][1], "en", "s0") for i in range(3)]
+    docs = documents(spark, rows).select(*S.doc_key("text"), S.utf8("text").alias("text"))
+    spans = S.repeated_spans(docs)[1].collect()
+    assert len(spans) == len(set(spans))
+    assert S.weighted(S.suffixes(docs)).groupBy("t1", "t2", "p", "a").count().where("count > 1").count() == 0
+    got = S.remove_repeats(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == plain(rows)
