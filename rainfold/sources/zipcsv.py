@@ -2,8 +2,9 @@
 
 Archives are read with the ``binaryFile`` source: one archive per row, so
 archives are spread over tasks.  A pandas function opens each archive and
-emits its members, which are dealt out anew; another emits a member's lines in
-bounded batches, which Spark's own ``from_csv`` parses with the given schema.
+emits its members as they are packed, which are dealt out anew; another unpacks
+a member as a stream and emits its lines in bounded batches, which Spark's own
+``from_csv`` parses with the given schema: no member is ever whole in memory unpacked.
 A zip member cannot be split, so one member is one task; Spark's binary
 source limits one archive to 2 GB.  Records must be one per line (no quoted
 line breaks), as with the line-based tools this replaces.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import io
 import itertools
+import struct
 import zipfile
 from collections.abc import Iterator
 
@@ -27,22 +29,32 @@ LINES_SCHEMA = "path string, member string, line long, value string"
 BATCH_LINES = 65536
 
 
+MEMBERS_SCHEMA = "path string, member string, method int, flags int, crc long, size long, packed binary"
+
+
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 for info in zf.infolist():
                     if not info.is_dir():
-                        yield pd.DataFrame({"path": [path], "member": [info.filename], "content": [zf.read(info)]})
+                        with zf.open(info):  # checks the member's header, and that it isn't encrypted
+                            pass
+                        name, extra = struct.unpack_from("<HH", content, info.header_offset + 26)
+                        at = info.header_offset + 30 + name + extra
+                        yield pd.DataFrame({"path": [path], "member": [info.filename], "method": [info.compress_type], "flags": [info.flag_bits], "crc": [info.CRC],
+                                            "size": [info.file_size], "packed": [content[at:at + info.compress_size]]})
 
 
 def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for path, member, content in zip(pdf["path"], pdf["member"], pdf["content"]):
-            fh = io.TextIOWrapper(io.BytesIO(content), encoding="utf-8", newline="")
+        for r in pdf.itertuples():
+            info = zipfile.ZipInfo(r.member)
+            info.compress_type, info.flag_bits, info.CRC, info.file_size, info.compress_size = int(r.method), int(r.flags), int(r.crc), int(r.size), len(r.packed)
+            fh = io.TextIOWrapper(zipfile.ZipExtFile(io.BytesIO(r.packed), "r", info), encoding="utf-8", newline="")
             at = 0
             while part := list(itertools.islice(fh, BATCH_LINES)):
-                yield pd.DataFrame({"path": path, "member": member, "line": range(at, at + len(part)), "value": [x.rstrip("\r\n") for x in part]})
+                yield pd.DataFrame({"path": r.path, "member": r.member, "line": range(at, at + len(part)), "value": [x.rstrip("\r\n") for x in part]})
                 at += len(part)
 
 
@@ -50,7 +62,7 @@ def zip_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every text line of every member of every archive under ``path``."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    members = files.mapInPandas(_members, "path string, member string, content binary")
+    members = files.mapInPandas(_members, MEMBERS_SCHEMA)
     return members.repartition("path", "member").mapInPandas(_lines, LINES_SCHEMA)
 
 

@@ -91,3 +91,29 @@ def test_load_from_headed_csv_goes_by_names(spark):
     got = csvfiles.read_table(spark, path)
     assert dict(got.dtypes) == {"b": "bigint", "a": "string", "c": "double"}
     assert sorted(tuple(r) for r in got.collect()) == [(1, "x", 2.5), (2, None, None)]
+
+
+def test_members_are_dealt_packed_and_unpacked_as_streams(monkeypatch):
+    import io
+    import tracemalloc
+    import zipfile
+
+    import pandas as pd
+
+    monkeypatch.setattr(zipcsv, "BATCH_LINES", 2048)
+    line, n = "1,1.5," + "x" * 190, 100_000
+    for method in (zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA, zipfile.ZIP_STORED):
+        made, rows = io.BytesIO(), n if method == zipfile.ZIP_DEFLATED else 1000
+        with zipfile.ZipFile(made, "w", method) as zf:
+            zf.writestr("d/a.csv", (line + "\r\n") * rows)
+            zf.writestr("b.csv", "é\n")
+        dealt = list(zipcsv._members(iter([pd.DataFrame({"path": ["p"], "content": [made.getvalue()]})])))
+        assert sum(len(c) for p in dealt for c in p.iloc[:, -1]) < len(made.getvalue())
+        tracemalloc.start()
+        got = [(p["member"][0], len(p), set(p["value"])) for p in zipcsv._lines(iter(dealt))]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(k for m, k, _ in got if m == "d/a.csv") == rows and all(v == {line} for m, _, v in got if m == "d/a.csv")
+        assert [v for m, _, v in got if m == "b.csv"] == [{"é"}]
+        if method == zipfile.ZIP_DEFLATED:  # the others' dictionaries are of fixed, larger sizes
+            assert peak < n * len(line) / 4, peak
