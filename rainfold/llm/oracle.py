@@ -98,3 +98,62 @@ s AS (
   FROM e q JOIN e c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {k}"""
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text: a list of its bytes and eight shifts for each."""
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [ord({text}[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    mixed = "(CASE WHEN x > 0 THEN xor(a, x) ELSE a END)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda a, x: CASE WHEN {mixed} % 2 = 1 "
+            f"THEN xor({mixed} // 2, 3988292384::BIGINT) ELSE {mixed} // 2 END), 4294967295::BIGINT)")
+
+
+def _climb_sql(name: str, group: str, levels: int) -> str:
+    """Node tables ``name_k(grp, pos, n, d)`` for k up to ``levels`` and, for every
+    leaf of ``name_0``, the siblings left and right of its path at each level."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}_{k + 1} AS (
+  SELECT grp, pos // 8 AS pos, count(*) OVER (PARTITION BY grp) AS n, sha256(all_d) AS d FROM (
+    SELECT grp, pos // 8 * 8 AS pos, string_agg(d, '' ORDER BY pos) AS all_d FROM {name}_{k} WHERE n > 1 GROUP BY grp, pos // 8)
+)""")
+        out.append(f"""{name}_side_{k} AS (
+  SELECT a.grp, a.pos, string_agg(b.d, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos) AS l, string_agg(b.d, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos) AS r
+  FROM {name}_{k} a JOIN {name}_{k} b ON a.grp = b.grp AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY a.grp, a.pos
+)""")
+    return ",\n".join(out)
+
+
+def merkle_sql(levels: int = 6, lang_levels: int = 3) -> str:
+    """The manifest for up to 8^levels rows a language and 8^lang_levels languages."""
+    def part(c):
+        return f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    fields = " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    folds = []
+    for name, many, key, start in (("t", levels, "grp", "base"), ("u", lang_levels, "'u'", f"fold_t_{levels - 1}")):
+        for k in range(many):
+            at = f"b.{'pos' if name == 't' else 'lpos'} // {8 ** k}"
+            folds.append(f"""fold_{name}_{k} AS (
+  SELECT b.* REPLACE (b.proof || coalesce(s.l, '') || coalesce(s.r, '') AS proof,
+    CASE WHEN s.pos IS NULL THEN b.acc ELSE sha256(coalesce(s.l, '') || b.acc || coalesce(s.r, '')) END AS acc)
+  FROM {start} b LEFT JOIN {name}_side_{k} s ON s.grp = {'b.grp' if name == 't' else key} AND s.pos = {at}
+)""")
+            start = f"fold_{name}_{k}"
+    tops = " UNION ALL ".join(f"SELECT grp, d FROM t_{k} WHERE n = 1" for k in range(levels + 1))
+    roots = " UNION ALL ".join(f"SELECT d FROM u_{k} WHERE n = 1" for k in range(lang_levels + 1))
+    return f"""WITH rows AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS grp, sha256({fields} || {part('text')}) AS leaf, sha256({fields} || {part(low)}) AS low,
+         {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 3 = 0 AS hit FROM documents
+),
+placed AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM rows WINDOW w AS (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf)),
+t_0 AS (SELECT grp, pos, n, leaf AS d FROM placed),
+{_climb_sql('t', 'grp', levels)},
+tops AS ({tops}),
+u_0 AS (SELECT 'u' AS grp, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n, d, grp AS lang FROM tops),
+{_climb_sql('u', 'grp', lang_levels)},
+root AS ({roots}),
+base AS (SELECT p.*, u.pos AS lpos, u.d AS subroot, '' AS proof, CASE WHEN hit THEN low ELSE leaf END AS acc FROM placed p JOIN u_0 u ON u.lang = p.grp),
+{(','+chr(10)).join(folds)}
+SELECT doc_id, leaf, subroot, root.d AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root.d AS verified
+FROM fold_u_{lang_levels - 1}, root"""
