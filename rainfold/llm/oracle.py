@@ -157,3 +157,17 @@ base AS (SELECT p.*, u.pos AS lpos, u.d AS subroot, '' AS proof, CASE WHEN hit T
 {(','+chr(10)).join(folds)}
 SELECT doc_id, leaf, subroot, root.d AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root.d AS verified
 FROM fold_u_{lang_levels - 1}, root"""
+
+
+def line_dedup_sql() -> str:
+    return """WITH lines AS (
+  SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+),
+keyed AS (
+  SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM lines
+),
+often AS (SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT a.*, o.last IS NOT NULL AND a.doc_id <> o.last AS lost FROM keyed a LEFT JOIN often o ON a.k = o.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, merkle, mixing, mtree, oracle, packing, quality_cnn, quality_rules, secrets, simhash, suffix_dedup, suffix_tree
+from . import language, line_dedup, merkle, mixing, mtree, oracle, packing, quality_cnn, quality_rules, secrets, simhash, suffix_dedup, suffix_tree
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,12 +82,19 @@ def op8_mtree_top_k(spark, sf_dir):
     return mtree.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+@query
+def op11_cuckoo_line_dedup(spark, sf_dir):
+    found = line_dedup.dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
 
 ORACLE |= {
+    "op11_cuckoo_line_dedup": oracle.line_dedup_sql(),
     "op12_merkle_manifest": oracle.merkle_sql(),
     "op3_sainte_lague_mixing": oracle.mixing_sql(),
     "op5_adaptive_quality_rules": oracle.rules_sql(),
