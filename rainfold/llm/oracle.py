@@ -171,3 +171,27 @@ judged AS (SELECT a.*, o.last IS NOT NULL AND a.doc_id <> o.last AS lost FROM ke
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
+
+
+def collocations_sql() -> str:
+    return r"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (SELECT lang, unnest(list_transform(range(1, len(ws) + 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])) AS g FROM words),
+f1 AS (SELECT lang, g[1] AS a, count(*) AS f FROM grams GROUP BY ALL),
+f2 AS (SELECT lang, g[1] AS a, g[2] AS b, count(*) AS f FROM grams WHERE g[2] IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, g[1] AS a, g[2] AS b, g[3] AS c, count(*) AS f FROM grams WHERE g[3] IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+cuts AS (
+  SELECT p.lang, p.a || ' ' || p.b AS phrase, p.f, 1 AS k, x.f AS l, y.f AS r FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.a = p.a JOIN f1 y ON y.lang = p.lang AND y.a = p.b
+  WHERE p.f >= 10 AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = p.lang AND t.a = p.a AND t.b = p.b AND 100 * t.f >= 50 * p.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = p.lang AND t.b = p.a AND t.c = p.b AND 100 * t.f >= 50 * p.f)
+  UNION ALL SELECT p.lang, p.a || ' ' || p.b || ' ' || p.c, p.f, 1, x.f, y.f FROM f3 p JOIN f1 x ON x.lang = p.lang AND x.a = p.a JOIN f2 y ON y.lang = p.lang AND y.a = p.b AND y.b = p.c
+  UNION ALL SELECT p.lang, p.a || ' ' || p.b || ' ' || p.c, p.f, 2, x.f, y.f FROM f3 p JOIN f2 x ON x.lang = p.lang AND x.a = p.a AND x.b = p.b JOIN f1 y ON y.lang = p.lang AND y.a = p.c
+),
+scored AS (SELECT *, CAST((1000000 * CAST(f AS HUGEINT) * f) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM lowest)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, f AS a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""

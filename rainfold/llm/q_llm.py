@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, merkle, mixing, mtree, oracle, packing, quality_cnn, quality_rules, secrets, simhash, suffix_dedup, suffix_tree
+from . import language, line_dedup, merkle, mixing, mtree, oracle, packing, phrases, quality_cnn, quality_rules, secrets, simhash, suffix_dedup, suffix_tree
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,7 +93,13 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
 
+@query
+def op13_stream_collocations(spark, sf_dir):
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 ORACLE |= {
+    "op13_stream_collocations": oracle.collocations_sql(),
     "op11_cuckoo_line_dedup": oracle.line_dedup_sql(),
     "op12_merkle_manifest": oracle.merkle_sql(),
     "op3_sainte_lague_mixing": oracle.mixing_sql(),
