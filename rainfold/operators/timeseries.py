@@ -173,7 +173,7 @@ def adf_stats_augmented(lagged: DataFrame, lags: int | None = None, key: str = "
         raise ValueError(f"lag table needs y lags up to {need} for d ≤ {max_d} and {most} lagged differences")
     ship_package(lagged.sparkSession)
     stats = lagged.groupBy(F.col(key).alias("_series")).agg(
-        *([F.expr(f"least(CAST(floor(pow(greatest(count(y) - 1, 0), 1.0 / 3) + 1e-9) AS INT), {most}) AS lags")] if lags is None
+        *([F.expr(f"least(CAST(floor(pow(greatest(count(y) - 1, 0), 1.0D / 3) + 1e-9) AS INT), {most}) AS lags")] if lags is None
           else [F.lit(lags).alias("lags")]),
         *[F.expr(f"avg({_diff_sql(d, 1)}) AS m{d}") for d in range(max_d + 1)],
         *[_unvarying(_diff_sql(d, 0), _diff_sql(d, 1)).alias(f"c{d}") for d in range(max_d + 1)])

@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import css as CS
+from ..operators import lagsums as S
 from ..operators import relational as R
-from ..session import materialize
+from ..operators import stepwise as W
 from ..operators import timeseries as T
+from ..session import materialize
 from . import fixtures as X
+from . import oracle_arima as A
 from . import oracle_sql as O
 from .common import finish
 from .registry import register
@@ -123,8 +127,15 @@ def forecast_ar1(spark, sf_dir):
     return finish(T.forecast(models, HORIZON))
 
 
-_GRID_SQL = f"SELECT series, CAST(p AS INTEGER) AS p, CAST(q AS INTEGER) AS q, true AS sound FROM (SELECT DISTINCT series FROM ts_idx), range({T.MAX_P + 1}) a(p), range({T.MAX_Q + 1}) b(q)"
-_STEPS_SQL = f"SELECT series, CAST(h AS BIGINT) AS h, true AS sound FROM (SELECT DISTINCT series FROM ts_idx), range(1, {HORIZON + 1}) t(h)"
+COEFS = [f"{c}{i}" for c in "ab" for i in (1, 2, 3)]
+
+
+def _rounded(cols) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+def _coefs():
+    return [F.try_element_at(F.col(c), F.lit(i)).alias(f"{n}{i}") for n, c in (("a", "ar"), ("b", "ma")) for i in (1, 2, 3)]
 
 
 def _finite(*cols):
@@ -134,54 +145,112 @@ def _finite(*cols):
     return out
 
 
-def arima_prepared(spark, sf_dir):
-    """Lag table (checkpointed), d by unit-root test, stage-1 residuals."""
-    return T.prepare(indexed(spark, sf_dir))
+def summed(spark, sf_dir):
+    """The lag sums of every series, written once: what all the fits read."""
+    return materialize(S.summary(indexed(spark, sf_dir)), "lag-sums")
+
+
+def selected_models(spark, sf_dir):
+    return S.models(summed(spark, sf_dir))
+
 
+@register("select_d_augmented", f"WITH {A.UNIT_ROOT} SELECT o.series, o.d, CAST(a.n AS BIGINT) AS n, round(a.beta, 6) AS beta, round(a.t_stat, 6) AS t_stat FROM orders o JOIN adf a ON o.series = a.series AND a.d = 0")
+def select_d_augmented(spark, sf_dir):
+    """Differencing order per series by the augmented test with each series' own
+    number of lagged differences, and the test of the series as it is."""
+    tests = materialize(S.unit_root_tests(summed(spark, sf_dir)), "tests")
+    first = tests.filter("d = 0").select(F.col("series").alias("_s"), "n", "beta", "t_stat")
+    return finish(T.select_d(tests).join(first, F.col("series").eqNullSafe(F.col("_s"))).select("series", "d", "n", "beta", "t_stat"))
 
-@register("arima_grid", f"WITH {O.TS_SERIES} {_GRID_SQL}")
+
+_GRID = ["const", *COEFS, "sigma2", "aic"]
+
+
+@register("arima_grid", f"WITH {A.FITS} SELECT series, p, q, n, {_rounded(_GRID)}, ok FROM grid")
 def arima_grid(spark, sf_dir):
-    """All 16 (p, q) candidates of every series; ``sound``: an accepted one has
-    finite coefficients, variance and AIC, as many as its orders say."""
-    grid = T.fit_grid(arima_prepared(spark, sf_dir))
-    sized = (F.size("ar") == F.col("p")) & (F.size("ma") == F.col("q"))
-    return grid.select("series", "p", "q", (~F.col("ok") | (sized & _finite("const", "sigma2", "aic"))).alias("sound"))
+    """All 16 (p, q) candidates of every series: coefficients, variance, AIC, and
+    whether they are stationary and invertible."""
+    return finish(S.grid(summed(spark, sf_dir)).select("series", "p", "q", "n", "const", *_coefs(), "sigma2", "aic", "ok"))
 
 
-@register("arima_fit", f"WITH {O.TS_SERIES} SELECT DISTINCT series, 1 AS p, 1 AS q, true AS known FROM ts_idx")
+@register("arima_fit", f"WITH {A.FITS} SELECT series, p, q, {_rounded(['const', 'a1', 'b1', 'sigma2'])} FROM grid WHERE p = 1 AND q = 1")
 def arima_fit(spark, sf_dir):
-    """ARMA(1, 1) on the differenced series, per series (Hannan–Rissanen)."""
-    fits = T.fit_grid(arima_prepared(spark, sf_dir)).filter("p = 1 AND q = 1")
-    return fits.select("series", "p", "q", (_finite("const", "sigma2") & (F.col("sigma2") > 0)).alias("known"))
+    """ARMA(1, 1) on the differenced series, per series (Hannan–Rissanen, by the
+    lag table's own two stages)."""
+    fits = T.fit_grid(T.prepare(indexed(spark, sf_dir))).filter("p = 1 AND q = 1")
+    return finish(fits.select("series", "p", "q", "const", F.col("ar")[0].alias("a1"), F.col("ma")[0].alias("b1"), "sigma2"))
 
 
-def selected_models(spark, sf_dir):
-    prep = arima_prepared(spark, sf_dir)
-    return T.arima_models(prep, T.select_order(T.fit_grid(prep)))
+_BEST = ["const", *COEFS, "mu", "sigma2", "aic", "y_last", "dy_last"]
 
 
-@register("arima_select", f"WITH {O.TS_SERIES} SELECT DISTINCT series, 'fitted' AS status, true AS sound FROM ts_idx")
+@register("arima_select", f"WITH {A.FITS} SELECT series, p, d, q, n, {_rounded(_BEST)}, 'fitted' AS status FROM best")
 def arima_select(spark, sf_dir):
     """Best order of every series by AIC, with d from the unit-root test."""
-    best = selected_models(spark, sf_dir)
-    orders = F.col("p").between(0, T.MAX_P) & F.col("q").between(0, T.MAX_Q) & F.col("d").between(0, T.MAX_D)
-    return best.select("series", "status", (orders & _finite("const", "mu", "sigma2", "aic")).alias("sound"))
+    return finish(selected_models(spark, sf_dir).select("series", "p", "d", "q", "n", "const", *_coefs(), "mu", "sigma2", "aic", "y_last", "dy_last", "status"))
+
+
+@register("arima_stepwise", f"WITH RECURSIVE {A.STEPWISE} SELECT s.series, s.p, s.q, round(g.aic, 6) AS aic, g.ok FROM stop s JOIN grid g ON s.series = g.series AND s.p = g.p AND s.q = g.q")
+def arima_stepwise(spark, sf_dir):
+    """The order that a stepwise search from four small orders ends at, per series."""
+    state = summed(spark, sf_dir)
+    tried = W.search(state, lambda orders: S.fit_orders(state, orders))
+    at = W.best(tried).withColumnsRenamed({"series": "_s", "p": "_p", "q": "_q"})
+    same = F.col("series").eqNullSafe(F.col("_s")) & (F.col("p") == F.col("_p")) & (F.col("q") == F.col("_q"))
+    return finish(tried.join(at, same).select("series", "p", "q", "aic", "ok"))
+
+
+_CSS_ORDERS = [(0, 0), (1, 0), (2, 0), (0, 1), (1, 1)]
+_CSS = ["const", "a1", "a2", "sigma2", "aic"]
+
+
+@register("arima_css", f"""WITH {A.FITS}, {A.CSS_ROWS}
+SELECT series, p, q, n, {_rounded(_CSS)}, true AS no_worse FROM css
+UNION ALL SELECT series, p, q, NULL, NULL, NULL, NULL, NULL, NULL, true FROM (SELECT DISTINCT series FROM ts_idx), (VALUES (0, 1), (1, 1)) o(p, q)""")
+def arima_css(spark, sf_dir):
+    """Conditional least squares for five orders of every series, from the grid's
+    fits; without a moving average they are those of ordinary least squares."""
+    idx = materialize(indexed(spark, sf_dir), "positions")
+    wanted = F.concat_ws(",", "p", "q").isin([f"{p},{q}" for p, q in _CSS_ORDERS])
+    start = materialize(S.grid(S.summary(idx)).filter(wanted), "css-start")
+    fits = CS.fit(CS.cut(idx), start)
+    plain = lambda c: F.when(F.col("q") == 0, c)
+    return finish(fits.select("series", "p", "q", plain(F.col("n")).alias("n"), *[plain(c).alias(n) for n, c in (
+        ("const", F.col("const")), ("a1", F.try_element_at("ar", F.lit(1))), ("a2", F.try_element_at("ar", F.lit(2))), ("sigma2", F.col("sigma2")), ("aic", F.col("aic")))],
+        (F.col("aic") <= F.col("start_aic")).alias("no_worse")))
+
+
+@register("arima_grow", f"WITH {A.FITS} SELECT series, p, d, q, n, {_rounded(_BEST)}, 'fitted' AS status FROM best")
+def arima_grow(spark, sf_dir):
+    """Models of stored lag sums that later hours were added to, three batches a
+    series; old hours are read for their own batch only."""
+    from ..session import scratch_path
+    from ..sources import models as MS
+
+    idx, path = materialize(indexed(spark, sf_dir), "positions"), scratch_path(spark, "lag-sums")
+    batch = F.least(F.lit(2), F.expr("idx div 300"))
+    for n in range(3):
+        MS.grow_states(spark, path, n, idx.filter(batch == n))
+    return finish(S.models(MS.load_states(spark, path)).select("series", "p", "d", "q", "n", "const", *_coefs(), "mu", "sigma2", "aic", "y_last", "dy_last", "status"))
 
 
-@register("forecast_n", f"WITH {O.TS_SERIES} {_STEPS_SQL}")
+@register("forecast_n", f"WITH RECURSIVE {A.forecasts(HORIZON)} SELECT series, h, round(yhat, 6) AS yhat FROM fc")
 def forecast_n(spark, sf_dir):
     """Point forecasts 24 steps ahead from each series' selected ARIMA model."""
-    return T.forecast(selected_models(spark, sf_dir), HORIZON).select("series", "h", _finite("yhat").alias("sound"))
+    return finish(T.forecast(selected_models(spark, sf_dir), HORIZON).select("series", "h", "yhat"))
+
+
+_FC_SQL = f"""WITH RECURSIVE {A.forecasts(HORIZON)}
+SELECT series, h, round(yhat, 6) AS yhat, round(se, 6) AS se, round(yhat - {Z95} * se, 6) AS lo, round(yhat + {Z95} * se, 6) AS hi FROM fc"""
 
 
-@register("forecast_interval", f"WITH {O.TS_SERIES} {_STEPS_SQL}")
+@register("forecast_interval", _FC_SQL)
 def forecast_interval(spark, sf_dir):
     """Forecasts with 95 % intervals (ψ-weights, integrated for d ≥ 1)."""
-    out = T.forecast(selected_models(spark, sf_dir), HORIZON, 0.95)
-    return out.select("series", "h", (_finite("yhat", "se") & (F.col("lo") < F.col("yhat")) & (F.col("yhat") < F.col("hi"))).alias("sound"))
+    return finish(T.forecast(selected_models(spark, sf_dir), HORIZON, 0.95))
 
 
-@register("arima_model_roundtrip", f"WITH {O.TS_SERIES} {_STEPS_SQL}")
+@register("arima_model_roundtrip", f"WITH RECURSIVE {A.forecasts(HORIZON)} SELECT series, h, round(yhat, 6) AS yhat, true AS same FROM fc")
 def arima_model_roundtrip(spark, sf_dir):
     """Store the selected models, load them back and forecast 24 steps from the
     stored copy (as the reference's service loads its saved models per call)."""
@@ -191,6 +260,6 @@ def arima_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "arima-models")
     models = materialize(selected_models(spark, sf_dir), "models")
     MS.save_forecast_models(models, path)
-    stored = T.forecast(MS.load_forecast_models(spark, path), HORIZON).select("series", "h", F.struct("yhat", "lo", "hi").alias("stored"))
+    stored = T.forecast(MS.load_forecast_models(spark, path), HORIZON).select("series", "h", "yhat", F.struct("yhat", "lo", "hi").alias("stored"))
     fresh = T.forecast(models, HORIZON).select("series", "h", F.struct("yhat", "lo", "hi").alias("fresh"))
-    return fresh.join(stored, ["series", "h"], "left").select("series", "h", F.col("fresh").eqNullSafe(F.col("stored")).alias("sound"))
+    return finish(stored.join(fresh, ["series", "h"], "left").select("series", "h", "yhat", F.col("fresh").eqNullSafe(F.col("stored")).alias("same")))
