@@ -111,8 +111,13 @@ def _candidates() -> list[str]:
     return out
 
 
+def fits(source: str) -> str:
+    """Everything down to ``best`` for ``ts_idx(series, idx, y)``, which ``source`` defines."""
+    return ",\n".join([source, *_adf(), *_candidates()])
+
+
 UNIT_ROOT = ",\n".join([O.TS_SERIES, *_adf()])
-FITS = ",\n".join([UNIT_ROOT, *_candidates()])
+FITS = fits(O.TS_SERIES)
 
 
 def _forecasts(models: str, horizon: int) -> str:
@@ -133,9 +138,9 @@ def _forecasts(models: str, horizon: int) -> str:
 fc AS (SELECT series, h, lv AS yhat, sqrt(sigma2 * ss) AS se FROM ahead WHERE h > 0)"""
 
 
-def forecasts(horizon: int, models: str = "best") -> str:
+def forecasts(horizon: int, models: str = "best", source: str = O.TS_SERIES) -> str:
     """Everything down to ``fc``, after WITH RECURSIVE."""
-    return f"{FITS},\n{_forecasts(models, horizon)}"
+    return f"{fits(source)},\n{_forecasts(models, horizon)}"
 
 
 #: From each order the best of itself and its neighbours, followed until none moves.

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import relational as R
-from ..session import scratch_path
-from ..sources import csvfiles, jsondocs, zipcsv
+from ..session import materialize, scratch_path
+from ..sources import batches, csvfiles, jsondocs, stored, zipcsv
 from . import fixtures as X
 from . import oracle_sql as O
 from .common import finish
@@ -89,6 +89,36 @@ def table_export_fields(spark, sf_dir):
     return finish(R.drop_any_null(back))
 
 
+@register("table_append_batches", f"""WITH {O.WEATHER}
+SELECT "DATE", round("HUM", 6) AS "HUM", round("TEMP", 6) AS "TEMP", 'part-' || CAST(day("DATE") % 3 AS VARCHAR) AS batch FROM weather""")
+def table_append_batches(spark, sf_dir):
+    """Three batches appended, each of them twice: the second time nothing changes."""
+    path = scratch_path(spark, "batches")
+    rows = materialize(weather(spark, sf_dir), "weather")
+    for turn in range(2):
+        for k in range(3):
+            added = batches.append(rows.filter(F.dayofmonth("DATE") % 3 == k), path, f"part-{k}")
+            assert added == (turn == 0)
+    return finish(batches.read(spark, path).withColumn("batch", F.col("batch").cast("string")))
+
+
+STORED_N = 400
+
+
+@register("first_stored_rows", f"""WITH {O.WEATHER}
+SELECT "DATE", round("HUM", 6) AS "HUM", round("TEMP", 6) AS "TEMP" FROM (
+  SELECT * FROM weather ORDER BY md5(strftime("DATE", '%Y-%m-%d %H:%M:%S')) LIMIT {STORED_N}) WHERE "HUM" IS NOT NULL AND "TEMP" IS NOT NULL""")
+def first_stored_rows(spark, sf_dir):
+    """The first rows of a stored export whose times are in no order, by their place
+    in its files, then the null drop."""
+    path = scratch_path(spark, "stored")
+    key = F.md5(F.date_format("DATE", "yyyy-MM-dd HH:mm:ss"))
+    shuffled = weather(spark, sf_dir).repartitionByRange(6, key).sortWithinPartitions(key)
+    csvfiles.write_csv(shuffled, path)
+    read = lambda files: spark.read.schema("DATE timestamp_ntz, HUM double, TEMP double").option("header", True).csv(list(files))
+    return finish(R.drop_any_null(stored.first_stored(spark, path, STORED_N, read, ".csv")))
+
+
 def payload_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly entries of the joined table, grouped per day (≤ 24 per document)."""
     w = weather(spark, sf_dir)
@@ -138,7 +168,6 @@ def json_forecast_relabel(spark, sf_dir):
     """The first n entries of the payload that each request names (the users'
     requests are dealt over all days' payloads), relabelled as hours from the anchor."""
     from ..operators import serving
-    from ..session import materialize
 
     entries = materialize(jsondocs.flatten_payload(payload_docs(spark, sf_dir)), "entries")
     docs = materialize(R.position_index(entries.groupBy("doc").agg(F.count(F.lit(1)).alias("size")), "doc", idx="no"), "docs")

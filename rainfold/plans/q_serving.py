@@ -6,10 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import lagsums as S
 from ..operators import relational as R
 from ..operators import serving as V
 from ..operators import timeseries as T
 from . import fixtures as X
+from . import oracle_arima as A
 from . import oracle_sql as O
 from .common import finish
 from .q_weather import series_indexed
@@ -97,14 +99,14 @@ def forecast_json(spark, sf_dir):
     return V.as_json(X.requests(spark, sf_dir), finish(records(spark, sf_dir, asked_horizon(spark, sf_dir))))
 
 
-@register("arima_forecast_records", f"""SELECT CAST(h AS BIGINT) AS h, strftime({O.ANCHOR} + h * INTERVAL 1 HOUR, '%Y-%-m-%-d %-H:%-M') AS "Fecha",
-       true AS sound FROM range({HORIZON}) t(h)""")
+_ARIMA_WEATHER = A.forecasts(HORIZON, source=f"{O.SERIES_LONG},\nts_idx AS (SELECT series, idx, y FROM series_idx)")
+
+
+@register("arima_forecast_records", f"""WITH RECURSIVE {_ARIMA_WEATHER}
+SELECT h - 1 AS h, strftime({O.ANCHOR} + (h - 1) * INTERVAL 1 HOUR, '%Y-%-m-%-d %-H:%-M') AS "Fecha",
+       round(max(CASE WHEN series = 'TEMP' THEN yhat END), 6) AS "Temperatura", round(max(CASE WHEN series = 'HUM' THEN yhat END), 6) AS "Humedad" FROM fc GROUP BY h""")
 def arima_forecast_records(spark, sf_dir):
     """End to end: weather join → complete rows → ARIMA order search per series
     (TEMP, HUM) → 24 forecast records with Fecha, Temperatura, Humedad."""
-    idx = series_indexed(spark, sf_dir).withColumnRenamed("DATE", "ts")
-    prep = T.prepare(idx.select("series", "idx", "y"))
-    models = T.arima_models(prep, T.select_order(T.fit_grid(prep)))
-    fc = T.forecast(models, HORIZON)
-    out = V.forecast_records(fc, X.latest_hour(spark, sf_dir), "TEMP", "HUM")
-    return out.select("h", "Fecha", (F.col("Temperatura").isNotNull() & F.col("Humedad").isNotNull()).alias("sound"))
+    models = S.models(S.summary(series_indexed(spark, sf_dir).select("series", "idx", "y")))
+    return finish(V.forecast_records(T.forecast(models, HORIZON), X.latest_hour(spark, sf_dir), "TEMP", "HUM"))
