@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import key_text
+from ..session import materialize, scratch_path
 from . import features as FE
 from . import metrics as M
 from . import sampling as S
@@ -119,25 +120,59 @@ def score(model: PipelineModel, spec: Spec, test: DataFrame, label: str) -> Data
     return scored.withColumn("score", positive_score(model, spec, scored)).withColumn("pred", pred)
 
 
-#: Partitions of a prepared training table, whatever the cluster: seeded
-#: bagging depends on them, so a model is the same everywhere.
-TRAIN_PARTITIONS = 32
+#: Partitions of a prepared training table: one for so many rows, and a least
+#: number.  Seeded bagging depends on them, so they follow from the row count alone,
+#: never from the cluster: a model is the same everywhere.
+TRAIN_ROWS, TRAIN_PARTITIONS = 1_000_000, 32
+
+
+def train_partitions(rows: int) -> int:
+    return max(TRAIN_PARTITIONS, -(-rows // TRAIN_ROWS))
 
 
 def prepare_input(df: DataFrame, feature_cols: Sequence[str], label: str, key: str,
-                  partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """Compact, cached ``(key, features, label)`` table that experiments hash,
     split and balance without re-reading the source.
 
-    Rows are dealt by the key's hash into a fixed number of partitions (raise
-    it for tables of many gigabytes) and sorted in each.
+    Rows are dealt by the key's hash into a number of partitions that follows from
+    their count (``train_partitions``), and sorted in each.
     """
+    if partitions is None:
+        partitions = train_partitions(df.select(key).count())
     compact = FE.assemble(df, feature_cols, "features").select(key, "features", label)
     out = compact.repartition(partitions, F.col(key)).sortWithinPartitions(key).cache()
     out.count()
     return out
 
 
+def _parts(df: DataFrame, spec: Spec, label: str, key: str, weights: Sequence[float]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The balanced rows, and their training and test parts."""
+    balanced = balance(df, spec, key, label)
+    if spec.balance_scope == "train" and spec.balance != "none":
+        base = balance(df, Spec(spec.algo, "none", seed=spec.seed), key, label)
+        train, test = S.split(base, F.col("_skey"), weights, spec.seed)
+        return balanced, balance(train.drop("_skey"), spec, key, label), test
+    return balanced, *S.split(balanced, F.col("_skey"), weights, spec.seed)
+
+
+def predictions(df: DataFrame, spec: Spec, feature_cols: Sequence[str], label: str = "label", key: str = "id",
+                weights: Sequence[float] = (0.7, 0.3)) -> DataFrame:
+    """``(key, label, pred, score)`` of an experiment's test rows (a copied row of
+    an oversampled test part appears as often as it was copied)."""
+    data = prepare_input(df, feature_cols, label, key)
+    balanced, train, test = _parts(data, spec, label, key, weights)
+    model = fit(spec, balanced, train, feature_cols, label)
+    out = materialize(score(model, spec, test, label).select(key, label, "pred", "score"), "predictions")
+    data.unpersist()
+    return out
+
+
+def confusion(scored: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
+    """``(label, pred, n)``: how often each label got each prediction."""
+    return scored.groupBy(F.col(label).cast("int").alias("label"), F.col(pred).cast("int").alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def run_experiment(df: DataFrame, spec: Spec, feature_cols: Sequence[str], label: str = "label",
                    key: str = "id", weights: Sequence[float] = (0.7, 0.3), prepared: bool = False) -> dict:
     """One experiment → one result record (metrics computed from one cached scoring).
@@ -146,13 +181,7 @@ def run_experiment(df: DataFrame, spec: Spec, feature_cols: Sequence[str], label
     prepares once for all its experiments)."""
     data = df if prepared else prepare_input(df, feature_cols, label, key)
     df = data
-    balanced = balance(df, spec, key, label)
-    if spec.balance_scope == "train" and spec.balance != "none":
-        base = balance(df, Spec(spec.algo, "none", seed=spec.seed), key, label)
-        train0, test = S.split(base, F.col("_skey"), weights, spec.seed)
-        train = balance(train0.drop("_skey"), spec, key, label)
-    else:
-        train, test = S.split(balanced, F.col("_skey"), weights, spec.seed)
+    balanced, train, test = _parts(df, spec, label, key, weights)
     train = train.cache()
     model = fit(spec, balanced, train, feature_cols, label)
     scored = score(model, spec, test, label).select("pred", "score", F.col(label).alias("_y")).cache()
@@ -205,6 +234,19 @@ def run_grid(spark: SparkSession, df: DataFrame, specs: Sequence[Spec], feature_
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
+def tree_nodes(model, feature_cols: Sequence[str]) -> DataFrame:
+    """``(node, feature, threshold, prediction, impurity)`` of a fitted tree, as its
+    stored form has them (``feature`` and ``threshold`` are null for leaves)."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, "tree")
+    model.write().save(path)
+    names = F.array(*[F.lit(c) for c in feature_cols])
+    nodes = spark.read.parquet(f"{path}/data")
+    inner = F.col("leftChild") >= 0
+    return nodes.select(F.col("id").alias("node"), F.when(inner, F.element_at(names, F.col("split.featureIndex") + 1)).alias("feature"),
+                        F.when(inner, F.element_at("split.leftCategoriesOrThreshold", 1)).alias("threshold"), "prediction", "impurity")
+
+
 def model_summary(model) -> dict:
     """Size facts of a fitted tree model or forest (what ``print(model)`` shows)."""
     trees = getattr(model, "trees", None)

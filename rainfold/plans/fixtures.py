@@ -149,3 +149,10 @@ def lbl_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PRICE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice"]
+
+
+def lbl_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ part with a label that a tree of two splits knows exactly:
+    ``l_discount >= 0.05 and l_tax < 0.04`` (11 and 9 distinct values)."""
+    rule = (F.col("l_discount") >= 0.05) & (F.col("PSSM_central_-1_S") < 0.04)
+    return lbl(spark, sf_dir).withColumn("label", rule.cast("int"))

@@ -194,6 +194,52 @@ def train_mlp(spark, sf_dir):
     return _checked(_one(spark, sf_dir, MLP))
 
 
+_RULE = "CAST(l_discount >= 0.05 AND \"PSSM_central_-1_S\" < 0.04 AS INTEGER)"
+_RULE_SQL = f"""{O.LBL},
+ruled AS (SELECT hkey, {_RULE} AS label FROM lbl),
+parts AS (SELECT *, {unit_hash_sql('hkey', TREE.seed)} >= 0.7 AS test FROM ruled)"""
+
+
+@register("tree_predictions", f"WITH {_RULE_SQL} SELECT hkey, label, CAST(label AS DOUBLE) AS pred FROM parts WHERE test")
+def tree_predictions(spark, sf_dir):
+    """Predictions of every test row by a tree whose training rows' label follows a
+    rule of two splits: what the rule says of rows that it never saw."""
+    return C.predictions(X.lbl_rule(spark, sf_dir), TREE, X.LBL_FEATURES, "label", "hkey").select("hkey", "label", "pred")
+
+
+_OVER_SQL = f"""{O.LBL},
+ruled AS (SELECT hkey, {_RULE} AS label FROM lbl),
+copies AS (SELECT label, hkey || ':' || CAST(copy AS VARCHAR) AS skey FROM ruled, range(1, 3) t(copy) WHERE copy = 1 OR label = 1)"""
+
+
+@register("tree_confusion_over", f"WITH {_OVER_SQL} SELECT label, label AS pred, count(*) AS n FROM copies WHERE {unit_hash_sql('skey', TREE.seed)} >= 0.7 GROUP BY label")
+def tree_confusion_over(spark, sf_dir):
+    """Confusion counts of the same rule after oversampling: copies of a row fall
+    on either side of the split."""
+    spec = C.Spec("tree", "over")
+    return C.confusion(C.predictions(X.lbl_rule(spark, sf_dir), spec, X.LBL_FEATURES, "label", "hkey"))
+
+
+def _between(column: str, cut: float) -> str:
+    """The middle of the two neighbouring values that a threshold parts, in thousandths."""
+    return f"CAST(round(500 * (max({column}) FILTER ({column} < {cut}) + min({column}) FILTER ({column} >= {cut}))) AS INTEGER)"
+
+
+@register("tree_rules", f"""WITH {O.LBL}
+SELECT 'split' AS kind, 'l_discount' AS feature, {_between('l_discount', 0.05)} AS n FROM lbl
+UNION ALL SELECT 'split', 'PSSM_central_-1_S', {_between('"PSSM_central_-1_S"', 0.04)} FROM lbl
+UNION ALL SELECT 'leaves', '', 3""")
+def tree_rules(spark, sf_dir):
+    """The splits of the fitted tree, thresholds in thousandths, and its leaves."""
+    df = C.prepare_input(X.lbl_rule(spark, sf_dir), X.LBL_FEATURES, "label", "hkey")
+    model = C.fit(TREE, df, df, X.LBL_FEATURES, "label")
+    nodes = C.tree_nodes(model.stages[-2], X.LBL_FEATURES)
+    splits = nodes.filter("feature IS NOT NULL").select(F.lit("split").alias("kind"), "feature", F.round(F.col("threshold") * 1000).cast("int").alias("n"))
+    leaves = nodes.filter("feature IS NULL").agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit("leaves").alias("kind"), F.lit("").alias("feature"), "n")
+    df.unpersist()
+    return splits.unionByName(leaves)
+
+
 def _fit_forest(spark, sf_dir):
     df = X.doc(spark, sf_dir)
     spec = C.Spec("forest", "none", num_trees=10)

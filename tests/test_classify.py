@@ -29,6 +29,18 @@ def test_oversample_scope_train_keeps_test_clean(spark):
     assert r["n_train"] == train.count() + positives  # each positive twice in the training part
 
 
+def test_training_partitions_follow_from_the_rows():
+    assert [C.train_partitions(n) for n in (0, 10**6, 32 * 10**6, 32 * 10**6 + 1, 10**12)] == [32, 32, 32, 33, 10**6]
+
+
+def test_confusion_gives_the_experiments_accuracy(spark):
+    df, spec = X.doc(spark, SF_SMALL), C.Spec("forest", "under", num_trees=5)
+    r = C.run_experiment(df, spec, X.DOC_FEATURES, "label", "doc_id")
+    scored = C.predictions(df, spec, X.DOC_FEATURES, "label", "doc_id")
+    n = {(x["label"], x["pred"]): x["n"] for x in C.confusion(scored).collect()}
+    assert sum(n.values()) == r["n_test"] and abs(sum(v for k, v in n.items() if k[0] == k[1]) / r["n_test"] - r["accuracy"]) < 1e-12
+
+
 def test_null_labels_raise_or_go_where_asked(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None)], "id int, label string")
     mapping = FE.label_index_table(df, "label")
