@@ -40,7 +40,7 @@ from .common import materialize, ship_package, slices, utf8
 LEAST_CHARS = 20
 LEAST_DOCS = 3
 #: Keys that a shard is laid out for, by the first batch.
-KEYS_PER_SHARD = 1 << 15
+KEYS_PER_SHARD = 1 << 12
 SLOTS = 4
 #: A filter is built anew when its keys fill more than this part of its slots.
 LOAD = 0.85
