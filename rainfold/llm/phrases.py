@@ -48,6 +48,8 @@ TOP = 2000
 BLOCK_BYTES = 16 << 20
 #: Word occurrences a merging task is laid out for.
 BUCKET_WORDS = 4 << 20
+#: Shares of a language whose best phrases are found apart first.
+SHARES = 64
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: A-Z to a-z, every break to a full stop, the other white space to a space.
@@ -282,7 +284,11 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
     packed = blocks(docs)
     words = vocabulary(packed, least)
     found = candidates(grams(packed, words, least), words)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = found.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # the best of each share of a language first, so that no task ranks all of one
+    salt = F.pmod(F.hash("phrase"), F.lit(SHARES))
+    for by in (["lang", salt], ["lang"]):
+        found = found.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= top)
+    best = found.withColumn("rank", F.col("rank").cast("long"))
     total = packed.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("n"))
     return best.join(total, F.col("lang") == F.col("_lang")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
