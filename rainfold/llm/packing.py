@@ -16,6 +16,7 @@ are taken in piece order, so reruns agree.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import itertools
 import zlib
@@ -45,7 +46,7 @@ PIECES = "doc_id {key}, piece long, start long, length long, ids_crc32 long, doc
 SIMPLE = regex.compile(r"[!-~\u00a1-\u012f\u0131-\u024f]+")
 #: What the pre-tokenizer splits words into (part of the tokenizer's definition).
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-ENDS = frozenset(".,;:!?|%&$#*")
+ENDS = frozenset(bytes([c]) for c in b".,;:!?|%&$#*")
 
 
 class Encoder:
@@ -66,44 +67,49 @@ class Encoder:
         ids = range(self.tokenizer.get_vocab_size())
         self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in ids])
         self.words: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn_runs(self, new: list[str]) -> None:
+    def learn_runs(self, new: list[bytes]) -> None:
         """Encode runs together; each ends with a word-end token."""
         for at in range(0, len(new), 1000):
             part = new[at:at + 1000]
-            ids = self.ids(" ".join(part))
-            edges = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()]
+            ids = self.ids(b" ".join(part).decode())
+            edges = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
             if len(edges) != len(part) + 1:
                 raise ValueError("the tokenizer doesn't end runs as expected")
             raw = ids.tobytes()
-            for r, a, b in zip(part, edges, edges[1:], strict=False):
-                self.runs[r] = raw[4 * a:4 * b]
+            self.runs.update(zip(part, [raw[a:b] for a, b in itertools.pairwise(edges)], strict=True))
 
     def learn(self, words: list[bytes]) -> None:
-        split = []
+        alone, ended, split = [], [], []
         for w in words:
-            s = w.decode()
-            if b"<|" in w or not SIMPLE.fullmatch(s):
-                self.words[w] = self.ids(s).tobytes()
-                continue
-            s = s.lower()
-            if s.isalpha():
-                split.append((w, [s]))
-            elif s[-1] in ENDS and s[:-1].isalpha():
-                split.append((w, [s[:-1], s[-1]]))
+            # bytes count as letters where they are ASCII
+            if w.isalpha():
+                alone.append((w, w.lower()))
+            elif w[-1:] in ENDS and w[:-1].isalpha():
+                ended.append((w, w[:-1].lower(), w[-1:]))
             else:
-                split.append((w, RUNS.findall(s)))
+                s = w.decode()
+                if b"<|" in w or not SIMPLE.fullmatch(s):
+                    self.words[w] = self.ids(s).tobytes()
+                else:
+                    split.append((w, [r.encode() for r in RUNS.findall(s.lower())]))
         runs = self.runs
-        self.learn_runs([r for r in {r for _, part in split for r in part} if r not in runs])
-        for w, part in split:
-            self.words[w] = runs[part[0]] if len(part) == 1 else b"".join([runs[r] for r in part])
+        wanted = {r for _, r in alone}
+        wanted.update(r for _, r, _ in ended)
+        wanted.update(e for _, _, e in ended)
+        wanted.update(r for _, part in split for r in part)
+        self.learn_runs([r for r in wanted if r not in runs])
+        self.words.update((w, runs[r]) for w, r in alone)
+        self.words.update((w, runs[r] + runs[e]) for w, r, e in ended)
+        self.words.update((w, b"".join([runs[r] for r in part])) for w, part in split)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        # the tokenizer lower-cases; in ASCII texts that can be done beforehand, but for its special tokens
+        split = [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         if len(self.runs) > CACHE_RUNS:
@@ -113,6 +119,16 @@ class Encoder:
         return [b"".join([known[w] for w in s]) for s in split]
 
 
+def _uncollected(batches):
+    """The batches, with Python's cycle collector off meanwhile: the dictionaries
+    hold bytes only, and looking through them again and again is a third of the time."""
+    gc.disable()
+    try:
+        yield from batches
+    finally:
+        gc.enable()
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -139,7 +155,7 @@ def tokenize(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
             _ENCODERS[tokenizer] = Encoder(tokenizer)
         encoder = _ENCODERS[tokenizer]
         number = TaskContext.get().partitionId() << 40
-        for rows in texts(batches, SPLIT_BYTES):
+        for rows in texts(_uncollected(batches), SPLIT_BYTES):
             out = []
             for (k, _), ids in zip(rows, encoder.encode([t for _, t in rows]), strict=True):
                 ids += end
