@@ -44,7 +44,7 @@ STRETCH = 256
 CHUNK = 1 << 20
 #: Rounds at most; a fit ends when a round gains, or the next can gain, less than this share.
 ROUNDS = 60
-GAIN = 1e-12
+GAIN = 1e-15
 
 CONTEXT = DEPTH + T.MAX_D
 FIT = ("series string, p int, q int, d int, mu double, trial array<double>, theta array<double>, lam double, rss double, start_rss double, "
@@ -290,7 +290,7 @@ def fit(blocks: DataFrame, start: DataFrame) -> DataFrame:
     theta = F.when(F.coalesce(usable, F.lit(False)), F.concat(F.array(F.coalesce("const", F.lit(0.0))), _padded("ar", T.MAX_P), _padded("ma", T.MAX_Q))).otherwise(
         F.array_repeat(F.lit(0.0), PARAMS))
     inf = F.lit(float("inf"))
-    first = start.select("series", "p", "q", "d", "mu", theta.alias("trial"), theta.alias("theta"), F.lit(1e-4).alias("lam"), inf.alias("rss"), inf.alias("start_rss"),
+    first = start.select("series", "p", "q", "d", "mu", theta.alias("trial"), theta.alias("theta"), F.lit(1e-6).alias("lam"), inf.alias("rss"), inf.alias("start_rss"),
                          F.array_repeat(F.lit(0.0), VALUES * VALUES).alias("products"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("active"))
     length = blocks.groupBy(F.col("series").alias("_series")).agg(F.max("block").alias("last_block"))
     fits = materialize(first.join(length, F.col("series").eqNullSafe(F.col("_series"))).drop("_series"), "css-fits")
