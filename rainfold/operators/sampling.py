@@ -114,3 +114,41 @@ def split(df: DataFrame, key: Column, weights: Sequence[float] = (0.7, 0.3), see
 def split_random(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 1234) -> list[DataFrame]:
     """Spark's ``randomSplit`` (depends on partitioning; kept for parity)."""
     return df.randomSplit(list(weights), seed)
+
+
+#: Bits of the key hash that a round of ``exact_sample`` refines; 60 bits in all.
+ROUND_BITS, HASH_BITS = 12, 60
+
+
+def sample_hash(key: str | Column, seed: int) -> Column:
+    """The first 60 bits of ``md5("<seed>:<key>")``."""
+    key = F.col(f"`{key}`") if isinstance(key, str) else key
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def exact_sample(df: DataFrame, key: str, k: int, seed: int = 1234) -> DataFrame:
+    """Exactly ``k`` rows (all, if there are fewer): those of the smallest key
+    hashes, equal hashes in the order of their keys, equal keys either.
+
+    The k-th smallest hash is found in five rounds of counts, each over the bucket
+    that the last one narrowed it down to, so 4,096 counts a round are all that
+    reaches the driver; the same rows come out of any partitioning.  A null key is
+    taken after all others.
+    """
+    if k < 0:
+        raise ValueError("k must not be negative")
+    limit = 1 << HASH_BITS
+    rows = df.withColumn("_hash", F.coalesce(sample_hash(key, seed), F.lit(limit - 1)))
+    low, left = 0, k
+    for shift in range(HASH_BITS - ROUND_BITS, -1, -ROUND_BITS):
+        inside = rows.filter(F.col("_hash").between(low, low + (1 << (shift + ROUND_BITS)) - 1))
+        counts = inside.groupBy(F.shiftright("_hash", shift).alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()
+        for b, n in counts:
+            if left < n:
+                low = b << shift
+                break
+            left -= n
+        else:
+            return df  # fewer rows than asked for, or exactly as many
+    ties = rows.filter(F.col("_hash") == low).orderBy(F.asc_nulls_last(f"`{key}`")).limit(left)
+    return rows.filter(F.col("_hash") < low).unionByName(ties).drop("_hash")

@@ -99,3 +99,13 @@ def split_random(spark, sf_dir):
     counted = both.agg(F.sum("n").alias("n"), F.sum(F.greatest(F.coalesce("m", F.lit(0)) - F.coalesce("n", F.lit(0)), F.lit(0))).cast("int").alias("missing"),
                        F.sum(F.greatest(F.coalesce("n", F.lit(0)) - F.coalesce("m", F.lit(0)), F.lit(0))).cast("int").alias("repeats"), F.sum("test").alias("test"))
     return counted.select("n", "missing", "repeats", (F.abs(F.col("test") - 0.3 * F.col("n")) <= 5 * F.sqrt(0.21 * F.col("n")) + 1).alias("share_fits"))
+
+
+SAMPLED = 5000
+
+
+@register("sample_exact", f"""WITH {O.LBL}
+SELECT hkey, label FROM lbl ORDER BY ('0x' || substr(md5('77:' || hkey), 1, 15))::BIGINT, hkey LIMIT {SAMPLED}""")
+def sample_exact(spark, sf_dir):
+    """Exactly 5,000 rows of the labelled table by their keys' hashes."""
+    return S.exact_sample(X.lbl(spark, sf_dir).select("hkey", "label"), "hkey", SAMPLED, 77)

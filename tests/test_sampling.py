@@ -55,3 +55,17 @@ def test_random_undersampling_keeps_every_class_in_play(spark):
 def test_oversample_rejects_no_copies(spark):
     with pytest.raises(ValueError):
         S.oversample(spark.range(3).withColumn("label", F.lit(1)), k=0)
+
+
+def test_exact_sample_has_exactly_k_rows_whatever_the_partitions(spark):
+    import hashlib
+
+    from rainfold.operators import sampling as S
+
+    keys = [f"k{i % 700}" for i in range(1000)] + [None] * 5
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, n int")
+    order = sorted(keys, key=lambda k: (2**60 - 1, "~") if k is None else (int(hashlib.md5(f"7:{k}".encode()).hexdigest()[:15], 16), k))
+    for k in (0, 1, 2, 499, 1000, 1003, 1005, 9999):
+        for parts in (1, 7):
+            got = [r["key"] for r in S.exact_sample(df.repartition(parts), "key", k, 7).collect()]
+            assert sorted(got, key=str) == sorted(order[:k], key=str), k
