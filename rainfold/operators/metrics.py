@@ -11,6 +11,7 @@ offsets, so no single task holds all scores.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -80,7 +81,7 @@ def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], n_buckets
     n_buckets = _buckets(df, n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.select(F.percentile_approx(order_col, probs, 10000).alias("b")).first()["b"] or []
-    splits = [float("-inf"), *(sorted(set(float(b) for b in bounds)) or [0.0]), float("inf")]
+    splits = [float("-inf"), *(sorted(set(float(b) for b in bounds if math.isfinite(b))) or [0.0]), float("inf")]
     b = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bucket", handleInvalid="keep").transform(df)
     totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     w_prev = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

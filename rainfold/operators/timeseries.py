@@ -413,7 +413,7 @@ def arima_models(prepared: DataFrame, chosen: DataFrame) -> DataFrame:
 # forecasting fold
 # --------------------------------------------------------------------------
 
-def _dot(coefs: Column, hist: Column) -> Column:
+def dot(coefs: Column, hist: Column) -> Column:
     pairs = F.zip_with(coefs, F.slice(hist, 1, F.size(coefs)), lambda a, b: a * F.coalesce(b, F.lit(0.0)))
     return F.aggregate(pairs, F.lit(0.0), lambda acc, v: acc + v)
 
@@ -421,6 +421,24 @@ def _dot(coefs: Column, hist: Column) -> Column:
 OUT_TYPE = "array<struct<h:int,yhat:double,se:double>>"
 
 
+def fold(models: DataFrame, init: Column, step, horizon: int, out_type: str) -> tuple[DataFrame, Column]:
+    """Fold ``step`` over 1..horizon from ``init`` in every row; the rows, and the
+    records that the steps put into ``out``.
+
+    Steps are folded a block at a time, so that the growing list of records
+    that every step copies stays short.
+    """
+    block = max(FOLD_STEPS, math.isqrt(horizon))
+    rows, state, outs = models.withColumn("_state", init), "_state", []
+    for a in range(1, horizon + 1, block):
+        steps = F.sequence(F.lit(a), F.lit(min(a + block - 1, horizon)))
+        start = F.col(state).withField("out", F.array().cast(out_type))
+        rows = rows.withColumn(f"_s{a}", F.aggregate(steps, start, step))
+        state = f"_s{a}"
+        outs.append(F.col(f"{state}.out"))
+    return rows, F.concat(*outs)
+
+
 def forecast(models: DataFrame, horizon: int, level: float = 0.95, key: str = "series") -> DataFrame:
     """``(key, h, yhat, se, lo, hi)`` for h = 1..horizon from each model row.
 
@@ -440,12 +458,12 @@ def forecast(models: DataFrame, horizon: int, level: float = 0.95, key: str = "s
     d = F.col("d")
 
     def step(acc, h):
-        zc = F.col("const") + _dot(F.col("ar"), acc["zs"]) + _dot(F.col("ma"), acc["es"])
+        zc = F.col("const") + dot(F.col("ar"), acc["zs"]) + dot(F.col("ma"), acc["es"])
         z = zc + F.col("mu")
         dv = F.when(d == 2, acc["dv"] + z).otherwise(acc["dv"])
         yhat = F.when(d == 0, z).when(d == 1, acc["lv"] + z).otherwise(acc["lv"] + dv)
         theta_j = F.coalesce(F.try_element_at(F.col("ma"), (h - 1).cast("int")), F.lit(0.0))
-        psi = F.when(h == 1, F.lit(1.0)).otherwise(theta_j + _dot(F.col("ar"), acc["psis"]))
+        psi = F.when(h == 1, F.lit(1.0)).otherwise(theta_j + dot(F.col("ar"), acc["psis"]))
         c1 = acc["c1"] + psi
         c2 = acc["c2"] + c1
         pstar = F.when(d == 0, psi).when(d == 1, c1).otherwise(c2)
@@ -460,16 +478,7 @@ def forecast(models: DataFrame, horizon: int, level: float = 0.95, key: str = "s
             c1.alias("c1"), c2.alias("c2"), ss.alias("ss"),
             F.concat(acc["out"], F.array(rec)).alias("out"))
 
-    # Steps are folded a block at a time, so that the growing list of records
-    # that every step copies stays short.
-    block = max(FOLD_STEPS, math.isqrt(horizon))
-    rows, state, outs = models.withColumn("_state", init), "_state", []
-    for a in range(1, horizon + 1, block):
-        steps = F.sequence(F.lit(a), F.lit(min(a + block - 1, horizon)))
-        start = F.col(state).withField("out", F.array().cast(OUT_TYPE))
-        rows = rows.withColumn(f"_s{a}", F.aggregate(steps, start, step))
-        state = f"_s{a}"
-        outs.append(F.col(f"{state}.out"))
-    return rows.select(key, F.inline(F.concat(*outs))).select(
+    rows, outs = fold(models, init, step, horizon, OUT_TYPE)
+    return rows.select(key, F.inline(outs)).select(
         key, F.col("h").cast("long").alias("h"), "yhat", "se",
         (F.col("yhat") - zq * F.col("se")).alias("lo"), (F.col("yhat") + zq * F.col("se")).alias("hi"))

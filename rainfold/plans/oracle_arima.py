@@ -9,6 +9,7 @@ the choice of the order and the forecasts follow from that by value.
 
 from __future__ import annotations
 
+from ..functions.hashing import unit_hash_sql
 from ..operators import timeseries as T
 from . import oracle_sql as O
 
@@ -120,16 +121,17 @@ UNIT_ROOT = ",\n".join([O.TS_SERIES, *_adf()])
 FITS = fits(O.TS_SERIES)
 
 
-def _forecasts(models: str, horizon: int) -> str:
-    """``fc(series, h, yhat, se)`` by stepping the equation of ``models``."""
+def _forecasts(models: str, horizon: int, shock: str = "0") -> str:
+    """``fc(series, h, yhat, se)`` by stepping the equation of ``models``; ``shock``
+    is a step's residual."""
     c = lambda x: f"coalesce({x}, 0)"
-    zc = "const + " + " + ".join(f"{c(f'a{i}')} * s{i}" for i in (1, 2, 3)) + " + " + " + ".join(f"{c(f'b{i}')} * t{i}" for i in (1, 2, 3))
+    zc = "const + " + " + ".join(f"{c(f'a{i}')} * s{i}" for i in (1, 2, 3)) + " + " + " + ".join(f"{c(f'b{i}')} * t{i}" for i in (1, 2, 3)) + f" + {shock}"
     psi = "CASE WHEN h = 0 THEN 1 ELSE coalesce(CASE h WHEN 1 THEN b1 WHEN 2 THEN b2 WHEN 3 THEN b3 END, 0) + " + " + ".join(f"{c(f'a{i}')} * p{i}" for i in (1, 2, 3)) + " END"
     return f"""ahead AS (
   SELECT m.*, CAST(0 AS BIGINT) AS h, CAST(0 AS DOUBLE) AS p1, CAST(0 AS DOUBLE) AS p2, CAST(0 AS DOUBLE) AS p3, CAST(0 AS DOUBLE) AS c1, CAST(0 AS DOUBLE) AS c2,
          CAST(0 AS DOUBLE) AS ss, y_last AS lv, dy_last AS dv FROM {models} m
   UNION ALL
-  SELECT * REPLACE (h + 1 AS h, {zc} AS s1, s1 AS s2, s2 AS s3, 0 AS t1, t1 AS t2, t2 AS t3, {psi} AS p1, p1 AS p2, p2 AS p3,
+  SELECT * REPLACE (h + 1 AS h, {zc} AS s1, s1 AS s2, s2 AS s3, {shock} AS t1, t1 AS t2, t2 AS t3, {psi} AS p1, p1 AS p2, p2 AS p3,
     c1 + {psi} AS c1, c2 + c1 + {psi} AS c2,
     ss + pow(CASE d WHEN 0 THEN {psi} WHEN 1 THEN c1 + {psi} ELSE c2 + c1 + {psi} END, 2) AS ss,
     CASE d WHEN 0 THEN {zc} + mu WHEN 1 THEN lv + {zc} + mu ELSE lv + dv + {zc} + mu END AS lv, CASE d WHEN 2 THEN dv + {zc} + mu ELSE dv END AS dv)
@@ -143,6 +145,15 @@ def forecasts(horizon: int, models: str = "best", source: str = O.TS_SERIES) ->
     return f"{fits(source)},\n{_forecasts(models, horizon)}"
 
 
+def simulated(horizon: int, n_paths: int, seed: int) -> str:
+    """Paths of the chosen models with hashed normal shocks, ``ahead(series, path, h, lv)``."""
+    u = [unit_hash_sql(f"series || ':' || path || ':' || (h + 1) || ':{i}'", seed) for i in (1, 2)]
+    shock = f"sqrt(coalesce(sigma2, 0)) * sqrt(-2 * ln(1 - {u[0]})) * cos(2 * pi() * {u[1]})"
+    return f"""{FITS},
+every AS (SELECT b.*, CAST(r.i AS BIGINT) AS path FROM best b, range(1, {n_paths + 1}) r(i)),
+{_forecasts("every", horizon, shock)}"""
+
+
 #: From each order the best of itself and its neighbours, followed until none moves.
 STEPWISE = f"""{FITS},
 usable AS (SELECT series, p, q, CASE WHEN ok THEN aic ELSE 'Infinity'::DOUBLE END AS score FROM grid),

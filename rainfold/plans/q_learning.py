@@ -15,6 +15,7 @@ from ..functions.hashing import unit_hash_sql
 from ..operators import classify as C
 from ..operators import features as FE
 from ..operators import metrics as M
+from ..operators import rocsketch as K
 from ..session import scratch_path
 from . import fixtures as X
 from . import oracle_sql as O
@@ -83,6 +84,48 @@ def metric_roc_points(spark, sf_dir):
     return finish(M.roc_points(rule_scored(spark, sf_dir), "score", "label"))
 
 
+_SKETCH = f"""{RULE_SQL},
+sk AS (
+  SELECT CAST(floor(score * 64) + 1 AS BIGINT) AS bucket, CAST(sum(pos) AS BIGINT) AS pos, CAST(sum(neg) AS BIGINT) AS neg, min(score) AS low, max(score) AS high
+  FROM c GROUP BY 1
+),
+sums AS (
+  SELECT *, sum(pos) OVER (ORDER BY bucket DESC) AS tp, sum(neg) OVER (ORDER BY bucket DESC) AS fp,
+         sum(pos) OVER () AS p_all, sum(neg) OVER () AS n_all, sum(neg) OVER (ORDER BY bucket) AS upto FROM sk
+)"""
+
+
+@register("metric_roc_sketch", f"""WITH {_SKETCH}
+SELECT bucket, pos, neg, round(low, 6) AS low, round(high, 6) AS high, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       round(tp / p_all, 6) AS tpr, round(fp / n_all, 6) AS fpr FROM sums""")
+def metric_roc_sketch(spark, sf_dir):
+    """ROC points of a sketch over fixed edges, merged from two halves of the rows."""
+    rows = rule_scored(spark, sf_dir)
+    edges = [i / 64 for i in range(65)]
+    halves = [K.sketch(rows.filter(F.pmod("doc_id", F.lit(2)) == i), edges) for i in range(2)]
+    return finish(K.points(K.merge(*halves)).drop("threshold"))
+
+
+@register("metric_auc_sketch", f"""WITH {_SKETCH}
+SELECT round(sum(pos * (upto - neg + neg / 2.0)) / max(p_all * n_all), 6) AS auc,
+       round(sum(CASE WHEN low < high THEN pos * neg / 2.0 ELSE 0 END) / max(p_all * n_all), 6) AS error,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM sums""")
+def metric_auc_sketch(spark, sf_dir):
+    """Area and stated error of a sketch over fixed edges."""
+    return finish(K.auc(K.sketch(rule_scored(spark, sf_dir), [i / 64 for i in range(65)])))
+
+
+@register("metric_auc_bounded", f"""WITH {RULE_SQL}
+SELECT round(sum(pos * (cum_neg - neg + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc, true AS within, true AS small FROM c""")
+def metric_auc_bounded(spark, sf_dir):
+    """The exact area, next to whether a sketch with edges found for an error of
+    0.01 is as near as it says and as was asked."""
+    rows = rule_scored(spark, sf_dir)
+    near = K.auc(K.sketch(rows, K.bounds(rows, 0.01))).select(F.struct("auc", "error").alias("near"))
+    exact = M.auc_scores(rows, "score", "label").withColumn("near", near.scalar())
+    return finish(exact.select("auc", (F.abs(F.col("auc") - F.col("near.auc")) <= F.col("near.error") + 1e-12).alias("within"), (F.col("near.error") <= 0.01).alias("small")))
+
+
 _F = ", ".join(f'round("{c}", 6) AS f{i}' for i, c in enumerate(X.LBL_FEATURES))
 
 

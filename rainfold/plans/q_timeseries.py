@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import css as CS
 from ..operators import lagsums as S
 from ..operators import relational as R
+from ..operators import simulate as SIM
 from ..operators import stepwise as W
 from ..operators import timeseries as T
 from ..session import materialize
@@ -250,6 +251,17 @@ def forecast_interval(spark, sf_dir):
     return finish(T.forecast(selected_models(spark, sf_dir), HORIZON, 0.95))
 
 
+SIM_PATHS, SIM_SEED = 200, 7
+
+
+@register("forecast_simulated", f"""WITH RECURSIVE {A.simulated(HORIZON, SIM_PATHS, SIM_SEED)}
+SELECT series, h, round(quantile_disc(lv, 0.5), 6) AS median, round(quantile_disc(lv, 0.05), 6) AS lo, round(quantile_disc(lv, 0.95), 6) AS hi, count(*) AS n
+FROM ahead WHERE h > 0 GROUP BY series, h""")
+def forecast_simulated(spark, sf_dir):
+    """90 % intervals from simulated paths of each series' selected model."""
+    return finish(SIM.intervals(selected_models(spark, sf_dir), HORIZON, 0.9, SIM_PATHS, SIM_SEED))
+
+
 @register("arima_model_roundtrip", f"WITH RECURSIVE {A.forecasts(HORIZON)} SELECT series, h, round(yhat, 6) AS yhat, true AS same FROM fc")
 def arima_model_roundtrip(spark, sf_dir):
     """Store the selected models, load them back and forecast 24 steps from the
