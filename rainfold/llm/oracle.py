@@ -59,14 +59,21 @@ def rules_sql() -> str:
         "repeat_share": "n_repeat_words / greatest(n_words, 1)", "upper_share": "upper_chars / greatest(word_chars, 1)",
         "mean_word": "word_chars / greatest(n_words, 1)",
     }
-    quart = ", ".join(f"quantile_disc({m}, [0.25, 0.5, 0.75]) AS {m}" for m in shares)
-    level = lambda m: f"CASE WHEN g.n >= {rules.GROUP_ROWS} THEN g.{m} WHEN l.n >= {rules.GROUP_ROWS} THEN l.{m} ELSE a.{m} END"
+    some = lambda m: f" FILTER (WHERE {m} > 0)" if m in rules.SPARSE else ""
+    quart = ", ".join(f"quantile_disc({m}, [0.25, 0.5, 0.75]){some(m)} AS {m}, count(*){some(m)} AS {m}_n" for m in shares)
+
+    def level(m, part):
+        of = {"mid": "{}[2]", "up": "({0}[3] - {0}[2])", "down": "({0}[2] - {0}[1])"}[part]
+        value = of.format(f"a.{m}")
+        for t in "lg":
+            value = f"coalesce(({t}.{m}_n * {of.format(f'{t}.{m}')} + {rules.PRIOR} * {value}) / ({t}.{m}_n + {rules.PRIOR}), {value})"
+        return value
+
     bad = []
     for m, (high, low) in rules.MEASURES.items():
-        q = f"({level(m)})"
-        bad.append(f"CASE WHEN x.{m} > {q}[2] + {rules.FENCE} * greatest({q}[3] - {q}[2], {high}) THEN '{m}_high' END")
+        bad.append(f"CASE WHEN x.{m} > {level(m, 'mid')} + {rules.FENCE}::DOUBLE * greatest({level(m, 'up')}, {high}::DOUBLE) THEN '{m}_high' END")
         if low is not None:
-            bad.append(f"CASE WHEN x.{m} < {q}[2] - {rules.FENCE} * greatest({q}[2] - {q}[1], {low}) / 2 THEN '{m}_low' END")
+            bad.append(f"CASE WHEN x.{m} < {level(m, 'mid')} - {rules.FENCE}::DOUBLE * greatest({level(m, 'down')}, {low}::DOUBLE) THEN '{m}_low' END")
     return f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '{WORD}') AS w FROM t),
@@ -80,8 +87,8 @@ m AS (
   FROM t JOIN w USING (r) LEFT JOIN cov USING (r)),
 n AS (SELECT *, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines FROM m),
 x AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in shares.items())} FROM n),
-g AS (SELECT lang, source, count(*) AS n, {quart} FROM x GROUP BY lang, source),
-l AS (SELECT lang, count(*) AS n, {quart} FROM x GROUP BY lang),
+g AS (SELECT lang, source, {quart} FROM x GROUP BY lang, source),
+l AS (SELECT lang, {quart} FROM x GROUP BY lang),
 a AS (SELECT {quart} FROM x),
 j AS (
   SELECT x.*, (n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words) AS base_failed, concat_ws(',', {', '.join(bad)}) AS failed

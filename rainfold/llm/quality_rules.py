@@ -3,10 +3,13 @@
 Every text is measured; each measure's distribution is summarised per language
 and source in mergeable quantile sketches (``percentile_approx``, built per
 task and merged after the shuffle), and a document is rejected where a measure
-lies beyond its group's fence: ``FENCE`` spreads above the median (or below,
-for words' length), where a spread is the distance from the median to the
-upper (lower) quartile, at least ``LEAST`` of the measure.  Groups with fewer than
-``GROUP_ROWS`` documents use their language's, then the whole table's sketch.
+lies beyond its group's fence: ``FENCE`` spreads above the median (or
+below, for words' length), where a spread is the distance from the median to the
+upper (lower) quartile.  Measures that are zero in most clean documents
+(``SPARSE``) take both from the group's non-zero values.  Medians and spreads are
+shrunk by row count: a group's count as much as its rows against ``PRIOR`` rows of
+its language's, and those against ``PRIOR`` rows of the whole table's.  ``LEAST``
+guards against spreads of (nearly) zero only.
 
 The two base rules (too few words, too much repetition) always hold.
 
@@ -28,17 +31,19 @@ SYMBOLS = "#*$%&|<>"
 WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-FENCE = 6.0
-GROUP_ROWS = 100
-ACCURACY = 1000
+FENCE = 10.0
+PRIOR = 50
+ACCURACY = 10_000
 #: Measures and the smallest spread that counts, per side (None: no fence there).
 MEASURES = {
-    "symbol_share": (0.01, None),
-    "dup_line_share": (0.10, None),
-    "repeat_share": (0.05, None),
-    "upper_share": (0.05, None),
-    "mean_word": (0.75, 0.75),
+    "symbol_share": (0.005, None),
+    "dup_line_share": (0.005, None),
+    "repeat_share": (0.005, None),
+    "upper_share": (0.0005, None),
+    "mean_word": (0.02, 0.02),
 }
+#: Measures whose non-zero values make the fence.
+SPARSE = ("dup_line_share", "repeat_share")
 
 
 def _windows(words: Column, n: Column) -> Column:
@@ -89,38 +94,50 @@ def shares(df: DataFrame) -> DataFrame:
     })
 
 
-def fences(measured: DataFrame, groups: list[str], prefix: str) -> DataFrame:
-    """One row per group: its count and each measure's lower and upper fence."""
-    aggs = [F.count(F.lit(1)).alias(f"{prefix}_n")]
+def summaries(measured: DataFrame, groups: list[str], prefix: str) -> DataFrame:
+    """One row per group: each measure's median, spreads to the upper and lower
+    quartile, and the number of values that they come from."""
+    aggs = []
     for m in MEASURES:
-        aggs.append(F.percentile_approx(m, [0.25, 0.5, 0.75], ACCURACY).alias(m))
+        value = F.when(F.col(m) > 0, F.col(m)) if m in SPARSE else F.col(m)
+        aggs += [F.percentile_approx(value, [0.25, 0.5, 0.75], ACCURACY).alias(m), F.count(value).alias(f"{m}_n")]
     rows = measured.groupBy(*groups).agg(*aggs) if groups else measured.agg(*aggs)
-    out = [F.col(g).alias(f"{prefix}_{g}") for g in groups] + [F.col(f"{prefix}_n")]
-    for m, (high, low) in MEASURES.items():
+    out = [F.col(g).alias(f"{prefix}_{g}") for g in groups]
+    for m in MEASURES:
         q = [F.col(m)[i] for i in range(3)]
-        out.append((q[1] + FENCE * F.greatest(q[2] - q[1], F.lit(high))).alias(f"{prefix}_{m}_high"))
-        if low is not None:
-            out.append((q[1] - FENCE * F.greatest(q[1] - q[0], F.lit(low)) / 2).alias(f"{prefix}_{m}_low"))
+        out.append(F.struct(F.col(f"{m}_n").alias("n"), q[1].alias("mid"), (q[2] - q[1]).alias("up"), (q[1] - q[0]).alias("down")).alias(f"{prefix}_{m}"))
     return rows.select(*out)
 
 
+def shrunk(level: Column, part: str, parent: Column) -> Column:
+    """A level's value, weighed by its rows against PRIOR rows of its parent's."""
+    return F.coalesce((level["n"] * level[part] + PRIOR * parent) / (level["n"] + PRIOR), parent)
+
+
+def fences(measured: DataFrame) -> DataFrame:
+    """One row per language and source (g_lang, g_source): every measure's fences."""
+    by_group, by_lang, overall = summaries(measured, ["lang", "source"], "g"), summaries(measured, ["lang"], "l"), summaries(measured, [], "a")
+    levels = by_group.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")))
+    levels = levels.withColumn("_all", overall.select(F.struct(*overall.columns).alias("all")).scalar())
+    out = [F.col("g_lang"), F.col("g_source")]
+    for m, (high, low) in MEASURES.items():
+        mid, up, down = (shrunk(F.col(f"g_{m}"), x, shrunk(F.col(f"l_{m}"), x, F.col("_all")[f"a_{m}"][x])) for x in ("mid", "up", "down"))
+        out.append((mid + FENCE * F.greatest(up, F.lit(high))).alias(f"{m}_high"))
+        if low is not None:
+            out.append((mid - FENCE * F.greatest(down, F.lit(low))).alias(f"{m}_low"))
+    return levels.select(*out)
+
+
 def judge(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """Per document: doc_id, the measures, base_failed, failed (the measures
     beyond their fences, comma-joined), kept."""
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
     measured = materialize(shares(measure(rows)).drop("text"), "measures")
-    by_group, by_lang, overall = fences(measured, ["lang", "source"], "g"), fences(measured, ["lang"], "l"), fences(measured, [], "a")
-    limits = by_group.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")))
-    limits = limits.withColumn("_all", overall.select(F.struct(*overall.columns).alias("all")).scalar())
-    chosen = [F.col("g_lang"), F.col("g_source")]
-    beyond = []
+    limits, beyond = fences(measured), []
     for m, (_, low) in MEASURES.items():
-        for side in ("high", "low") if low is not None else ("high",):
-            limit = F.when(F.col("g_n") >= GROUP_ROWS, F.col(f"g_{m}_{side}")).when(F.col("l_n") >= GROUP_ROWS, F.col(f"l_{m}_{side}")).otherwise(F.col("_all")[f"a_{m}_{side}"])
-            chosen.append(limit.alias(f"{m}_{side}"))
-            past = F.col(m) > F.col(f"{m}_{side}") if side == "high" else F.col(m) < F.col(f"{m}_{side}")
-            beyond.append(F.when(past, F.lit(f"{m}_{side}")))
-    limits = limits.select(*chosen)
+        beyond.append(F.when(F.col(m) > F.col(f"{m}_high"), F.lit(f"{m}_high")))
+        if low is not None:
+            beyond.append(F.when(F.col(m) < F.col(f"{m}_low"), F.lit(f"{m}_low")))
     judged = measured.join(limits, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     judged = judged.withColumns({"base_failed": base_failed, "failed": F.concat_ws(",", *beyond)})

@@ -52,7 +52,7 @@ def mixed(spark):
     return rows, Q.judge(documents(spark, rows)).toPandas()
 
 
-def test_thresholds_are_quantiles_of_group_language_or_table(mixed):
+def test_thresholds_are_shrunk_quantiles_of_group_language_and_table(mixed):
     rows, got = mixed
     share, groups = {}, defaultdict(list)
     for i, t, lang, source in rows:
@@ -61,16 +61,32 @@ def test_thresholds_are_quantiles_of_group_language_or_table(mixed):
                     "repeat_share": m["n_repeat_words"] / m["n_words"], "upper_share": m["upper"] / m["word_chars"], "mean_word": m["word_chars"] / m["n_words"]}
         for g in ((lang, source), lang, None):
             groups[g].append(i)
-    quart = lambda g, m, q: sorted(share[i][m] for i in groups[g])[max(math.ceil(q * len(groups[g])) - 1, 0)]
-    verdict = {}
+
+    def summary(g, m):
+        x = sorted(share[i][m] for i in groups[g] if m not in Q.SPARSE or share[i][m] > 0)
+        if not x:
+            return 0, None
+        a, b, c = (x[max(math.ceil(q * len(x)) - 1, 0)] for q in (0.25, 0.5, 0.75))
+        return len(x), {"mid": b, "up": c - b, "down": b - a}
+
+    def shrunk(lang, source, m, part):
+        value = None
+        for g in (None, lang, (lang, source)):
+            n, s = summary(g, m)
+            if s is not None:
+                value = s[part] if g is None else (n * s[part] + Q.PRIOR * value) / (n + Q.PRIOR)
+        return value
+
+    verdict, known = {}, {}
     for i, _, lang, source in rows:
-        g = next(g for g in ((lang, source), lang, None) if len(groups[g]) >= Q.GROUP_ROWS or g is None)
         bad = []
         for m, (high, low) in Q.MEASURES.items():
-            a, b, c = (quart(g, m, q) for q in (0.25, 0.5, 0.75))
-            if share[i][m] > b + Q.FENCE * max(c - b, high):
+            if (lang, source, m) not in known:
+                known[lang, source, m] = [shrunk(lang, source, m, part) for part in ("mid", "up", "down")]
+            mid, up, down = known[lang, source, m]
+            if mid is not None and share[i][m] > mid + Q.FENCE * max(up, high):
                 bad.append(f"{m}_high")
-            if low is not None and share[i][m] < b - Q.FENCE * max(b - a, low) / 2:
+            if mid is not None and low is not None and share[i][m] < mid - Q.FENCE * max(down, low):
                 bad.append(f"{m}_low")
         verdict[i] = ",".join(bad)
     assert dict(zip(got.doc_id, got.failed, strict=True)) == verdict
@@ -83,6 +99,22 @@ def test_junk_goes_and_prose_stays(mixed):
     assert got[~junk & ~got.base_failed].kept.mean() > 0.99
 
 
+def test_fences_differ_between_groups_and_come_from_their_rows(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(800):
+        # one source writes in capitals now and then, the other hardly
+        words = prose(rng, 100).split()
+        share = rng.uniform(0, 0.3) if i % 2 else rng.uniform(0, 0.05)
+        rows.append((i, " ".join(w.upper() if rng.random() < share else w for w in words), "en", f"s{i % 2}"))
+    rows += [(1000 + j, " ".join(w.upper() if k % 2 else w for k, w in enumerate(prose(rng, 100).split())), "en", f"s{j}") for j in range(2)]
+    docs = documents(spark, rows)
+    limits = {r["g_source"]: r["upper_share_high"] for r in Q.fences(Q.shares(Q.measure(docs))).collect()}
+    assert limits["s1"] > 2 * limits["s0"]
+    kept = {r["doc_id"]: r["kept"] for r in Q.judge(docs).collect()}
+    assert (kept[1000], kept[1001]) == (False, True)
+
+
 def test_only_dataframe_functions(spark):
     plan = Q.measure(documents(spark, awkward_rows()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
