@@ -7,12 +7,15 @@ characters and their surroundings: a character embedding, one layer of learned
 filters, max-pooling over the candidate and over its context apart, and a
 logistic unit.
 
-Fit: labelled findings of the whole corpus, base findings as positive and the
-other candidates as negative, thinned by a seeded hash to about
-``TRAIN_ROWS`` of each (a documented bound).  A quarter of them is held back: on
-it the score is calibrated (Platt scaling) and the threshold set, the highest
-at which every kind of base finding keeps a recall of ``RECALL``, 0.5 at least.
-Candidates above it are added as kind ``net``.
+Fit: all findings of the corpus, base findings as positive and the other
+candidates as negative, equal ones once; classes weigh the same.  Three quarters
+train, in parts of about ``PART_ROWS`` dealt by a seeded hash: every round each
+part goes on from the common parameters over all its rows, and what the parts
+learned is averaged.  On the last quarter the score is calibrated (Platt scaling
+by sums over its rows) and the threshold set, the highest at which every kind
+of base finding keeps a recall of ``RECALL``, 0.5 at least; its order statistics
+are exact.  Candidates above it are added as kind ``net``.  Only parameters, sums
+and bucket counts come to the driver.
 
 Edge cases: a null text is empty and has no spans; without positives or without
 negatives nothing is added; null ids and repeated rows are scanned like any
@@ -21,7 +24,10 @@ other; long texts are scanned whole; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
+import operator
 import re
 from dataclasses import dataclass
 
@@ -47,7 +53,8 @@ WIDTH, EMBED, FILTERS = 5, 8, 24
 EPOCHS, RATE, BATCH = 12, 0.01, 64
 #: Steps at least, so that a small corpus is learned as well.
 STEPS = 400
-TRAIN_ROWS = 3000
+#: Training rows of a part, about.
+PART_ROWS = 4096
 RECALL = 0.98
 SEED = 2
 
@@ -133,23 +140,38 @@ class Scanner:
         """Calibrated probabilities that the windows hold secrets."""
         return _sigmoid(self.slope * self.logits(as_matrix(windows)) + self.shift)
 
-    def fit(self, x: np.ndarray, y: np.ndarray, seed: int = SEED) -> None:
+    def params(self) -> list[np.ndarray]:
+        return [self.embed, self.filters, self.bias, self.out, self.out_bias]
+
+    def state(self) -> np.ndarray:
+        """What training starts from: parameters, Adam's moments, steps made."""
+        flat = np.concatenate([w.ravel() for w in self.params()])
+        return np.concatenate([flat, np.zeros(2 * len(flat) + 1)])
+
+    def load(self, state: np.ndarray) -> list[list[np.ndarray]]:
+        """Take over a state's parameters; its moments, in their shapes."""
+        sizes = [w.size for w in self.params()]
+        cut = np.split(state[:-1], np.cumsum(3 * sizes)[:-1])  # three lists in a row
+        for w, part in zip(self.params(), cut, strict=False):
+            w[...] = part.reshape(w.shape)
+        return [[m.reshape(w.shape).copy() for w, m in zip(self.params(), cut[k * len(sizes):], strict=False)] for k in (1, 2)]
+
+    def train(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, state: np.ndarray, rates: list[float], seed) -> np.ndarray:
+        """The state after a pass over all rows for each rate."""
         rng = np.random.default_rng(seed)
-        weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-        params = [self.embed, self.filters, self.bias, self.out, self.out_bias]
-        moments = [(np.zeros_like(w), np.zeros_like(w)) for w in params]
-        turn = 0
-        epochs = max(EPOCHS, -(-STEPS * BATCH // len(y)))
-        for epoch in range(epochs):
+        first, second = self.load(state)
+        turn = state[-1]
+        for rate in rates:
             order = rng.permutation(len(y))
             for a in range(0, len(order), BATCH):
                 ids = order[a:a + BATCH]
                 grads = self._gradients(x[ids], y[ids], weight[ids])
                 turn += 1
-                for w, g, (m, v) in zip(params, grads, moments, strict=True):
+                for w, g, m, v in zip(self.params(), grads, first, second, strict=True):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
-                    w -= RATE * (1 - epoch / epochs) * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.999 ** turn)) + 1e-8)
+                    w -= rate * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.999 ** turn)) + 1e-8)
+        return np.concatenate([*(w.ravel() for w in (*self.params(), *first, *second)), [turn]])
 
     def _gradients(self, x, y, weight):
         pool, at = self.pools(x)
@@ -164,24 +186,6 @@ class Scanner:
         np.add.at(g_bias, f, g)
         return g_embed, g_filters, g_bias, d @ pool, np.array([d.sum()])
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, kinds: np.ndarray, recall: float = RECALL) -> None:
-        """Platt scaling by Newton steps, then the recall-constrained threshold."""
-        z = np.clip(self.logits(x), -30, 30)
-        n1, n0 = (y == 1).sum(), (y == 0).sum()
-        goal = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-        a, b = 1.0, 0.0
-        for _ in range(30):
-            p = _sigmoid(a * z + b)
-            g = np.array([((p - goal) * z).sum() + 1e-3 * (a - 1), (p - goal).sum()])
-            w = p * (1 - p) + 1e-6
-            h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
-            step = np.linalg.solve(h, g)
-            a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
-        self.slope, self.shift = max(a, 1e-3), b
-        p = _sigmoid(self.slope * z + self.shift)
-        kept = [np.sort(p[(y == 1) & (kinds == k)]) for k in sorted(set(kinds[y == 1]))]
-        self.threshold = max(0.5, min((float(s[int((1 - recall) * len(s))]) for s in kept), default=1.0))
-
 
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
@@ -212,23 +216,112 @@ def findings(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(F.lit(None).cast("int").alias("key"), utf8(text).alias("text")).mapInArrow(run, "kind int, window binary")
 
 
+def fit(scanner: Scanner, rows: DataFrame, counts: dict[bool, int]) -> None:
+    """Train on all (draw, kind, window); ``counts`` are those of base findings and others."""
+    n = sum(counts.values())
+    parts = -(-n // PART_ROWS)
+    weights = {base: 0.5 * n / k for base, k in counts.items()}
+    passes = max(EPOCHS, -(-STEPS * BATCH // n))
+    rounds = EPOCHS if parts > 1 else 1  # one part has nothing to average
+    each = -(-passes // rounds)
+    part = F.pmod(F.shiftright("draw", 2), F.lit(parts)).cast("int")
+    dealt = rows.select(part.alias("part"), "draw", "kind", "window").repartition(parts, "part").sortWithinPartitions("part", "draw", "window")
+    state = scanner.state()
+    for turn in range(rounds):
+        rates = [RATE * (1 - i / (rounds * each)) for i in range(turn * each, (turn + 1) * each)]
+        learnt = dealt.mapInArrow(_trainer(state, weights, n, rates, turn), "place int, value long").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+        state[learnt["place"].to_numpy()] = learnt["value"].to_numpy() / STEP
+    scanner.load(state)
+
+
+#: Shares of parameters are summed as multiples of 1 / STEP: the same in any order.
+STEP = 2.0 ** 48
+
+
+def _trainer(state: np.ndarray, weights: dict[bool, float], n: int, rates: list[float], turn: int):
+    """(place, value): each part's state after its passes, by its share of the rows."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def rows():
+            for b in batches:
+                yield from zip(*(c.to_pylist() for c in (b.column(0), b.column(2), b.column(3))), strict=True)
+
+        for part, held in itertools.groupby(rows(), lambda r: r[0]):
+            held = list(held)
+            y = np.array([float(k < 3) for _, k, _ in held])
+            new = Scanner.new().train(as_matrix([w for *_, w in held]), y, np.where(y == 1, weights[True], weights[False]), state, rates, [SEED, turn, part])
+            value = np.rint(new * (len(y) / n) * STEP).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(value), dtype=np.int32)), pa.array(value)], names=["place", "value"])
+
+    return run
+
+
+def calibrate(scanner: Scanner, rows: DataFrame, counts: dict[bool, int], recall: float = RECALL) -> None:
+    """Platt scaling by Newton steps, then the recall-constrained threshold, from
+    all held-back (kind, window)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            z = np.clip(scanner.logits(as_matrix(b.column(1).to_pylist())), -30, 30)
+            low = z.astype(np.float32)
+            low = np.where(low > z, np.nextafter(low, np.float32(-31)), low)
+            bits = low.view(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z), pa.array(bits ^ (bits >> 31 & 0x7FFFFFFF))], names=["kind", "z", "place"])
+
+    scored = materialize(rows.select("kind", "window").mapInArrow(run, "kind int, z double, place int"), "secret-logits")
+    n1, n0 = counts[True], counts[False]
+    goal, z = F.when(F.col("kind") < 3, (n1 + 1) / (n1 + 2)).otherwise(1 / (n0 + 2)), F.col("z")
+    a, b = 1.0, 0.0
+    for _ in range(30):
+        p = 1 / (1 + F.exp(-(a * z + b)))
+        terms = scored.select(z, (p - goal).alias("d"), (p * (1 - p) + 1e-6).alias("w"))
+        s = terms.agg(F.sum(F.col("d") * z), F.sum("d"), F.sum(F.col("w") * z * z), F.sum(F.col("w") * z), F.sum("w")).first()
+        step = np.linalg.solve(np.array([[s[2] + 1e-3, s[3]], [s[3], s[4] + 1e-3]]), np.array([s[0] + 1e-3 * (a - 1), s[1]]))
+        a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
+        if np.abs(step).max() < 1e-11:
+            break
+    scanner.slope, scanner.shift = max(round(a, 9), 1e-3), round(b, 9)
+    least = lowest(scored.where("kind < 3"), 1 - recall)
+    scanner.threshold = max(0.5, float(_sigmoid(scanner.slope * least + scanner.shift)))
+
+
+def lowest(scored: DataFrame, share: float) -> float:
+    """The least over the kinds of the logit below which ``share`` of a kind's rows
+    lie, by counts in buckets that grow finer; ``place`` sorts like the logits."""
+    sizes = {r["kind"]: r["count"] for r in scored.groupBy("kind").count().collect()}
+    left, bucket = {k: int(share * n) for k, n in sizes.items()}, dict.fromkeys(sizes)
+    for shift in (20, 10, 0):
+        rows = scored
+        if shift < 20:
+            mine = F.shiftright("place", shift + 10)
+            rows = rows.where(functools.reduce(operator.or_, [(F.col("kind") == k) & (mine == v) for k, v in bucket.items()]))
+        found = rows.groupBy("kind", F.shiftright("place", shift).alias("bucket")).count().collect()
+        for kind in sizes:
+            for r in sorted((r for r in found if r["kind"] == kind), key=lambda r: r["bucket"]):
+                bucket[kind] = r["bucket"]
+                if left[kind] < r["count"]:
+                    break
+                left[kind] -= r["count"]
+    bits = np.array([min(bucket.values())], np.int32)
+    return float((bits ^ (bits >> 31 & 0x7FFFFFFF)).view(np.float32)[0])
+
+
 def learn(df: DataFrame, text: str = "text") -> Scanner | None:
-    """A scanner fitted to the table's findings."""
-    found = materialize(findings(df, text).groupBy("kind", "window").count(), "findings")  # copies count once
-    counts = {r[0]: r[1] for r in found.groupBy((F.col("kind") < 3).alias("base")).count().collect()}
-    if len(counts) < 2:
-        return None
-    draw = F.pmod(F.xxhash64(F.lit(SEED), F.col("window")), F.lit(1 << 30))
-    share = F.when(F.col("kind") < 3, min(1.0, TRAIN_ROWS / counts[True])).otherwise(min(1.0, TRAIN_ROWS / counts[False]))
-    rows = sorted(found.where(draw < share * (1 << 30)).select(draw.alias("draw"), "kind", "window").collect(), key=lambda r: (r["draw"] * 2654435761 % (1 << 32), r["window"]))
-    x, kinds = as_matrix([bytes(r["window"]) for r in rows]), np.array([r["kind"] for r in rows])
-    y = (kinds < 3).astype(float)
-    held = np.arange(len(y)) % 4 == 3
-    if min(len(set(y[held])), len(set(y[~held]))) < 2:
+    """A scanner fitted to all the table's findings."""
+    draw = F.xxhash64(F.lit(SEED), F.col("window"))
+    kinds = findings(df, text).groupBy("kind", "window").agg(F.lit(1))  # copies count once
+    found = materialize(kinds.select(draw.alias("draw"), "kind", "window"), "findings")
+    held = F.pmod("draw", F.lit(4)) == 3
+    counts = {(r[0], r[1]): r[2] for r in found.groupBy(held.alias("held"), (F.col("kind") < 3).alias("base")).count().collect()}
+    if len(counts) < 4:
         return None
     scanner = Scanner.new()
-    scanner.fit(x[~held], y[~held])
-    scanner.calibrate(x[held], y[held], kinds[held])
+    fit(scanner, found.where(~held), {base: counts[False, base] for base in (True, False)})
+    calibrate(scanner, found.where(held), {base: counts[True, base] for base in (True, False)})
     return scanner
 
 

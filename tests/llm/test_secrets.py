@@ -82,6 +82,42 @@ def test_network_tells_held_out_findings_apart(scanned):
     assert abs(scores.mean() - marks.mean()) < 0.1
 
 
+def test_every_finding_trains_or_calibrates(spark, monkeypatch):
+    docs = documents(spark, secret_rows(seed=9, n=1500))
+    found = secrets.findings(docs).distinct()
+    want = sorted((r["kind"], bytes(r["window"])) for r in found.collect())
+    seen = {}
+    for name in ("fit", "calibrate"):
+        real = getattr(secrets, name)
+
+        def spy(scanner, rows, counts, real=real, name=name):
+            seen[name] = sorted((r["kind"], bytes(r["window"])) for r in rows.collect())
+            assert counts == {b: sum((k < 3) == b for k, _ in seen[name]) for b in (True, False)}
+            real(scanner, rows, counts)
+
+        monkeypatch.setattr(secrets, name, spy)
+    monkeypatch.setattr(secrets, "PART_ROWS", 512)  # several parts
+    monkeypatch.setattr(secrets, "TRAIN_ROWS", 100, raising=False)  # what a draw would take
+    scanner, again = secrets.learn(docs), secrets.learn(docs)
+    assert len(want) > 2000 and sorted(seen["fit"] + seen["calibrate"]) == want
+    assert 0.2 < len(seen["calibrate"]) / len(want) < 0.3
+    assert np.array_equal(scanner.state(), again.state()) and scanner.threshold == again.threshold
+    p = scanner.score([w for _, w in seen["calibrate"]])
+    kinds = np.array([k for k, _ in seen["calibrate"]])
+    kept = [np.sort(p[kinds == k]) for k in range(3)]
+    assert abs(scanner.threshold - max(0.5, min(s[int((1 - secrets.RECALL) * len(s))] for s in kept))) < 1e-6
+    assert (p[kinds < 3] >= scanner.threshold).mean() > 0.97 and (p[kinds == 3] >= scanner.threshold).mean() < 0.05
+
+
+def test_lowest_is_an_order_statistic(spark):
+    rng = np.random.default_rng(3)
+    z = np.clip(np.r_[rng.normal(0, 9, 700), np.full(300, -2.5)], -30, 30).astype(np.float32)
+    kinds, bits = rng.integers(0, 3, len(z)), z.view(np.int32)
+    rows = spark.createDataFrame([(int(k), int(p)) for k, p in zip(kinds, bits ^ (bits >> 31 & 0x7FFFFFFF), strict=True)], "kind int, place int")
+    for share in (0.0, 0.02, 0.4, 0.9):
+        assert secrets.lowest(rows, share) == min(np.sort(z[kinds == k])[int(share * (kinds == k).sum())] for k in range(3))
+
+
 def test_redaction_masks_every_span_and_nothing_else(scanned):
     rows, docs, scanner, _ = scanned
     out = secrets.redact(docs, scanner)
