@@ -128,3 +128,38 @@ def test_groups_of_strings_are_never_cut(spark, monkeypatch):
     assert all(a[-1] >> 24 & 0xFFFFFFFF != b[0] >> 24 & 0xFFFFFFFF for a, b in zip(parts, parts[1:]))
     dealt = suffix_tree.learn(spark.createDataFrame(found)).toPandas().set_index("code")["score"]
     assert np.allclose(dealt.loc[codes], whole, atol=1e-4)
+
+
+def test_strings_cross_the_exchange_packed_by_block_and_bucket(spark, monkeypatch, scored):
+    import re
+
+    rows, whole = scored
+    docs, train = documents(spark, rows), ~held_out("doc_id", 7, 2)
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 1 << 12)
+    monkeypatch.setattr(suffix_tree, "PACKET_BYTES", 1 << 10)
+    table = suffix_tree.packets(docs, train, "doc_id", "text")
+    strings = suffix_tree.count_strings(table, suffix_tree.DEPTH, True).toPandas()
+    asked = suffix_tree.ask_strings(table, suffix_tree.DEPTH, 16).toPandas()
+    assert strings.block.nunique() > 4 and not asked.duplicated(["bucket", "block"]).any()
+    have = [(r.block, int(c), int(n)) for r in asked.itertuples() for c, n in zip(suffix_tree.expanded_codes(r.keys), suffix_tree.expanded(r.counts, np.int64), strict=True)]
+    assert sorted(have) == sorted(strings.itertuples(index=False, name=None))
+    result = suffix_tree.score(docs, train)
+    assert not re.search("Join|Window", result._jdf.queryExecution().executedPlan().toString())
+    got = result.toPandas()
+    order = ["doc_id", "n_tokens", "base_score", "score"]
+    a, b = (x.sort_values(order, ignore_index=True) for x in (whole, got))
+    assert a[order[:3]].equals(b[order[:3]]) and np.allclose(a.score, b.score, rtol=1e-5, atol=1e-3)
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 59, 5000))
+    assert np.array_equal(suffix_tree.expanded_codes(suffix_tree.squeezed_codes(codes)), codes)
+    for x in (rng.normal(size=100).astype(np.float32), rng.integers(0, 9, 7), np.zeros(0, np.int64)):
+        assert np.array_equal(suffix_tree.expanded(suffix_tree.squeezed(x), x.dtype), x)
+    ends = codes >> 32 & 0xFFFFFF
+    seen = {}
+    for bucket, at in suffix_tree.by_bucket(codes, 7):
+        assert (np.diff(codes[at]) > 0).all()
+        assert all(seen.setdefault(e, bucket) == bucket for e in ends[at].tolist())
+    assert sum(len(at) for _, at in suffix_tree.by_bucket(codes, 7)) == len(codes)
