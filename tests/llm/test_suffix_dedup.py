@@ -91,3 +91,13 @@ def test_spans_of_copies_are_held_once(spark):
     assert S.weighted(S.suffixes(docs)).groupBy("t1", "t2", "p", "a").count().where("count > 1").count() == 0
     got = S.remove_repeats(documents(spark, rows)).collect()
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == plain(rows)
+
+
+def test_shared_passages_go_by_their_bytes_not_their_words(spark):
+    rng = random.Random(11)
+    short, long = "ab cd efg " * 6 + prose(rng, 60)[:320], prose(rng, 140)  # over 50 words, under and over SPAN bytes
+    assert len(short.split()) > 50 and len(short) < S.SPAN < len(long)
+    rows = [(100 * k + i, f"{prose(rng, 20)}<{k}{i}>{cut}<{i}{k}>{prose(rng, 20)}", "en", "s0") for k, cut in enumerate((short, long)) for i in range(8)]
+    got = S.remove_repeats(documents(spark, rows).repartition(5)).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == plain(rows)
+    assert all((r["n_removed"] >= len(long)) == (r["doc_id"] >= 100) and (r["n_removed"] > 0) == (r["doc_id"] >= 100) for r in got)
