@@ -234,7 +234,7 @@ def _unit_root(b: _Batch, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
         g, n[at] = g[at], count[at]
         ok = T._solvable(g[:, :-1, :-1])
         at, g = at[ok], g[ok]
-        inv = np.linalg.inv(g[:, :-1, :-1])
+        inv = T._inverse(g[:, :-1, :-1])
         coef = np.einsum("bij,bj->bi", inv, g[:, :-1, -1])
         rss = g[:, -1, -1] - np.einsum("bi,bi->b", coef, g[:, :-1, -1])
         beta[at] = coef[:, 1]

@@ -126,13 +126,25 @@ def _gram_stack(pdf: pd.DataFrame, names: list[str]) -> np.ndarray:
     return g
 
 
+def _scales(a: np.ndarray) -> np.ndarray:
+    """What divides the matrices' entries so that their diagonals are 1."""
+    scale = np.sqrt(np.maximum(np.einsum("bii->bi", a), 1e-300))
+    return scale[:, :, None] * scale[:, None, :]
+
+
 def _solvable(a: np.ndarray) -> np.ndarray:
     """Which of the (scaled) matrices are far from singular."""
-    scale = np.sqrt(np.maximum(np.einsum("bii->bi", a), 1e-300))
-    s = np.linalg.svd(a / (scale[:, :, None] * scale[:, None, :]), compute_uv=False)
+    s = np.linalg.svd(a / _scales(a), compute_uv=False)
     return np.isfinite(s).all(1) & (s[:, -1] > 1e-12 * s[:, 0])
 
 
+def _inverse(a: np.ndarray) -> np.ndarray:
+    """Inverses by way of the scaled matrices: levels and differences may be
+    many powers of ten apart, and unscaled that costs as many digits."""
+    scale = _scales(a)
+    return np.linalg.inv(a / scale) / scale
+
+
 def _adf_solver(k: int):
     names = ["one", "x", *[f"g{j}" for j in range(1, k + 1)], "dz"]
 
@@ -146,7 +158,7 @@ def _adf_solver(k: int):
                 part = g[at][:, cols][:, :, cols]
                 ok = _solvable(part[:, :-1, :-1])
                 at, part = at[ok], part[ok]
-                inv = np.linalg.inv(part[:, :-1, :-1])
+                inv = _inverse(part[:, :-1, :-1])
                 b = np.einsum("bij,bj->bi", inv, part[:, :-1, -1])
                 rss = part[:, -1, -1] - np.einsum("bi,bi->b", b, part[:, :-1, -1])
                 beta[at] = b[:, 1]
